@@ -12,7 +12,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as DT
 
@@ -58,15 +58,14 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and doubles at 9 digits, for comparison."""
 
-    def cell(field: DT.StructField) -> Column:
-        col = F.col(f"`{field.name}`")
+    def cell(field: DT.StructField) -> str:
         if isinstance(field.dataType, DT.DecimalType):
-            return col.cast("double").alias(field.name)
+            return f"CAST(`{field.name}` AS DOUBLE) AS `{field.name}`"
         if isinstance(field.dataType, DT.DoubleType):
-            return F.round(col, 9).alias(field.name)
-        return col
+            return f"round(`{field.name}`, 9) AS `{field.name}`"
+        return f"`{field.name}`"
 
-    return df.select(*[cell(f) for f in df.schema])
+    return df.selectExpr(*[cell(f) for f in df.schema])
 
 
 def settings(spark: SparkSession, industry: bool = False, null_share: str = "is_null"):
@@ -131,7 +130,7 @@ def early_adopter(spark, sf):
     O.sql("SELECT a3, CONCAT(YEAR(a2), '-', MONTH(a2)) AS yearmon_created FROM pt_a"),
 )
 def created_yearmon(spark, sf):
-    return T.accounts(spark, sf).select("a3", S.yearmon(F.col("a2")).alias("yearmon_created"))
+    return T.accounts(spark, sf).selectExpr("a3", f"{S.yearmon('a2')} AS yearmon_created")
 
 
 @query(
@@ -198,12 +197,11 @@ def scheme_features_of(spark, sf, accounts=None):
 )
 def years_since_scheme(spark, sf):
     grown = A.expand_cohorts(T.accounts(spark, sf), T.COHORTS)
-    start = F.col("scheme_start_year")
-    return A.attach(grown, scheme_features_of(spark, sf), on="a3").select(
+    return A.attach(grown, scheme_features_of(spark, sf), on="a3").selectExpr(
         "a3",
         "cohort",
-        S.years_since(F.col("cohort").cast("int"), start).alias("years_train"),
-        S.years_since(T.AS_OF.year, start).alias("years_score"),
+        f"{S.years_since('CAST(cohort AS INT)', 'scheme_start_year')} AS years_train",
+        f"{S.years_since(T.AS_OF.year, 'scheme_start_year')} AS years_score",
     )
 
 
@@ -215,7 +213,7 @@ def years_since_scheme(spark, sf):
 )
 def log_employees(spark, sf):
     features = scheme_features_of(spark, sf)
-    return plain(features.select("a3", S.log2p1(F.col("employees")).alias("log_employees")))
+    return plain(features.selectExpr("a3", f"{S.log2p1('employees')} AS log_employees"))
 
 
 TARGETS = O.counted(O.in_target(FIRST), "total_commitments")
@@ -230,8 +228,8 @@ TARGETS = O.counted(O.in_target(FIRST), "total_commitments")
 )
 def log_target(spark, sf):
     counts = target_counts(spark, sf)
-    log = S.log_target(F.col("total_commitments")).alias("log_adjusted_commitments")
-    return plain(counts.select("b10", log))
+    log = S.log_target("total_commitments")
+    return plain(counts.selectExpr("b10", f"{log} AS log_adjusted_commitments"))
 
 
 def target_counts(spark, sf):
@@ -248,17 +246,17 @@ def target_counts(spark, sf):
     ),
 )
 def inverse_target(spark, sf):
-    p = S.log_target(F.col("total_commitments"))
-    return target_counts(spark, sf).select(
+    p = S.log_target("total_commitments")
+    return target_counts(spark, sf).selectExpr(
         "b10",
-        F.round(S.inverse_target(p), 6).alias("natural"),
-        F.round(S.inverse_target(p, 2), 6).alias("base_two"),
+        f"round({S.inverse_target(p)}, 6) AS natural",
+        f"round({S.inverse_target(p, 2)}, 6) AS base_two",
     )
 
 
 @query("type_letter", O.sql("SELECT d3, SUBSTRING(d12, 1, 1) AS type_letter FROM pt_d"))
 def type_letter(spark, sf):
-    return T.schemes(spark, sf).select("d3", S.type_letter(F.col("d12")).alias("type_letter"))
+    return T.schemes(spark, sf).selectExpr("d3", f"{S.type_letter('d12')} AS type_letter")
 
 
 @query(
@@ -271,7 +269,7 @@ def type_default(spark, sf):
 
 @query("code_token", O.sql(f"SELECT i1, {O.token('i4')} AS sic_code FROM pt_i"))
 def code_token(spark, sf):
-    return T.register(spark, sf).select("i1", S.leading_token(F.col("i4")).alias("sic_code"))
+    return T.register(spark, sf).selectExpr("i1", f"{S.leading_token('i4')} AS sic_code")
 
 
 def codes_of(spark, sf):
@@ -421,13 +419,13 @@ def levy_only(spark, sf):
     ),
 )
 def between_incl(spark, sf):
-    inside = P.between_incl(F.col("a2"), date(1996, 1, 1), date(1997, 1, 1))
+    inside = P.between_incl("a2", date(1996, 1, 1), date(1997, 1, 1))
     return T.accounts(spark, sf).where(inside).select("a3", "a2")
 
 
 @query("half_open_window", O.sql(f"SELECT b10, b2 FROM pt_b WHERE {O.in_lookback(FIRST)}"))
 def half_open_window(spark, sf):
-    inside = P.in_window(F.col("b2"), FIRST.prev_start, FIRST.start)
+    inside = P.in_window("b2", FIRST.prev_start, FIRST.start)
     return T.commitments(spark, sf).where(inside).select("b10", "b2")
 
 
@@ -436,7 +434,7 @@ def half_open_window(spark, sf):
     O.sql(f"SELECT b10, b2, b16, b20 FROM pt_b WHERE {O.still_open(LAST.start)}"),
 )
 def open_at(spark, sf):
-    kept = P.open_at(LAST.start, F.col("b16"), F.col("b20"))
+    kept = P.open_at(LAST.start, "b16", "b20")
     return T.commitments(spark, sf).where(kept).select("b10", "b2", "b16", "b20")
 
 
@@ -694,7 +692,7 @@ def prev_12m_new_levy_transfers(spark, sf):
         T.COHORTS,
         "prev_start",
         "start",
-        F.col("b12") == 1,
+        "b12 = 1",
         "prev_12m_new_levy_transfers",
     )
 
@@ -1018,9 +1016,9 @@ def training_frame_industry(spark, sf):
 @query(
     "assemble",
     O.sql(
-        "SELECT account_id, cohort, ROUND(early_adopter + levy_non_levy + as_months_since_sign_up"
+        "SELECT account_id, cohort, ROUND(CAST(early_adopter + levy_non_levy + as_months_since_sign_up"
         " + " + " + ".join(m for m in MEASURES if m != "total_commitments")
-        + " + 1 + years_since_tpr_signup + new_company + log_employees, 6) AS feature_sum"
+        + " + 1 + years_since_tpr_signup + new_company + log_employees AS DOUBLE), 4) AS feature_sum"
         f" FROM training WHERE {ELIGIBLE}",
         *O.TRAINING_CTES,
     ),
@@ -1031,7 +1029,7 @@ def assemble(spark, sf):
     vectors = L.assemble(frame, model_features(frame))
     values = vector_to_array(F.col("features"))
     total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-    return vectors.select("account_id", "cohort", F.round(total, 6).alias("feature_sum"))
+    return vectors.select("account_id", "cohort", F.round(total, 4).alias("feature_sum"))
 
 
 def fitted(spark, sf):
@@ -1067,7 +1065,6 @@ def predict(spark, sf):
 def evaluate(spark, sf):
     """Last year's count as the prediction for the next."""
     stand_in = F.log1p("prev_12m_new_commitments").alias(L.PREDICTION)
-    frame = plain(raw_frame(spark, sf).select(L.TARGET)).select(L.TARGET)
     frame = raw_frame(spark, sf).select(F.round(L.TARGET, 9).alias(L.TARGET), stand_in)
     return plain(L.evaluate(frame, 3))
 
@@ -1145,8 +1142,8 @@ def score_pipeline(spark, sf):
 )
 def sink_predictions(spark, sf):
     """Written as CSV and read back."""
-    value = F.round(S.log_target(F.col("total_commitments")), 9).alias(PS.PREDICTED)
+    value = f"round({S.log_target('total_commitments')}, 9) AS {PS.PREDICTED}"
     out = scratch(spark)
-    write_predictions(target_counts(spark, sf).select(F.col("b10").alias("account_id"), value), out)
+    write_predictions(target_counts(spark, sf).selectExpr("b10 AS account_id", value), out)
     schema = f"account_id bigint, {PS.PREDICTED} double"
     return spark.read.option("header", True).schema(schema).csv(out)

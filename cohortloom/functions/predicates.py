@@ -1,43 +1,47 @@
-"""Boolean column expressions over dates and flags."""
+"""Conditions over dates and flags.
 
-from __future__ import annotations
-
-from datetime import date, datetime
-from functools import reduce
-from operator import and_
+Days are compared with midnight, which is the same as comparing dates, so columns reach the
+scan's filters without a cast.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
 
-def midnight(day: date) -> Column:
-    return F.lit(datetime(day.year, day.month, day.day)).cast("timestamp_ntz")
 
+def midnight(day: date) -> str:
+    return f"TIMESTAMP_NTZ '{day.isoformat()} 00:00:00'"
 
-def before(col: Column, day: date) -> Column:
-    """Day of ``col`` earlier than ``day``.
 
-    Compared with midnight, which is the same as comparing days, so the column reaches the
-    scan's filters without a cast.
-    """
-    return col < midnight(day)
+def before(col: str, day: date) -> str:
+    """Day of ``col`` earlier than ``day``."""
+    return f"{col} < {midnight(day)}"
 
 
-def from_day(col: Column, day: date) -> Column:
-    return col >= midnight(day)
+def from_day(col: str, day: date) -> str:
+    return f"{col} >= {midnight(day)}"
 
 
-def in_window(col: Column, start: date, end: date | None) -> Column:
+def in_window(col: str, start: date, end: date | None) -> str:
     """Day of ``col`` in [start, end); ``end=None`` leaves the window open."""
     inside = from_day(col, start)
-    return inside if end is None else inside & before(col, end)
+    return inside if end is None else f"({inside} AND {before(col, end)})"
 
 
-def between_incl(col: Column, low: date, high: date) -> Column:
+def between_incl(col: str, low: date, high: date) -> str:
     """``col`` between midnight of both days, both ends in."""
-    return col.between(midnight(low), midnight(high))
+    return f"({col} BETWEEN {midnight(low)} AND {midnight(high)})"
 
 
-def open_at(day: date, *closed: Column) -> Column:
+def open_at(day: date, *closed: str) -> str:
     """Not closed before ``day`` by any of the close dates; NULL means never closed."""
-    return reduce(and_, [from_day(col, day) | col.isNull() for col in closed])
+    return any_all(" AND ", (f"({from_day(col, day)} OR {col} IS NULL)" for col in closed))
+
+
+def any_all(word: str, conditions: Iterable[str]) -> str:
+    return "(" + word.join(conditions) + ")"
+
+
+def any_of(conditions: Iterable[str]) -> str:
+    return any_all(" OR ", conditions)

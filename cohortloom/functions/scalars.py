@@ -1,134 +1,131 @@
-"""Column expressions. All are built-ins, so they stay inside generated code."""
+"""Scalar expressions. All are built-ins, so they stay inside generated code."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from decimal import Decimal
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from cohortloom.rules import ImputeRule
 
 # Average Gregorian month (30.436875 days), the unit of every tenure.
 SECONDS_PER_MONTH = 2629746.0
-SHARE_TYPE = "decimal(10,3)"
+SHARE_TYPE = "DECIMAL(10,3)"
+
+
+def text(value: str) -> str:
+    """String literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"{text(k)}, {v}" for k, v in fields.items()) + ")"
 
 
-def yearmon(created: Column) -> Column:
+def yearmon(created: str) -> str:
     """Creation month as ``2021-9``: the month is not zero padded."""
-    return F.concat(F.year(created), F.lit("-"), F.month(created))
+    return f"concat(year({created}), '-', month({created}))"
 
 
-def tenure_months(created: Column, anchor: datetime) -> Column:
+def tenure_months(created: str, anchor: datetime) -> str:
     """Average months from ``created`` to ``anchor``, fractional."""
-    days = F.datediff(F.lit(anchor.date()), created.cast("date"))
     anchor_seconds = (anchor - datetime(anchor.year, anchor.month, anchor.day)).total_seconds()
     created_seconds = (
-        F.hour(created) * 3600 + F.minute(created) * 60 + F.date_part(F.lit("SECOND"), created)
-    ).cast("double")
-    return (days * F.lit(86400.0) + F.lit(anchor_seconds) - created_seconds) / F.lit(
-        SECONDS_PER_MONTH
+        f"CAST(hour({created}) * 3600 + minute({created}) * 60"
+        f" + extract(SECOND FROM {created}) AS DOUBLE)"
     )
+    days = f"datediff(DATE '{anchor.date().isoformat()}', CAST({created} AS DATE))"
+    return f"({days} * 86400D + {anchor_seconds}D - {created_seconds}) / {SECONDS_PER_MONTH}D"
 
 
-def tenure_months_floor(months: Column) -> Column:
-    return F.floor(months).cast("int")
+def tenure_months_floor(months: str) -> str:
+    return f"CAST(floor({months}) AS INT)"
 
 
-def years_since(year: Column | int, start_year: Column) -> Column:
-    return (year if isinstance(year, Column) else F.lit(year)) - start_year
+def years_since(year: str | int, start_year: str) -> str:
+    return f"{year} - {start_year}"
 
 
-def log2p1(value: Column) -> Column:
-    return F.log2(value + 1)
+def log2p1(value: str) -> str:
+    return f"log2({value} + 1)"
 
 
-def log_target(value: Column) -> Column:
-    return F.log1p(value)
+def log_target(value: str) -> str:
+    return f"log1p({value})"
 
 
-def inverse_target(value: Column, base: str | int = "e") -> Column:
+def inverse_target(value: str, base: str | int = "e") -> str:
     """Undo ``log_target``. ``base=2`` gives 2^p - 1, which does not undo a natural log."""
-    if base == "e":
-        return F.expm1(value)
-    return F.pow(F.lit(float(base)), value) - 1
+    return f"expm1({value})" if base == "e" else f"pow({base}D, {value}) - 1"
 
 
-def type_letter(text: Column) -> Column:
+def type_letter(company_type: str) -> str:
     """First letter of the company type, upper case whatever the source's collation."""
-    return F.upper(F.substring(text, 1, 1))
+    return f"upper(substring({company_type}, 1, 1))"
 
 
-def type_default(letter: Column) -> Column:
-    return F.coalesce(letter, F.lit("X"))
+def type_default(letter: str) -> str:
+    return f"coalesce({letter}, 'X')"
 
 
-def leading_token(text: Column) -> Column:
+def leading_token(value: str) -> str:
     """Text before the first space; the whole text if there is none."""
-    return F.substring_index(text, " ", 1)
+    return f"substring_index({value}, ' ', 1)"
 
 
-def division(code: Column) -> Column:
-    return F.substring(code, 1, 2)
+def division(code: str) -> str:
+    return f"substring({code}, 1, 2)"
 
 
-def band(value: Column, bounds: Sequence[tuple[int, str]], default: str) -> Column:
+def band(value: str, bounds: Sequence[tuple[int, str]], default: str) -> str:
     """Letter of the first bound that ``value`` does not exceed.
 
     Text that is no number and NULL take the default; blank text counts as 0.
     """
-    number = F.when(F.trim(value) == "", 0).otherwise(value.try_cast("int"))
-    chain = F
-    for upper, letter in bounds:
-        chain = chain.when(number <= upper, letter)
-    return chain.otherwise(default)
+    number = f"CASE WHEN trim({value}) = '' THEN 0 ELSE try_cast({value} AS INT) END"
+    chain = "".join(f" WHEN {number} <= {upper} THEN {text(key)}" for upper, key in bounds)
+    return f"CASE{chain} ELSE {text(default)} END"
 
 
-def match_flag(value: Column) -> Column:
-    return value.isNotNull().cast("int")
+def match_flag(value: str) -> str:
+    return f"CAST({value} IS NOT NULL AS INT)"
 
 
-def lookup(key: Column, table: Mapping[str, float]) -> Column:
-    """Value of a small fixed table, NULL if absent. The table is folded into the plan."""
-    pairs = [F.lit(item) for pair in table.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), key)
+def lookup(key: str, table: Mapping[str, float], kind: str = "DOUBLE") -> str:
+    """Value of a small fixed table, NULL if absent."""
+    rows = "".join(f" WHEN {text(k)} THEN {v}" for k, v in table.items())
+    return f"CAST(CASE {key}{rows} END AS {kind})"
 
 
-def impute(value: Column, flag: Column, letter: Column, rule: ImputeRule, kind: str) -> Column:
+def impute(value: str, flag: str, letter: str, rule: ImputeRule, kind: str) -> str:
     """``value``, else by (flag, letter), else by flag, else NULL."""
     by_type = {f"{f}{t}": v for (f, t), v in rule.by_type.items()}
     by_flag = {str(f): v for f, v in rule.default.items()}
-    flag_text = flag.cast("string")
-    return F.coalesce(
-        value.cast(kind),
-        lookup(F.concat(flag_text, letter), by_type).cast(kind),
-        lookup(flag_text, by_flag).cast(kind),
+    return (
+        f"coalesce(CAST({value} AS {kind}), {lookup(f'concat({flag}, {letter})', by_type, kind)},"
+        f" {lookup(f'CAST({flag} AS STRING)', by_flag, kind)})"
     )
 
 
-def tally(cond: Column) -> Column:
+def tally(condition: str) -> str:
     """Aggregate: rows for which the condition holds."""
-    return F.count(F.when(cond, 1))
+    return f"count(CASE WHEN {condition} THEN 1 END)"
 
 
-def share(part: Column, total: Column) -> Column:
+def share(part: str, total: str) -> str:
     """part / total as decimal(10,3), half up, NULL for an empty total.
 
     Whole-number arithmetic gives the exact rounding without arbitrary-precision division.
     """
-    total = F.nullif(total, F.lit(0).cast("bigint"))
-    thousandths = F.floor((part * 2000 + total) / (total * 2))
-    return (thousandths.cast("decimal(10,0)") * F.lit(Decimal("0.001"))).cast(SHARE_TYPE)
+    thousandths = f"({part} * 2000 + {total}) div (nullif({total}, 0) * 2)"
+    return f"CAST(CAST({thousandths} AS DECIMAL(10,0)) * 0.001 AS {SHARE_TYPE})"
 
 
-def seeded_hash(seed: int, *keys: Column) -> Column:
+def seeded_hash(seed: int, *keys: str) -> str:
     """md5 over seed and keys: the same order and buckets on any engine."""
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), *[k.cast("string") for k in keys]))
+    return f"md5(concat_ws('-', '{seed}', {', '.join(keys)}))"
 
 
-def hash_bucket(seed: int, keys: Sequence[Column], buckets: int = 100) -> Column:
+def hash_bucket(seed: int, keys: Sequence[str], buckets: int = 100) -> str:
     """Bucket 0 .. buckets-1 from the first 32 bits of the seeded hash."""
-    head = F.conv(F.substring(seeded_hash(seed, *keys), 1, 8), 16, 10).cast("bigint")
-    return (head % buckets).cast("int")
+    head = f"conv(substring({seeded_hash(seed, *keys)}, 1, 8), 16, 10)"
+    return f"CAST(CAST({head} AS BIGINT) % {buckets} AS INT)"

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.cohorts import Cohort
@@ -17,15 +17,16 @@ BROADCAST_ROWS = 1_000_000
 
 
 def early_adopter(df: DataFrame, cutoff: date = EARLY_ADOPTER_CUTOFF) -> DataFrame:
-    return df.withColumn("early_adopter", F.when(P.before(F.col("a2"), cutoff), 1).otherwise(0))
+    early = f"CASE WHEN {P.before('a2', cutoff)} THEN 1 ELSE 0 END AS early_adopter"
+    return df.selectExpr("*", early)
 
 
 def created_before(df: DataFrame, day: date) -> DataFrame:
-    return df.where(P.before(F.col("a2"), day))
+    return df.where(P.before("a2", day))
 
 
 def levy_only(df: DataFrame) -> DataFrame:
-    return df.where(F.col("a1") == 1)
+    return df.where("a1 = 1")
 
 
 def restrict(df: DataFrame, ids: DataFrame, key: str, max_ids: int | None = None) -> DataFrame:
@@ -42,15 +43,13 @@ def restrict(df: DataFrame, ids: DataFrame, key: str, max_ids: int | None = None
 
 
 def new_company(df: DataFrame, limit: int = 6, months: str = "months_since_sign_up2") -> DataFrame:
-    return df.withColumn("new_company", F.when(F.col(months) <= limit, 1).otherwise(0))
+    return df.selectExpr("*", f"CASE WHEN {months} <= {limit} THEN 1 ELSE 0 END AS new_company")
 
 
 def eligible(df: DataFrame, max_employees: int = 20000, status: int | None = None) -> DataFrame:
     """Matched accounts up to a size; ``status`` adds the company status of the industry path."""
-    kept = (F.col("employees") <= max_employees) & (F.col("tpr_match") == 1)
-    if status is not None:
-        kept = kept & (F.col("company_status") == status)
-    return df.where(kept)
+    kept = f"employees <= {max_employees} AND tpr_match = 1"
+    return df.where(kept if status is None else f"{kept} AND company_status = {status}")
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -95,32 +94,30 @@ def drop_columns(df: DataFrame, cols: Sequence[str] = HELPER_COLUMNS) -> DataFra
 def expand_cohorts(
     accounts: DataFrame,
     cohorts: Sequence[Cohort],
-    per_cohort: Callable[[Cohort], Sequence[Column]] | None = None,
+    per_cohort: Callable[[Cohort], Mapping[str, str]] | None = None,
     members_only: bool = True,
 ) -> DataFrame:
     """One row per account and cohort it was created in time for (before the cohort's end).
 
     The cohorts travel in the plan as a generated array, so nothing is joined or shuffled.
-    ``per_cohort`` adds columns that differ by cohort; ``members_only=False`` keeps accounts
-    whatever their creation date.
+    ``per_cohort`` gives expressions that differ by cohort; ``members_only=False`` keeps
+    accounts whatever their creation date.
     """
-    created = F.col("a2")
-
-    def entry(c: Cohort) -> Column:
-        months = S.tenure_months(created, c.anchor)
-        fields = F.struct(
-            F.lit(c.label).alias("cohort"),
-            months.alias("months_since_sign_up"),
-            S.tenure_months_floor(months).alias("months_since_sign_up2"),
-            *(per_cohort(c) if per_cohort else ()),
+
+    def entry(c: Cohort) -> str:
+        return S.struct(
+            cohort=S.text(c.label),
+            months_since_sign_up=S.tenure_months("a2", c.anchor),
+            _member=P.before("a2", c.end) if members_only else "true",
+            **(per_cohort(c) if per_cohort else {}),
         )
-        return F.when(P.before(created, c.end), fields) if members_only else fields
 
-    entries = F.array(*[entry(c) for c in cohorts])
+    unfolded = accounts.selectExpr("*", f"inline(array({', '.join(map(entry, cohorts))}))")
+    months = S.tenure_months_floor("months_since_sign_up")
     return (
-        accounts.select("*", F.explode(entries).alias("_c"))
-        .where(F.col("_c").isNotNull())
-        .select(*accounts.columns, "_c.*")
+        unfolded.where("_member")
+        .drop("_member")
+        .selectExpr("*", f"{months} AS months_since_sign_up2")
     )
 
 

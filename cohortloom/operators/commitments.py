@@ -1,17 +1,18 @@
 """Point-in-time commitment features for any number of cohorts in one scan.
 
-Every measure is a conditional count, so one partial aggregation per task reduces the
-commitments to one row per account before anything is shuffled: an account that holds a large
-part of all rows costs no more than any other.
+Each row is unfolded into the cohorts that count it, inside the task that reads it, and every
+measure is a conditional count. Partial aggregation then leaves one row per account and cohort
+before anything is shuffled: an account that holds a large part of all rows costs no more than
+any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
+from dataclasses import replace
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.cohorts import Cohort
@@ -22,16 +23,13 @@ from cohortloom.operators.accounts import restrict
 # Occupation codes with a share of their own.
 OCCUPATION_CODES = ("1", "2", "3", "7", "13", "14", "15", "17", "20", "22", "24")
 
-# Cohorts counted side by side in one row per account. A cohort adds 17 counts, and past 100
-# columns the planner stops generating code for a stage.
-WIDE_COHORTS = 5
-
 CREATED, CODE, OWNER, TRANSFER, PLANNED_END = "b2", "b6", "b10", "b12", "b17"
 CLOSED = ("b16", "b20")
 
+LOOKBACK = "prev_12m_new_commitments"
 COUNTS = (
     "total_commitments",
-    "prev_12m_new_commitments",
+    LOOKBACK,
     "prev_12m_new_levy_transfers",
     "commitments_ending_12m",
     "current_live_commitments",
@@ -47,64 +45,80 @@ def feature_columns(codes: Sequence[str] = OCCUPATION_CODES) -> list[str]:
     return [COUNTS[0], *share_columns(codes), *COUNTS[1:]]
 
 
-def _in_target(c: Cohort) -> Column:
-    return P.in_window(F.col(CREATED), c.start, c.target_end)
+def _still_open(day: date) -> str:
+    return P.open_at(day, *CLOSED)
 
 
-def _in_lookback(c: Cohort) -> Column:
-    return P.in_window(F.col(CREATED), c.prev_start, c.start)
+def in_target(c: Cohort) -> str:
+    return P.in_window(CREATED, c.start, c.target_end)
 
 
-def _ending(c: Cohort) -> Column:
-    return P.in_window(F.col(PLANNED_END), c.start, c.end) & P.open_at(c.start, *map(F.col, CLOSED))
+def in_lookback(c: Cohort) -> str:
+    return P.in_window(CREATED, c.prev_start, c.start)
 
 
-def _live(c: Cohort) -> Column:
-    return P.before(F.col(CREATED), c.start) & P.open_at(c.open_date, *map(F.col, CLOSED))
+def ending(c: Cohort) -> str:
+    return f"({P.in_window(PLANNED_END, c.start, c.end)} AND {_still_open(c.start)})"
 
 
-def _code_test(null_share: str) -> Column:
-    """``is_null`` counts missing codes; ``equals_null`` is the comparison that never holds."""
-    if null_share == "is_null":
-        return F.col(CODE).isNull()
-    if null_share == "equals_null":
-        return F.lit(False)
-    raise ValueError(f"unknown null_share {null_share!r}")
+def live(c: Cohort) -> str:
+    return f"({P.before(CREATED, c.start)} AND {_still_open(c.open_date)})"
 
 
-def _counters(c: Cohort, codes: Sequence[str], null_share: str) -> dict[str, Column]:
-    """Condition counted for each measure of one cohort."""
-    lookback = _in_lookback(c)
-    return {
-        "total_commitments": _in_target(c),
-        "prev_12m_new_commitments": lookback,
-        "prev_12m_new_levy_transfers": lookback & (F.col(TRANSFER) == 1),
-        "commitments_ending_12m": _ending(c),
-        "current_live_commitments": _live(c),
-        **{f"occupation_{code}": lookback & (F.col(CODE) == code) for code in codes},
-        "occupation_null": lookback & _code_test(null_share),
-    }
+FLAGS = {"in_target": in_target, "in_lookback": in_lookback, "ending": ending, "live": live}
 
 
-def _relevant(cohorts: Sequence[Cohort]) -> Column:
-    """Rows some measure of some cohort counts: what the scan can skip."""
-    low = min(c.prev_start for c in cohorts)
+def _relevant(cohorts: Sequence[Cohort], flags: Sequence[str]) -> str:
+    """Bounds over all cohorts that a counted row must meet: what the scan can skip."""
+    starts = [c.start for c in cohorts]
     ends = [c.target_end for c in cohorts]
-    high = None if None in ends else max(ends)
-    last_start = max(c.start for c in cohorts)
-    return reduce(
-        or_,
-        (
-            P.in_window(F.col(CREATED), low, high),
-            P.in_window(F.col(PLANNED_END), min(c.start for c in cohorts), max(c.end for c in cohorts)),
-            P.before(F.col(CREATED), last_start)
-            & P.open_at(min(c.open_date for c in cohorts), *map(F.col, CLOSED)),
-        ),
+    bounds = Cohort(
+        label="",
+        prev_start=min(c.prev_start for c in cohorts),
+        start=min(starts),
+        end=max(c.end for c in cohorts),
+        target_end=None if None in ends else max(ends),
+        open_date=min(c.open_date for c in cohorts),
+        year=0,
+        anchor=cohorts[0].anchor,
+    )
+    # Look-back and live rows are bounded by the latest start, the others by the earliest.
+    latest = replace(bounds, start=max(starts))
+    return P.any_of(
+        FLAGS[flag](latest if flag in ("in_lookback", "live") else bounds) for flag in flags
+    )
+
+
+def _by_cohort(b: DataFrame, cohorts: Sequence[Cohort], flags: Sequence[str]) -> DataFrame:
+    """One row per commitment and cohort that counts it, with the flags that do."""
+    entries = ", ".join(
+        S.struct(cohort=S.text(c.label), **{flag: FLAGS[flag](c) for flag in flags})
+        for c in cohorts
+    )
+    return (
+        b.where(_relevant(cohorts, flags))
+        .selectExpr(OWNER, CODE, TRANSFER, f"inline(array({entries}))")
+        .where(P.any_of(flags))
     )
 
 
-def _restricted(b: DataFrame, ids: DataFrame | None, max_ids: int | None) -> DataFrame:
-    return b if ids is None else restrict(b, ids, OWNER, max_ids)
+def _tallies(rows: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
+    return rows.groupBy(OWNER, "cohort").agg(
+        *[F.expr(f"{S.tally(cond)} AS {name}") for name, cond in conditions.items()]
+    )
+
+
+def _code_conditions(codes: Sequence[str], null_share: str) -> dict[str, str]:
+    """``is_null`` counts missing codes; ``equals_null`` is the comparison that never holds."""
+    missing = {"is_null": f"{CODE} IS NULL", "equals_null": f"{CODE} = NULL"}[null_share]
+    return {
+        **{f"occupation_{v}": f"in_lookback AND {CODE} = {S.text(v)}" for v in codes},
+        "occupation_null": f"in_lookback AND {missing}",
+    }
+
+
+def _share(name: str) -> str:
+    return f"{S.share(name, LOOKBACK)} AS {name}"
 
 
 def count_in_window(
@@ -112,41 +126,27 @@ def count_in_window(
     cohorts: Sequence[Cohort],
     start: str,
     end: str,
-    cond: Column | None = None,
+    cond: str | None = None,
     name: str = "commitments",
 ) -> DataFrame:
     """Commitments created in [start, end) per account and cohort, accounts with none left out.
 
-    ``start`` and ``end`` name attributes of the cohort.
+    ``start`` and ``end`` name attributes of the cohort: ("start", "target_end") is the target,
+    ("prev_start", "start") the look-back. ``cond`` further restricts the rows.
     """
-    conditions = {
-        c: P.in_window(F.col(CREATED), getattr(c, start), getattr(c, end))
-        & (F.lit(True) if cond is None else cond)
-        for c in cohorts
-    }
-    return _count_long(b, conditions, name)
+    flag = {("start", "target_end"): "in_target", ("prev_start", "start"): "in_lookback"}
+    counted = b if cond is None else b.where(cond)
+    return _tallies(_by_cohort(counted, cohorts, [flag[start, end]]), {name: "true"})
 
 
 def ending_in_window(b: DataFrame, cohorts: Sequence[Cohort]) -> DataFrame:
     """Commitments with planned end in [start, end) still open at start."""
-    return _count_long(b, {c: _ending(c) for c in cohorts}, "commitments_ending_12m")
+    return _tallies(_by_cohort(b, cohorts, ["ending"]), {"commitments_ending_12m": "true"})
 
 
 def live_at(b: DataFrame, cohorts: Sequence[Cohort]) -> DataFrame:
     """Commitments created before start and open at the cohort's open date."""
-    return _count_long(b, {c: _live(c) for c in cohorts}, "current_live_commitments")
-
-
-def _count_long(b: DataFrame, conditions: Mapping[Cohort, Column], name: str) -> DataFrame:
-    wide = (
-        b.where(reduce(or_, conditions.values()))
-        .groupBy(OWNER)
-        .agg(*[S.tally(cond).alias(c.label) for c, cond in conditions.items()])
-    )
-    entries = F.array(
-        *[F.struct(F.lit(c.label).alias("cohort"), F.col(c.label).alias(name)) for c in conditions]
-    )
-    return wide.select(OWNER, F.inline(entries)).where(F.col(name) > 0)
+    return _tallies(_by_cohort(b, cohorts, ["live"]), {"current_live_commitments": "true"})
 
 
 def mix_share(
@@ -156,78 +156,9 @@ def mix_share(
     null_share: str = "is_null",
 ) -> DataFrame:
     """Share of each code among look-back commitments, per account and cohort that has any."""
-    wide = b.where(reduce(or_, map(_in_lookback, cohorts)))
-    counters = {
-        c.label: {
-            k: v
-            for k, v in _counters(c, codes, null_share).items()
-            if k.startswith("occupation_") or k == "prev_12m_new_commitments"
-        }
-        for c in cohorts
-    }
-    return (
-        _wide_counts(wide, counters)
-        .select(OWNER, F.inline(_entries(counters, codes, [*share_columns(codes)], True)))
-        .where(F.col("_rows") > 0)
-        .drop("_rows")
-    )
-
-
-def _wide_counts(b: DataFrame, counters: Mapping[str, Mapping[str, Column]]) -> DataFrame:
-    return b.groupBy(OWNER).agg(
-        *[
-            S.tally(cond).alias(wide_name(label, name))
-            for label, conditions in counters.items()
-            for name, cond in conditions.items()
-        ]
-    )
-
-
-def _entries(
-    counters: Mapping[str, Mapping[str, Column]],
-    codes: Sequence[str],
-    columns: Sequence[str],
-    with_rows: bool = False,
-) -> Column:
-    """Array with one struct of measures per cohort, from the wide counts."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(label).alias("cohort"),
-                *[wide_measure(label, name, codes).alias(name) for name in columns],
-                *([_wide(label, "prev_12m_new_commitments").alias("_rows")] if with_rows else []),
-            )
-            for label in counters
-        ]
-    )
-
-
-def wide_name(label: str, name: str) -> str:
-    return f"{name}__{label}"
-
-
-def _wide(label: str, name: str) -> Column:
-    return F.col(wide_name(label, name))
-
-
-def wide_measure(label: str, name: str, codes: Sequence[str] = OCCUPATION_CODES) -> Column:
-    """A measure of one cohort read from ``commitment_counts``: a count, or a share of counts."""
-    if name in COUNTS:
-        return _wide(label, name)
-    return S.share(_wide(label, name), _wide(label, "prev_12m_new_commitments"))
-
-
-def commitment_counts(
-    b: DataFrame,
-    cohorts: Sequence[Cohort],
-    ids: DataFrame | None = None,
-    max_ids: int | None = None,
-    codes: Sequence[str] = OCCUPATION_CODES,
-    null_share: str = "is_null",
-) -> DataFrame:
-    """One row per account with every count of every cohort, columns ``<measure>__<cohort>``."""
-    counters = {c.label: _counters(c, codes, null_share) for c in cohorts}
-    return _wide_counts(_restricted(b, ids, max_ids).where(_relevant(cohorts)), counters)
+    rows = _by_cohort(b, cohorts, ["in_lookback"])
+    counts = _tallies(rows, {LOOKBACK: "true", **_code_conditions(codes, null_share)})
+    return counts.selectExpr(OWNER, "cohort", *[_share(name) for name in share_columns(codes)])
 
 
 def commitment_features(
@@ -240,67 +171,29 @@ def commitment_features(
 ) -> DataFrame:
     """Counts and shares per account and cohort, from one scan.
 
-    Left out are accounts with no commitment in any window. A count is 0 and a share NULL where
-    only that window is empty; past ``WIDE_COHORTS`` cohorts such a row may be left out too.
+    Left out are accounts with nothing counted for the cohort. In the others a count is 0, and
+    a share NULL, where only that window is empty.
     """
-    columns = feature_columns(codes)
-    if len(cohorts) <= WIDE_COHORTS:
-        counters = {c.label: {} for c in cohorts}
-        wide = commitment_counts(b, cohorts, ids, max_ids, codes, null_share)
-        return wide.select(
-            F.col(OWNER).alias("a3"), F.inline(_entries(counters, codes, columns))
-        )
-    long = _long_counts(_restricted(b, ids, max_ids), cohorts, codes, null_share)
-    lookback = F.col("prev_12m_new_commitments")
-    return long.select(
-        F.col(OWNER).alias("a3"),
-        "cohort",
-        *[
-            F.col(name) if name in COUNTS else S.share(F.col(name), lookback).alias(name)
-            for name in columns
-        ],
-    )
-
-
-def _long_counts(
-    b: DataFrame, cohorts: Sequence[Cohort], codes: Sequence[str], null_share: str
-) -> DataFrame:
-    """The same counts with a row per cohort: the plan does not grow with the cohorts' counts."""
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c.label).alias("cohort"),
-                _in_target(c).alias("in_target"),
-                _in_lookback(c).alias("in_lookback"),
-                _ending(c).alias("ending"),
-                _live(c).alias("live"),
-            )
-            for c in cohorts
-        ]
-    )
-    rows = (
-        b.where(_relevant(cohorts))
-        .select(OWNER, CODE, TRANSFER, F.inline(entries))
-        .where("in_target OR in_lookback OR ending OR live")
-    )
-    lookback = F.col("in_lookback")
+    scoped = b if ids is None else restrict(b, ids, OWNER, max_ids)
     conditions = {
-        "total_commitments": F.col("in_target"),
-        "prev_12m_new_commitments": lookback,
-        "prev_12m_new_levy_transfers": lookback & (F.col(TRANSFER) == 1),
-        "commitments_ending_12m": F.col("ending"),
-        "current_live_commitments": F.col("live"),
-        **{f"occupation_{code}": lookback & (F.col(CODE) == code) for code in codes},
-        "occupation_null": lookback & _code_test(null_share),
+        "total_commitments": "in_target",
+        LOOKBACK: "in_lookback",
+        "prev_12m_new_levy_transfers": f"in_lookback AND {TRANSFER} = 1",
+        "commitments_ending_12m": "ending",
+        "current_live_commitments": "live",
+        **_code_conditions(codes, null_share),
     }
-    return rows.groupBy(OWNER, "cohort").agg(
-        *[S.tally(cond).alias(name) for name, cond in conditions.items()]
+    counts = _tallies(_by_cohort(scoped, cohorts, list(FLAGS)), conditions)
+    return counts.selectExpr(
+        f"{OWNER} AS a3",
+        "cohort",
+        *[name if name in COUNTS else _share(name) for name in feature_columns(codes)],
     )
 
 
 def uplift(df: DataFrame, factors: Mapping[str, float]) -> DataFrame:
     """Commitments so far times the factor of the month the levy account was created in."""
-    factor = F.when(F.col("a1") == 1, S.lookup(S.yearmon(F.col("a2")), factors))
-    return df.withColumn(
-        "adjusted_commitments", F.col("total_commitments") * F.coalesce(factor, F.lit(1.0))
+    factor = f"CASE WHEN a1 = 1 THEN {S.lookup(S.yearmon('a2'), factors)} END"
+    return df.selectExpr(
+        "*", f"total_commitments * coalesce({factor}, 1D) AS adjusted_commitments"
     )

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.functions import scalars as S
+
 MAX_CATEGORIES = 1000
 
 
@@ -31,10 +33,8 @@ def one_hot(
 ) -> DataFrame:
     """``<prefix>_<value>`` 0/1 per value; a missing value gives 0 in all of them."""
     values = categories(df, col, max_width) if values is None else values
-    return df.select(
-        "*",
-        *[F.col(col).eqNullSafe(v).cast("int").alias(f"{prefix}_{v}") for v in values],
-    )
+    hot = [f"CAST({col} <=> {S.text(v)} AS INT) AS `{prefix}_{v}`" for v in values]
+    return df.selectExpr("*", *hot)
 
 
 @dataclass(frozen=True)
@@ -48,9 +48,9 @@ class Aligned:
 def align(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> Aligned:
     """Key columns, then exactly the model's features in the model's order."""
     filled = [f for f in features if f not in df.columns]
-    frame = df.select(
-        *keep,
-        *[F.lit(0).alias(f) if f in filled else F.col(f"`{f}`") for f in features],
+    frame = df.selectExpr(
+        *[f"`{k}`" for k in keep],
+        *[f"0 AS `{f}`" if f in filled else f"`{f}`" for f in features],
     )
     return Aligned(frame, filled)
 
@@ -61,14 +61,9 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     Columns are turned into (name, value) rows, so each value is reduced on its own task.
     """
     cols = list(cols or df.columns)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
-            for c in cols
-        ]
-    )
+    pairs = [S.struct(column=S.text(c), value=f"CAST(`{c}` AS STRING)") for c in cols]
     return (
-        df.select(F.inline(pairs))
+        df.selectExpr(f"inline(array({', '.join(pairs)}))")
         .groupBy("column", "value")
         .agg(F.lit(1).alias("one"))
         .groupBy("column")
@@ -82,13 +77,10 @@ def constant_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
     One value means equal minimum and maximum and no mix with NULL: a plain aggregate of one
     row, with none of the row expansion exact distinct counts need.
     """
-    row = df.agg(
+    row = df.selectExpr(
         *[
-            F.when(
-                F.count(F.col(f"`{c}`")) == F.count("*"), F.min(f"`{c}`") == F.max(f"`{c}`")
-            )
-            .otherwise(F.count(F.col(f"`{c}`")) == 0)
-            .alias(f"{i}")
+            f"CASE WHEN count(`{c}`) = count(*) THEN min(`{c}`) = max(`{c}`)"
+            f" ELSE count(`{c}`) = 0 END AS c{i}"
             for i, c in enumerate(cols)
         ]
     ).first()

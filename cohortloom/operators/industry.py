@@ -13,7 +13,7 @@ from cohortloom.rules import SECTION_BANDS, SECTION_DEFAULT, code_map
 
 
 def valid_owner(df: DataFrame) -> DataFrame:
-    return df.where(F.col("d15").isNotNull() & (F.col("d15") > -1))
+    return df.where("d15 IS NOT NULL AND d15 > -1")
 
 
 def company_owner(
@@ -33,9 +33,9 @@ def owners_with_code(owners: DataFrame, register: DataFrame) -> DataFrame:
     the join, and a company listed many times then meets the join once.
     """
     codes = (
-        register.where(F.col("i1").isNotNull())
+        register.where("i1 IS NOT NULL")
         .groupBy("i1")
-        .agg(F.max(S.leading_token(F.col("i4"))).alias("sic_code"))
+        .agg(F.max(F.expr(S.leading_token("i4"))).alias("sic_code"))
     )
     return owners.join(codes, F.col("d3") == F.col("i1")).select("d15", "d3", "sic_code")
 
@@ -62,12 +62,8 @@ def with_section(
     default: str = SECTION_DEFAULT,
 ) -> DataFrame:
     """Division (first two characters) and section letter of ``new_sic_code``."""
-    division = S.division(F.col("new_sic_code"))
-    return df.select(
-        "*",
-        division.alias("sic_division"),
-        S.band(division, bands, default).alias("sic_section"),
-    )
+    division = df.selectExpr("*", f"{S.division('new_sic_code')} AS sic_division")
+    return division.selectExpr("*", f"{S.band('sic_division', bands, default)} AS sic_section")
 
 
 def industry_features(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions import predicates as P
@@ -40,20 +40,20 @@ def year_strata(first: int, last: int) -> tuple[Stratum, ...]:
 TRAINING_STRATA = year_strata(2017, 2022)
 
 
+def inside(s: Stratum) -> str:
+    return f"({P.between_incl('a2', s.low, s.high)} AND a1 = {s.levy})"
+
+
 def assign_strata(df: DataFrame, strata: Sequence[Stratum]) -> DataFrame:
     """One row per account and stratum it falls in, numbered in ``_stratum``."""
-    numbers = F.array(
-        *[
-            F.when(P.between_incl(F.col("a2"), s.low, s.high) & (F.col("a1") == s.levy), i)
-            for i, s in enumerate(strata)
-        ]
-    )
-    return df.select("*", F.explode(numbers).alias("_stratum")).where(F.col("_stratum").isNotNull())
+    numbers = ", ".join(f"CASE WHEN {inside(s)} THEN {i} END" for i, s in enumerate(strata))
+    numbered = df.selectExpr("*", f"explode(array({numbers})) AS _stratum")
+    return numbered.where("_stratum IS NOT NULL")
 
 
-def _first_per_group(df: DataFrame, group: str, order: Column, key: str, n: int) -> DataFrame:
+def _first_per_group(df: DataFrame, group: str, order: str, key: str, n: int) -> DataFrame:
     """The first n rows of each group by (hash, key)."""
-    ranked = df.withColumn("_order", order)
+    ranked = df.selectExpr("*", f"{order} AS _order")
     if n <= RANK_LIMIT:
         # Each task keeps its own first n per group before the shuffle.
         window = Window.partitionBy(group).orderBy("_order", key)
@@ -90,16 +90,16 @@ def sample_stratified(
     key: str = "a3",
 ) -> DataFrame:
     """Up to n accounts per stratum, each account once."""
-    order = S.seeded_hash(seed, F.col(key))
+    order = S.seeded_hash(seed, key)
     picked = _first_per_group(assign_strata(df, strata), "_stratum", order, key, n)
     return picked.drop("_stratum").distinct()
 
 
 def sample_top_n(df: DataFrame, n: int, seed: int, key: str = "a3") -> DataFrame:
     """n rows in seeded order, or all if there are fewer."""
-    order = S.seeded_hash(seed, F.col(key))
+    order = S.seeded_hash(seed, key)
     if n <= RANK_LIMIT:
-        return df.orderBy(order, key).limit(n)
+        return df.orderBy(F.expr(order), key).limit(n)
     return _first_per_group(df.withColumn("_all", F.lit(0)), "_all", order, key, n).drop("_all")
 
 
@@ -113,6 +113,5 @@ def hash_split(
 
     Keys (account, cohort) split rows; the account alone keeps its cohorts on one side.
     """
-    bucket = S.hash_bucket(seed, [F.col(k) for k in keys], 10_000)
-    in_test = bucket < round(test * 10_000)
-    return df.where(~in_test), df.where(in_test)
+    bucket, limit = S.hash_bucket(seed, keys, 10_000), round(test * 10_000)
+    return df.where(f"{bucket} >= {limit}"), df.where(f"{bucket} < {limit}")

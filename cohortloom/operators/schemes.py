@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions import predicates as P
@@ -28,7 +28,7 @@ def owner_profile(
         .agg(
             F.max("d10").alias("employees"),
             F.min(F.year("d6")).alias("scheme_start_year"),
-            F.max(S.type_letter(F.col("d12"))).alias("company_type"),
+            F.max(F.expr(S.type_letter("d12"))).alias("company_type"),
             F.max("d8").alias("company_status"),
         )
     )
@@ -47,7 +47,7 @@ def scheme_profile(
     """
     if ids is not None:
         accounts = restrict(accounts, ids, "a3", max_ids)
-    keys = accounts.where(P.before(F.col("a2"), cutoff)).select("a3", "a1")
+    keys = accounts.where(P.before("a2", cutoff)).select("a3", "a1")
     # distinct() after the join: both sides already lie by account, so it adds no shuffle.
     return (
         keys.join(owner_profile(schemes, ids, max_ids), F.col("a3") == F.col("d15"), "left")
@@ -56,24 +56,21 @@ def scheme_profile(
     )
 
 
-def profile_columns(rules: Rules, valid: Column | None = None) -> dict[str, Column]:
+def profile_columns(rules: Rules, valid: str = "true") -> list[str]:
     """Match flag, imputed values and type default over the columns of a profile.
 
     ``valid`` blanks the result for accounts outside the scheme cutoff.
     """
-    flag, letter = F.col("a1"), F.col("company_type")
-    columns = {
-        "tpr_match": S.match_flag(F.col("employees")),
+    known = {
+        "tpr_match": S.match_flag("employees"),
         "scheme_start_year": S.impute(
-            F.col("scheme_start_year"), flag, letter, rules.scheme_year, "int"
+            "scheme_start_year", "a1", "company_type", rules.scheme_year, "INT"
         ),
-        "employees": S.impute(F.col("employees"), flag, letter, rules.employees, "double"),
-        "company_type": S.type_default(letter),
-        "company_status": F.col("company_status"),
+        "employees": S.impute("employees", "a1", "company_type", rules.employees, "DOUBLE"),
+        "company_type": S.type_default("company_type"),
+        "company_status": "company_status",
     }
-    if valid is None:
-        return columns
-    return {name: F.when(valid, col) for name, col in columns.items()}
+    return [f"CASE WHEN {valid} THEN {value} END AS {name}" for name, value in known.items()]
 
 
 def scheme_features(
@@ -86,6 +83,4 @@ def scheme_features(
 ) -> DataFrame:
     """Profile with match flag, imputed year and employees, and type 'X' where unknown."""
     profile = scheme_profile(accounts, schemes, cutoff, ids, max_ids)
-    return profile.select(
-        "a3", *[col.alias(name) for name, col in profile_columns(rules).items()]
-    )
+    return profile.selectExpr("a3", *profile_columns(rules))

@@ -1,7 +1,7 @@
 """The one feature plan that training and scoring share.
 
-Everything is joined at account grain, where each input has one row per account and all lie by
-the same key; cohorts are unfolded last.
+Schemes and industry are joined at account grain, where each input has one row per account and
+all lie by the same key. Cohorts are unfolded next, and commitments joined by account and cohort.
 """
 
 from __future__ import annotations
@@ -10,8 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cohortloom.cohorts import Cohort
 from cohortloom.functions import predicates as P
@@ -53,18 +52,14 @@ class AccountIds:
     bound: int
 
 
-def _measure_columns(codes: Sequence[str]) -> list[str]:
-    return [*C.feature_columns(codes), "levy_sending_company"]
-
-
-def _has_features(c: Cohort) -> Column:
+def _has_features(c: Cohort) -> str:
     """Features exist for levy accounts created before the window; others count as 0."""
-    return (F.col("a1") == 1) & P.before(F.col("a2"), c.start)
+    return f"(a1 = 1 AND {P.before('a2', c.start)})"
 
 
-def _or_zero(name: str, valid: Column, value: Column) -> Column:
-    kind = SHARE_TYPE if name.startswith("occupation_") else "bigint"
-    return F.coalesce(F.when(valid, value), F.lit(0)).cast(kind).alias(name)
+def _or_zero(name: str, value: str) -> str:
+    kind = SHARE_TYPE if name.startswith("occupation_") else "BIGINT"
+    return f"CAST(coalesce(CASE WHEN _valid THEN {value} END, 0) AS {kind}) AS {name}"
 
 
 def cohort_frame(
@@ -79,39 +74,17 @@ def cohort_frame(
 
     ``accounts`` keeps whatever other columns it has.
     """
-    codes, null_share = settings.codes, settings.null_share
     scope = (None, None) if ids is None else (ids.frame, ids.bound)
-    if len(cohorts) > C.WIDE_COHORTS:
-        feats = C.commitment_features(commitments, cohorts, *scope, codes, null_share)
-        grown = A.expand_cohorts(
-            accounts, cohorts, lambda c: [_has_features(c).alias("_valid")], members_only
-        )
-        joined = A.attach(grown, feats, on=["a3", "cohort"])
-        sending = {"levy_sending_company": F.col("a7")}
-        return joined.select(
-            *[c for c in grown.columns if c not in ("a7", "_valid")],
-            *[
-                _or_zero(name, F.col("_valid"), sending.get(name, F.col(name)))
-                for name in _measure_columns(codes)
-            ],
-        )
-    counts = C.commitment_counts(commitments, cohorts, *scope, codes, null_share)
-    kept = accounts.columns
-
-    def measures(c: Cohort) -> list[Column]:
-        valid = _has_features(c)
-        return [
-            *[
-                _or_zero(name, valid, C.wide_measure(c.label, name, codes))
-                for name in C.feature_columns(codes)
-            ],
-            _or_zero("levy_sending_company", valid, F.col("a7")),
-        ]
-
-    joined = A.attach(accounts, counts, left="a3", right="b10")
-    names = ["cohort", "months_since_sign_up", "months_since_sign_up2", *_measure_columns(codes)]
-    return A.expand_cohorts(joined, cohorts, measures, members_only).select(
-        *[c for c in kept if c != "a7"], *names
+    features = C.commitment_features(
+        commitments, cohorts, *scope, settings.codes, settings.null_share
+    )
+    grown = A.expand_cohorts(
+        accounts, cohorts, lambda c: {"_valid": _has_features(c)}, members_only
+    )
+    return A.attach(grown, features, on=["a3", "cohort"]).selectExpr(
+        *[c for c in grown.columns if c not in ("a7", "_valid")],
+        *[_or_zero(name, name) for name in C.feature_columns(settings.codes)],
+        _or_zero("levy_sending_company", "a7"),
     )
 
 
@@ -127,9 +100,8 @@ def account_features(
     scope = (None, None) if ids is None else (ids.frame, ids.bound)
     base = A.early_adopter(accounts, settings.early_cutoff)
     joined = A.attach(base, owner_profile(tables.schemes, *scope), left="a3", right="d15")
-    in_scope = P.before(F.col("a2"), settings.scheme_cutoff)
-    profile = profile_columns(settings.rules, in_scope)
-    joined = joined.select(*base.columns, *[col.alias(name) for name, col in profile.items()])
+    in_scope = P.before("a2", settings.scheme_cutoff)
+    joined = joined.selectExpr(*base.columns, *profile_columns(settings.rules, in_scope))
     if settings.use_industry:
         industry = industry_features(
             tables.schemes,
@@ -145,10 +117,9 @@ def account_features(
 
 def derive(frame: DataFrame) -> DataFrame:
     """Company age, scheme age and size on the log scale."""
-    return A.new_company(frame).select(
+    age = S.years_since("CAST(cohort AS INT)", "scheme_start_year")
+    return A.new_company(frame).selectExpr(
         "*",
-        S.years_since(F.col("cohort").cast("int"), F.col("scheme_start_year")).alias(
-            "years_since_tpr_signup"
-        ),
-        S.log2p1(F.col("employees")).alias("log_employees"),
+        f"{age} AS years_since_tpr_signup",
+        f"{S.log2p1('employees')} AS log_employees",
     )

@@ -103,8 +103,8 @@ def score(
     """``account_id`` and predicted commitments; ``compat`` inverts with base 2."""
     with_code = any(hasattr(stage, "labelsArray") for stage in model.stages)
     aligned = align_to_model(frame, features, with_code, compat)
-    value = S.inverse_target(F.col(L.PREDICTION), 2 if compat else "e")
-    predicted = L.predict(aligned.frame, model).select("account_id", value.alias(PREDICTED))
+    value = S.inverse_target(L.PREDICTION, 2 if compat else "e")
+    predicted = L.predict(aligned.frame, model).selectExpr("account_id", f"{value} AS {PREDICTED}")
     return Scored(predicted, aligned.filled)
 
 

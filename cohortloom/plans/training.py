@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortloom.cohorts import TRAINING_COHORTS, Cohort
 from cohortloom.functions import predicates as P
@@ -18,7 +15,13 @@ from cohortloom.operators import accounts as A
 from cohortloom.operators import encoding as E
 from cohortloom.operators import learning as L
 from cohortloom.operators.commitments import OCCUPATION_CODES, share_columns
-from cohortloom.operators.sampling import TRAINING_STRATA, Stratum, hash_split, sample_stratified
+from cohortloom.operators.sampling import (
+    TRAINING_STRATA,
+    Stratum,
+    hash_split,
+    inside,
+    sample_stratified,
+)
 from cohortloom.plans.features import AccountIds, FeatureSettings, account_features
 from cohortloom.session import cut_lineage
 from cohortloom.sources.sinks import save_model
@@ -38,14 +41,7 @@ def training_accounts(
 ) -> tuple[DataFrame, AccountIds | None]:
     """Up to n accounts per stratum with their ids; without n, every account in a stratum."""
     if n is None:
-        inside = reduce(
-            or_,
-            [
-                P.between_incl(F.col("a2"), s.low, s.high) & (F.col("a1") == s.levy)
-                for s in strata
-            ],
-        )
-        return accounts.where(inside), None
+        return accounts.where(P.any_of(map(inside, strata))), None
     sample = sample_stratified(accounts, strata, n, seed)
     return sample, AccountIds(sample.select("a3"), n * len(strata))
 
@@ -64,8 +60,8 @@ def raw_training_frame(
     accounts, ids = training_accounts(population, strata, n, seed)
     frame = account_features(tables, accounts, cohorts, ids, settings)
     status = ELIGIBLE_STATUS if settings.use_industry else None
-    return A.eligible(frame, status=status).withColumn(
-        L.TARGET, S.log_target(F.col("total_commitments"))
+    return A.eligible(frame, status=status).selectExpr(
+        "*", f"{S.log_target('total_commitments')} AS {L.TARGET}"
     )
 
 

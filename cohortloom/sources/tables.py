@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.sources import schemas
@@ -64,7 +63,7 @@ class SourceTables:
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema])
 
 
 def as_accounts(df: DataFrame) -> DataFrame:
