@@ -30,7 +30,7 @@ from cohortloom.operators import schemes as H
 from cohortloom.plans import features as PF
 from cohortloom.plans import scoring as PS
 from cohortloom.plans import training as PT
-from cohortloom.session import shared_dir
+from cohortloom.session import cut_lineage, shared_dir
 from cohortloom.sources import load_model, save_model, write_predictions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1033,7 +1033,7 @@ def assemble(spark, sf):
 
 
 def fitted(spark, sf):
-    frame = model_frame(spark, sf).cache()
+    frame = cut_lineage(model_frame(spark, sf))
     features = model_features(frame)
     return frame, features, L.train(frame, features, FEW_TREES)
 
@@ -1088,7 +1088,7 @@ def model_save_load(spark, sf):
 
 @query("train_pipeline")
 def train_pipeline(spark, sf):
-    return PT.train_pipeline(model_frame(spark, sf).cache(), FEW_TREES).metrics
+    return PT.train_pipeline(cut_lineage(model_frame(spark, sf)), FEW_TREES).metrics
 
 
 @query(
@@ -1125,7 +1125,7 @@ def score_frame(spark, sf):
 def score_pipeline(spark, sf):
     """A model trained on the cohorts and saved scores every levy account as of a day."""
     path = scratch(spark)
-    PT.train_pipeline(model_frame(spark, sf).cache(), FEW_TREES, path=path)
+    PT.train_pipeline(cut_lineage(model_frame(spark, sf)), FEW_TREES, path=path)
     out = f"{path}/scored"
     PS.score_pipeline(
         T.tables(spark, sf), T.AS_OF, path, out, settings=settings(spark), fmt="parquet"

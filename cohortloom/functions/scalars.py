@@ -63,6 +63,16 @@ def type_letter(company_type: str) -> str:
     return f"upper(substring({company_type}, 1, 1))"
 
 
+def code_point(letter: str) -> str:
+    """Number of a single character that orders like it; 0 for empty text."""
+    return f"ascii({letter})"
+
+
+def from_code_point(number: str) -> str:
+    raw = f"unhex(lpad(hex({number}), 8, '0'))"
+    return f"CASE WHEN {number} = 0 THEN '' ELSE decode({raw}, 'UTF-32') END"
+
+
 def type_default(letter: str) -> str:
     return f"coalesce({letter}, 'X')"
 

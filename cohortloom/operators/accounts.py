@@ -29,6 +29,10 @@ def levy_only(df: DataFrame) -> DataFrame:
     return df.where("a1 = 1")
 
 
+def small_enough(max_ids: int | None) -> bool:
+    return max_ids is not None and max_ids <= BROADCAST_ROWS
+
+
 def restrict(df: DataFrame, ids: DataFrame, key: str, max_ids: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in the one-column ``ids``.
 
@@ -37,7 +41,7 @@ def restrict(df: DataFrame, ids: DataFrame, key: str, max_ids: int | None = None
     planner chooses from statistics.
     """
     ids = ids.select(F.col(ids.columns[0]).alias("_id"))
-    if max_ids is not None and max_ids <= BROADCAST_ROWS:
+    if small_enough(max_ids):
         ids = F.broadcast(ids)
     return df.join(ids, F.col(key) == F.col("_id"), "left_semi")
 

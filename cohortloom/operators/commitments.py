@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cohortloom.cohorts import Cohort
 from cohortloom.functions import predicates as P
 from cohortloom.functions import scalars as S
-from cohortloom.operators.accounts import restrict
+from cohortloom.operators.accounts import restrict, small_enough
 
 # Occupation codes with a share of their own.
 OCCUPATION_CODES = ("1", "2", "3", "7", "13", "14", "15", "17", "20", "22", "24")
@@ -174,7 +174,10 @@ def commitment_features(
     Left out are accounts with nothing counted for the cohort. In the others a count is 0, and
     a share NULL, where only that window is empty.
     """
-    scoped = b if ids is None else restrict(b, ids, OWNER, max_ids)
+    # Few ids are broadcast to the scan. Many would need the raw rows shuffled by account, so
+    # then it is the counts that are restricted.
+    early = ids is not None and small_enough(max_ids)
+    scoped = restrict(b, ids, OWNER, max_ids) if early else b
     conditions = {
         "total_commitments": "in_target",
         LOOKBACK: "in_lookback",
@@ -184,6 +187,8 @@ def commitment_features(
         **_code_conditions(codes, null_share),
     }
     counts = _tallies(_by_cohort(scoped, cohorts, list(FLAGS)), conditions)
+    if ids is not None and not early:
+        counts = restrict(counts, ids, OWNER)
     return counts.selectExpr(
         f"{OWNER} AS a3",
         "cohort",

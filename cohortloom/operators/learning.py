@@ -11,6 +11,8 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.session import use_checkpoints
+
 TARGET = "log_adjusted_commitments"
 PREDICTION = "prediction"
 
@@ -51,6 +53,7 @@ def train(
 
     An unseen or missing category encodes as all zeros.
     """
+    use_checkpoints(df.sparkSession)  # boosting cuts its own lineage every few trees
     indexed = [f"{c}_index" for c in categorical]
     encoded = [f"{c}_vector" for c in categorical]
     stages = []

@@ -47,7 +47,8 @@ def inside(s: Stratum) -> str:
 def assign_strata(df: DataFrame, strata: Sequence[Stratum]) -> DataFrame:
     """One row per account and stratum it falls in, numbered in ``_stratum``."""
     numbers = ", ".join(f"CASE WHEN {inside(s)} THEN {i} END" for i, s in enumerate(strata))
-    numbered = df.selectExpr("*", f"explode(array({numbers})) AS _stratum")
+    members = df.where(P.any_of(map(inside, strata)))
+    numbered = members.selectExpr("*", f"explode(array({numbers})) AS _stratum")
     return numbered.where("_stratum IS NOT NULL")
 
 

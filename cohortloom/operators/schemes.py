@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import predicates as P
 from cohortloom.functions import scalars as S
-from cohortloom.operators.accounts import restrict
+from cohortloom.operators.accounts import restrict, small_enough
 from cohortloom.rules import Rules
 
 SCHEME_CUTOFF = date(2022, 1, 1)
@@ -19,19 +19,32 @@ PROFILE = ("employees", "scheme_start_year", "company_type", "company_status")
 def owner_profile(
     schemes: DataFrame, ids: DataFrame | None = None, max_ids: int | None = None
 ) -> DataFrame:
-    """One row per owning account, so that joining it to accounts meets no repeated key."""
-    if ids is not None:
-        schemes = restrict(schemes, ids, "d15", max_ids)
-    return (
-        schemes.where(F.col("d15").isNotNull())
+    """One row per owning account, so that joining it to accounts meets no repeated key.
+
+    The largest letter is found by code point: a number can be kept in a hash aggregate, where
+    text would make every task sort its rows.
+    """
+    early = ids is not None and small_enough(max_ids)
+    scoped = restrict(schemes, ids, "d15", max_ids) if early else schemes
+    profile = (
+        scoped.where("d15 IS NOT NULL")
         .groupBy("d15")
         .agg(
             F.max("d10").alias("employees"),
             F.min(F.year("d6")).alias("scheme_start_year"),
-            F.max(F.expr(S.type_letter("d12"))).alias("company_type"),
+            F.max(F.expr(S.code_point(S.type_letter("d12")))).alias("_letter"),
             F.max("d8").alias("company_status"),
         )
     )
+    if ids is not None and not early:
+        profile = restrict(profile, ids, "d15")
+    return profile.selectExpr(
+        "d15",
+        "employees",
+        "scheme_start_year",
+        f"{S.from_code_point('_letter')} AS company_type",
+        "company_status",
+    )
 
 
 def scheme_profile(

@@ -32,17 +32,21 @@ def shared_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def use_checkpoints(spark: SparkSession) -> bool:
+    """Whether the context has a checkpoint folder, taking it from the session's setting."""
+    sc = spark.sparkContext
+    folder = shared_dir(spark)
+    if sc.getCheckpointDir() is None and folder is not None:
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() is not None
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's shared folder.
+    """The frame computed once, for plans that go on to read it many times.
 
-    The folder comes from ``spark.checkpoint.dir``. With neither that setting nor a
-    directory already given to the context, the plan is returned as it is: a folder of
-    one machine would not outlive its executor.
+    With a shared folder it is a reliable checkpoint, which outlives lost executors. Without
+    one (a local run) it is cached, and recomputed from its sources where blocks are lost.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = shared_dir(df.sparkSession)
-        if folder is None:
-            return df
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    if use_checkpoints(df.sparkSession):
+        return df.checkpoint(eager=True)
+    return df.persist()
