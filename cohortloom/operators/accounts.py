@@ -61,7 +61,15 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def drop_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=None if cols is None else list(cols))
+    """Rows with a value in every column; NaN counts as missing.
+
+    One condition per column: a single condition over all of them would be rewritten for every
+    combination of renamed columns when the planner derives what is known about the rows.
+    """
+    present = [f"`{c}` IS NOT NULL" for c in (df.columns if cols is None else cols)]
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    numbers = [f"NOT isnan(`{c}`)" for c in (df.columns if cols is None else cols) if c in floats]
+    return df.where(" AND ".join([*present, *numbers]))
 
 
 RENAMES = {
