@@ -40,6 +40,7 @@ ORACLES: dict[str, str] = {}
 FIRST, LAST = T.COHORTS[0], T.COHORTS[-1]
 MEASURES = [*O.SHARES, *O.COUNTS]
 TYPES = ["C", "E", "F", "I", "L", "P", "S", "X"]
+DIVISIONS = [f"{number:02d}" for number in range(1, 100)]
 SECTIONS = [letter for _, letter in T.RULES.bands] + ["Z"]
 FEW_TREES = L.BoostParams(max_iter=5, max_depth=3, max_bins=32)
 SAMPLE_N, SAMPLE_LARGE, SCORE_N = 2, 200, 7
@@ -770,6 +771,22 @@ def asof_features(spark, sf):
     return plain(frame.select("a3", *MEASURES))
 
 
+@query(
+    "asof_features_open_at_start",
+    O.sql(
+        f"SELECT a.a3, {O.zeroed(MEASURES, 'f')} FROM pt_a a"
+        f" LEFT JOIN ({O.both_parts(T.AS_OF_START)}) f ON a.a3 = f.a3 WHERE a.a1 = 1"
+    ),
+)
+def asof_features_open_at_start(spark, sf):
+    """As-of features with live counted at the window's start, as training does."""
+    accounts, _ = PS.score_accounts(T.accounts(spark, sf))
+    frame = PF.cohort_frame(
+        accounts, T.commitments(spark, sf), [T.AS_OF_START], members_only=False
+    )
+    return plain(frame.select("a3", *MEASURES))
+
+
 @query("scheme_features", O.sql("SELECT * FROM tpr", *O.SCHEME_CTES))
 def scheme_features(spark, sf):
     return scheme_features_of(spark, sf)
@@ -912,7 +929,8 @@ def one_hot_type(spark, sf):
 @query(
     "one_hot_industry",
     O.sql(
-        f"SELECT a3, {hot_sql('sic_section', 'sic_section', SECTIONS)}"
+        f"SELECT a3, {hot_sql('sic_section', 'sic_section', SECTIONS)},"
+        f" {hot_sql('sic_division', 'sic_division', DIVISIONS)}"
         " FROM pt_a LEFT JOIN sic ON a3 = d15",
         *O.INDUSTRY_CTES,
     ),
@@ -922,7 +940,8 @@ def one_hot_industry(spark, sf):
         T.accounts(spark, sf).select("a3"), industry_of(spark, sf), left="a3", right="d15"
     )
     hot = E.one_hot(joined, "sic_section", PT.SECTION_PREFIX, SECTIONS)
-    return hot.select("a3", *[f"{PT.SECTION_PREFIX}_{v}" for v in SECTIONS])
+    hot = E.one_hot(hot, "sic_division", PT.DIVISION_PREFIX, DIVISIONS)
+    return hot.drop("d15", "new_sic_code", "sic_section", "sic_division")
 
 
 MODEL_FEATURES = ["comp_type_Q", "employees", "comp_type_C", "scheme_start_year", "not_there"]
@@ -1075,8 +1094,17 @@ def feature_importance(spark, sf):
     return L.importance(model, features)
 
 
-@query("model_save_load")
-def model_save_load(spark, sf):
+@query("model_save")
+def model_save(spark, sf):
+    """The feature list as stored beside the model."""
+    _, features, model = fitted(spark, sf)
+    path = scratch(spark)
+    save_model(model, features, path)
+    return spark.read.parquet(f"{path}/features")
+
+
+@query("model_load")
+def model_load(spark, sf):
     """Predictions of a model that went through storage."""
     frame, features, model = fitted(spark, sf)
     path = scratch(spark)

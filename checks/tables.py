@@ -23,51 +23,58 @@ EARLY_CUTOFF = date(1995, 7, 1)
 SCHEME_CUTOFF = date(2000, 1, 1)
 AS_OF = date(2001, 7, 1)
 AS_OF_COHORT = rolling_cohort(AS_OF, compat=True)
+AS_OF_START = rolling_cohort(AS_OF)
 SEED = 42
 MAP_SIZE = 514
 
 
+# Columns used here, declared so that no file is opened to find the schema.
+DRIVER_COLUMNS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,"
+    " c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,"
+    " o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_returnflag STRING",
+    "part": "p_partkey BIGINT, p_size INT",
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(DRIVER_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _day(base: str, offset: str):
-    return F.expr(f"CAST(DATE '{base}' + CAST({offset} AS INT) AS TIMESTAMP_NTZ)")
+def _day(base: str, offset: str) -> str:
+    return f"DATE '{base}' + CAST({offset} AS INT)"
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.as_accounts(
-        load(spark, sf_dir, "customer").select(
-            F.expr("CASE WHEN c_nationkey % 3 = 0 THEN 0 ELSE 1 END").alias("a1"),
-            _day("1995-01-01", "(c_custkey * 37) % 2400").alias("a2"),
-            F.col("c_custkey").alias("a3"),
-            F.expr("CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END").alias("a7"),
+        load(spark, sf_dir, "customer").selectExpr(
+            "CASE WHEN c_nationkey % 3 = 0 THEN 0 ELSE 1 END AS a1",
+            f"{_day('1995-01-01', '(c_custkey * 37) % 2400')} AS a2",
+            "c_custkey AS a3",
+            "CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS a7",
         )
     )
 
 
 def commitments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
-    orders = load(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
-    )
-    parts = load(spark, sf_dir, "part").select("p_partkey", "p_size")
+    items = load(spark, sf_dir, "lineitem")
+    orders = load(spark, sf_dir, "orders")
+    parts = load(spark, sf_dir, "part")
     day = "CAST(o_orderdate AS DATE)"
     return T.as_commitments(
         items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.col("o_custkey").alias("b10"),
-            F.col("o_orderdate").alias("b2"),
-            F.expr("CASE WHEN p_size > 45 THEN NULL ELSE CAST(p_size AS STRING) END").alias("b6"),
-            F.expr("CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END").alias("b12"),
-            F.expr(
-                f"CASE WHEN o_orderstatus = 'P' THEN {day} + CAST(o_orderkey % 300 AS INT) END"
-            ).alias("b16"),
-            F.expr(f"{day} + 365").alias("b17"),
-            F.expr(
-                f"CASE WHEN o_orderstatus = 'F' THEN {day} + CAST(365 + o_orderkey % 60 AS INT) END"
-            ).alias("b20"),
+        .selectExpr(
+            "o_custkey AS b10",
+            "o_orderdate AS b2",
+            "CASE WHEN p_size > 45 THEN NULL ELSE CAST(p_size AS STRING) END AS b6",
+            "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS b12",
+            f"CASE WHEN o_orderstatus = 'P' THEN {day} + CAST(o_orderkey % 300 AS INT) END AS b16",
+            f"{day} + 365 AS b17",
+            f"CASE WHEN o_orderstatus = 'F' THEN {day} + CAST(365 + o_orderkey % 60 AS INT) END"
+            " AS b20",
         )
     )
 
@@ -77,21 +84,16 @@ COMPANY_TYPES = "Company Friendly Individual LLP Partnership Sole Exempt".split(
 
 def schemes(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = "".join(f" WHEN {i} THEN '{name}'" for i, name in enumerate(COMPANY_TYPES))
+    started = _day("1975-01-01", "(c_custkey * 53) % 7000")
     return T.as_schemes(
-        load(spark, sf_dir, "customer").select(
-            F.col("c_name").alias("d3"),
-            F.when(F.expr("c_custkey % 11 <> 0"), _day("1975-01-01", "(c_custkey * 53) % 7000"))
-            .alias("d6"),
-            F.expr("1 + c_nationkey % 4").alias("d8"),
-            F.expr(
-                "CASE WHEN c_custkey % 5 = 0 THEN NULL"
-                " ELSE CAST(FLOOR(ABS(c_acctbal) * 3) AS INT) END"
-            ).alias("d10"),
-            F.expr(f"CASE c_nationkey % 8{types} ELSE NULL END").alias("d12"),
-            F.expr(
-                "CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 19 = 0 THEN -1"
-                " ELSE c_custkey - c_custkey % 2 END"
-            ).alias("d15"),
+        load(spark, sf_dir, "customer").selectExpr(
+            "c_name AS d3",
+            f"CASE WHEN c_custkey % 11 <> 0 THEN {started} END AS d6",
+            "1 + c_nationkey % 4 AS d8",
+            "CASE WHEN c_custkey % 5 <> 0 THEN CAST(floor(abs(c_acctbal) * 3) AS INT) END AS d10",
+            f"CASE c_nationkey % 8{types} END AS d12",
+            "CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 19 = 0 THEN -1"
+            " ELSE c_custkey - c_custkey % 2 END AS d15",
         )
     )
 
