@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from datetime import date
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,26 +46,34 @@ def feature_columns(codes: Sequence[str] = OCCUPATION_CODES) -> list[str]:
     return [COUNTS[0], *share_columns(codes), *COUNTS[1:]]
 
 
-def _still_open(day: date) -> str:
+def _still_open(day: date | str) -> str:
     return P.open_at(day, *CLOSED)
 
 
-def in_target(c: Cohort) -> str:
+def _day(day: date | None) -> str:
+    return "CAST(NULL AS TIMESTAMP_NTZ)" if day is None else P.midnight(day)
+
+
+def in_target(c: Cohort | SimpleNamespace) -> str:
     return P.in_window(CREATED, c.start, c.target_end)
 
 
-def in_lookback(c: Cohort) -> str:
+def in_lookback(c: Cohort | SimpleNamespace) -> str:
     return P.in_window(CREATED, c.prev_start, c.start)
 
 
-def ending(c: Cohort) -> str:
+def ending(c: Cohort | SimpleNamespace) -> str:
     return f"({P.in_window(PLANNED_END, c.start, c.end)} AND {_still_open(c.start)})"
 
 
-def live(c: Cohort) -> str:
+def live(c: Cohort | SimpleNamespace) -> str:
     return f"({P.before(CREATED, c.start)} AND {_still_open(c.open_date)})"
 
 
+# Days of a cohort, and the columns that hold them where cohorts are unfolded.
+DAYS = ("prev_start", "start", "end", "target_end", "open_date")
+DAY_COLUMNS = SimpleNamespace(**{day: f"_{day}" for day in DAYS})
+
 FLAGS = {"in_target": in_target, "in_lookback": in_lookback, "ending": ending, "live": live}
 
 
@@ -90,24 +99,46 @@ def _relevant(cohorts: Sequence[Cohort], flags: Sequence[str]) -> str:
 
 
 def _by_cohort(b: DataFrame, cohorts: Sequence[Cohort], flags: Sequence[str]) -> DataFrame:
-    """One row per commitment and cohort that counts it, with the flags that do."""
-    entries = ", ".join(
-        S.struct(cohort=S.text(c.label), **{flag: FLAGS[flag](c) for flag in flags})
-        for c in cohorts
+    """One row per commitment and cohort that counts it, with the flags that do.
+
+    The cohorts are a constant array in the plan. Their days are unfolded into columns, so each
+    condition stands in the plan once however many cohorts there are.
+    """
+    table = ", ".join(
+        S.struct(_cohort=str(i), **{f"_{day}": _day(getattr(c, day)) for day in DAYS})
+        for i, c in enumerate(cohorts)
     )
     return (
         b.where(_relevant(cohorts, flags))
-        .selectExpr(OWNER, CODE, TRANSFER, f"inline(array({entries}))")
+        .selectExpr("*", f"inline(array({table}))")
+        .selectExpr(
+            OWNER, CODE, TRANSFER, "_cohort", *[f"{FLAGS[f](DAY_COLUMNS)} AS {f}" for f in flags]
+        )
         .where(P.any_of(flags))
     )
 
 
-def _tallies(rows: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
-    return rows.groupBy(OWNER, "cohort").agg(
-        *[F.expr(f"{S.tally(cond)} AS {name}") for name, cond in conditions.items()]
+def _tallies(
+    b: DataFrame, cohorts: Sequence[Cohort], flags: Sequence[str], conditions: Mapping[str, str]
+) -> DataFrame:
+    """Rows for which each condition on the flags holds, per account and cohort.
+
+    Grouping is by the cohort's number in ``_cohort``, a shorter key than its label.
+    """
+    return (
+        _by_cohort(b, cohorts, flags)
+        .groupBy(OWNER, "_cohort")
+        .agg(*[F.expr(f"{S.tally(cond)} AS {name}") for name, cond in conditions.items()])
     )
 
 
+def _labelled(df: DataFrame, cohorts: Sequence[Cohort]) -> DataFrame:
+    """The label in ``cohort`` for the number in ``_cohort``."""
+    labels = ", ".join(S.text(c.label) for c in cohorts)
+    rest = [c for c in df.columns[1:] if c != "_cohort"]
+    return df.selectExpr(df.columns[0], f"array({labels})[_cohort] AS cohort", *rest)
+
+
 def _code_conditions(codes: Sequence[str], null_share: str) -> dict[str, str]:
     """``is_null`` counts missing codes; ``equals_null`` is the comparison that never holds."""
     missing = {"is_null": f"{CODE} IS NULL", "equals_null": f"{CODE} = NULL"}[null_share]
@@ -136,17 +167,19 @@ def count_in_window(
     """
     flag = {("start", "target_end"): "in_target", ("prev_start", "start"): "in_lookback"}
     counted = b if cond is None else b.where(cond)
-    return _tallies(_by_cohort(counted, cohorts, [flag[start, end]]), {name: "true"})
+    return _labelled(_tallies(counted, cohorts, [flag[start, end]], {name: "true"}), cohorts)
 
 
 def ending_in_window(b: DataFrame, cohorts: Sequence[Cohort]) -> DataFrame:
     """Commitments with planned end in [start, end) still open at start."""
-    return _tallies(_by_cohort(b, cohorts, ["ending"]), {"commitments_ending_12m": "true"})
+    counts = _tallies(b, cohorts, ["ending"], {"commitments_ending_12m": "true"})
+    return _labelled(counts, cohorts)
 
 
 def live_at(b: DataFrame, cohorts: Sequence[Cohort]) -> DataFrame:
     """Commitments created before start and open at the cohort's open date."""
-    return _tallies(_by_cohort(b, cohorts, ["live"]), {"current_live_commitments": "true"})
+    counts = _tallies(b, cohorts, ["live"], {"current_live_commitments": "true"})
+    return _labelled(counts, cohorts)
 
 
 def mix_share(
@@ -156,9 +189,9 @@ def mix_share(
     null_share: str = "is_null",
 ) -> DataFrame:
     """Share of each code among look-back commitments, per account and cohort that has any."""
-    rows = _by_cohort(b, cohorts, ["in_lookback"])
-    counts = _tallies(rows, {LOOKBACK: "true", **_code_conditions(codes, null_share)})
-    return counts.selectExpr(OWNER, "cohort", *[_share(name) for name in share_columns(codes)])
+    conditions = {LOOKBACK: "true", **_code_conditions(codes, null_share)}
+    counts = _tallies(b, cohorts, ["in_lookback"], conditions)
+    return _labelled(counts, cohorts).selectExpr(OWNER, "cohort", *[_share(name) for name in share_columns(codes)])
 
 
 def commitment_features(
@@ -174,6 +207,22 @@ def commitment_features(
     Left out are accounts with nothing counted for the cohort. In the others a count is 0, and
     a share NULL, where only that window is empty.
     """
+    features = numbered_features(b, cohorts, ids, max_ids, codes, null_share)
+    return _labelled(features, cohorts)
+
+
+def numbered_features(
+    b: DataFrame,
+    cohorts: Sequence[Cohort],
+    ids: DataFrame | None = None,
+    max_ids: int | None = None,
+    codes: Sequence[str] = OCCUPATION_CODES,
+    null_share: str = "is_null",
+) -> DataFrame:
+    """``commitment_features`` keyed by the cohort's number.
+
+    It lies by (a3, _cohort) as aggregated, so a join on these keys shuffles it no further.
+    """
     # Few ids are broadcast to the scan. Many would need the raw rows shuffled by account, so
     # then it is the counts that are restricted.
     early = ids is not None and small_enough(max_ids)
@@ -186,12 +235,12 @@ def commitment_features(
         "current_live_commitments": "live",
         **_code_conditions(codes, null_share),
     }
-    counts = _tallies(_by_cohort(scoped, cohorts, list(FLAGS)), conditions)
+    counts = _tallies(scoped, cohorts, list(FLAGS), conditions)
     if ids is not None and not early:
         counts = restrict(counts, ids, OWNER)
     return counts.selectExpr(
         f"{OWNER} AS a3",
-        "cohort",
+        "_cohort",
         *[name if name in COUNTS else _share(name) for name in feature_columns(codes)],
     )
 

@@ -75,14 +75,18 @@ def cohort_frame(
     ``accounts`` keeps whatever other columns it has.
     """
     scope = (None, None) if ids is None else (ids.frame, ids.bound)
-    features = C.commitment_features(
+    features = C.numbered_features(
         commitments, cohorts, *scope, settings.codes, settings.null_share
     )
+    number = {c: str(i) for i, c in enumerate(cohorts)}
     grown = A.expand_cohorts(
-        accounts, cohorts, lambda c: {"_valid": _has_features(c)}, members_only
+        accounts,
+        cohorts,
+        lambda c: {"_cohort": number[c], "_valid": _has_features(c)},
+        members_only,
     )
-    return A.attach(grown, features, on=["a3", "cohort"]).selectExpr(
-        *[c for c in grown.columns if c not in ("a7", "_valid")],
+    return A.attach(grown, features, on=["a3", "_cohort"]).selectExpr(
+        *[c for c in grown.columns if c not in ("a7", "_valid", "_cohort")],
         *[_or_zero(name, name) for name in C.feature_columns(settings.codes)],
         _or_zero("levy_sending_company", "a7"),
     )

@@ -8,6 +8,7 @@ from checks import catalog
 from checks import tables as T
 from cohortloom.operators import commitments as C
 from cohortloom.operators import sampling as M
+from cohortloom.plans import features as PF
 from cohortloom.plans import scoring as PS
 from cohortloom.plans import training as PT
 from cohortloom.sources import ParquetSource, read_tables
@@ -56,6 +57,12 @@ def test_commitments_are_scanned_and_shuffled_once(static_plans, tables):
     assert "SortAggregate" not in text
 
 
+def test_cohort_frame_shuffles_each_side_once(static_plans, tables):
+    text = plan(PF.cohort_frame(tables.accounts, tables.commitments, T.COHORTS))
+    assert scans(text, "pt_b") == 1 and scans(text, "pt_a") == 1
+    assert text.count("Exchange") == 2
+
+
 def test_filters_and_columns_reach_the_scan(static_plans, tables):
     text = plan(C.count_in_window(tables.commitments, T.COHORTS[:1], "prev_start", "start"))
     scan = next(line for line in text.splitlines() if "FileScan" in line)
