@@ -528,24 +528,13 @@ def drop_missing(spark, sf):
 # --- joins -----------------------------------------------------------------------------------
 
 
-@query("join_accounts_aggs", O.sql(O.part_one(FIRST)))
+@query(
+    "join_accounts_aggs",
+    O.sql(" UNION ALL ".join(O.both_parts(c) for c in T.COHORTS)),
+)
 def join_accounts_aggs(spark, sf):
     """Aggregates joined as they are: NULL where an account has no row in the window."""
-    accounts = A.created_before(A.levy_only(T.accounts(spark, sf)), FIRST.start)
-    targets = target_counts(spark, sf).drop("cohort")
-    joined = A.attach(accounts, targets, left="a3", right="b10").drop("b10")
-    joined = A.attach(joined, lookback_of(spark, sf), left="a3", right="b10").drop("b10")
-    return plain(
-        joined.select(
-            "a3",
-            F.lit(FIRST.label).alias("cohort"),
-            "total_commitments",
-            *O.SHARES,
-            "prev_12m_new_commitments",
-            "prev_12m_new_levy_transfers",
-            F.col("a7").alias("levy_sending_company"),
-        )
-    )
+    return plain(PF.raw_features(T.accounts(spark, sf), T.commitments(spark, sf), T.COHORTS))
 
 
 JOINED_PARTS = (

@@ -62,17 +62,17 @@ def _or_zero(name: str, value: str) -> str:
     return f"CAST(coalesce(CASE WHEN _valid THEN {value} END, 0) AS {kind}) AS {name}"
 
 
-def cohort_frame(
+def _attached(
     accounts: DataFrame,
     commitments: DataFrame,
     cohorts: Sequence[Cohort],
-    ids: AccountIds | None = None,
-    settings: FeatureSettings = FeatureSettings(),
-    members_only: bool = True,
-) -> DataFrame:
-    """Accounts by cohort with tenure and zero-filled commitment features.
+    ids: AccountIds | None,
+    settings: FeatureSettings,
+    members_only: bool,
+) -> tuple[DataFrame, list[str]]:
+    """Accounts by cohort left joined to their features, and the account columns among these.
 
-    ``accounts`` keeps whatever other columns it has.
+    ``_valid`` tells where features count. Both sides are shuffled once, by account and cohort.
     """
     scope = (None, None) if ids is None else (ids.frame, ids.bound)
     features = C.numbered_features(
@@ -85,13 +85,53 @@ def cohort_frame(
         lambda c: {"_cohort": number[c], "_valid": _has_features(c)},
         members_only,
     )
-    return A.attach(grown, features, on=["a3", "_cohort"]).selectExpr(
-        *[c for c in grown.columns if c not in ("a7", "_valid", "_cohort")],
+    kept = [c for c in grown.columns if c not in ("a7", "_valid", "_cohort")]
+    return A.attach(grown, features, on=["a3", "_cohort"]), kept
+
+
+def cohort_frame(
+    accounts: DataFrame,
+    commitments: DataFrame,
+    cohorts: Sequence[Cohort],
+    ids: AccountIds | None = None,
+    settings: FeatureSettings = FeatureSettings(),
+    members_only: bool = True,
+) -> DataFrame:
+    """Accounts by cohort with tenure and zero-filled commitment features.
+
+    ``accounts`` keeps whatever other columns it has.
+    """
+    joined, kept = _attached(accounts, commitments, cohorts, ids, settings, members_only)
+    return joined.selectExpr(
+        *kept,
         *[_or_zero(name, name) for name in C.feature_columns(settings.codes)],
         _or_zero("levy_sending_company", "a7"),
     )
 
 
+def raw_features(
+    accounts: DataFrame,
+    commitments: DataFrame,
+    cohorts: Sequence[Cohort],
+    ids: AccountIds | None = None,
+    settings: FeatureSettings = FeatureSettings(),
+) -> DataFrame:
+    """Features before filling: levy accounts created before each cohort's start only.
+
+    A measure is NULL, not 0, where the account has no row in the window it is taken from.
+    """
+    joined, _ = _attached(accounts, commitments, cohorts, ids, settings, False)
+    moved = "prev_12m_new_levy_transfers"
+    unfilled = {name: f"nullif({name}, 0) AS {name}" for name in C.COUNTS}
+    unfilled[moved] = f"CASE WHEN {C.LOOKBACK} > 0 THEN {moved} END AS {moved}"
+    return joined.where("_valid").selectExpr(
+        "a3",
+        "cohort",
+        *[unfilled.get(name, name) for name in C.feature_columns(settings.codes)],
+        "a7 AS levy_sending_company",
+    )
+
+
 def account_features(
     tables: SourceTables,
     accounts: DataFrame,
