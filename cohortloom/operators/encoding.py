@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from cohortloom.functions import scalars as S
 
 MAX_CATEGORIES = 1000
+# Longest sparse vector for one column; its labels are kept by the model.
+MAX_VECTOR_WIDTH = 100_000
 
 
 def categories(df: DataFrame, col: str, max_width: int = MAX_CATEGORIES) -> list[str]:
@@ -24,6 +26,13 @@ def categories(df: DataFrame, col: str, max_width: int = MAX_CATEGORIES) -> list
     return sorted(row[0] for row in found)
 
 
+def check_width(df: DataFrame, col: str, max_width: int = MAX_VECTOR_WIDTH) -> None:
+    """Raise if a column has more values than a vector should have positions."""
+    found = df.select(col).distinct().limit(max_width + 1).count()
+    if found > max_width:
+        raise ValueError(f"{col!r} has more than {max_width} values: is it free text?")
+
+
 def one_hot(
     df: DataFrame,
     col: str,

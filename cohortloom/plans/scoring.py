@@ -24,6 +24,7 @@ from cohortloom.plans.training import (
     SECTION_PREFIX,
     TYPE_PREFIX,
 )
+from cohortloom.session import cut_lineage
 from cohortloom.sources.sinks import load_model, write_predictions
 from cohortloom.sources.tables import SourceTables
 
@@ -39,7 +40,7 @@ def score_accounts(
     levy = A.levy_only(accounts)
     if n is None:
         return levy, None
-    sample = sample_top_n(levy, n, seed)
+    sample = cut_lineage(sample_top_n(levy, n, seed))
     return sample, AccountIds(sample.select("a3"), n)
 
 

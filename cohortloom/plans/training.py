@@ -39,10 +39,13 @@ def training_accounts(
     n: int | None = None,
     seed: int = 42,
 ) -> tuple[DataFrame, AccountIds | None]:
-    """Up to n accounts per stratum with their ids; without n, every account in a stratum."""
+    """Up to n accounts per stratum with their ids; without n, every account in a stratum.
+
+    A sample is drawn once, since every scan that follows is restricted to it.
+    """
     if n is None:
         return accounts.where(P.any_of(map(inside, strata))), None
-    sample = sample_stratified(accounts, strata, n, seed)
+    sample = cut_lineage(sample_stratified(accounts, strata, n, seed))
     return sample, AccountIds(sample.select("a3"), n * len(strata))
 
 
@@ -122,6 +125,8 @@ def training_frame(
     raw = cut_lineage(
         raw_training_frame(tables, cohorts, strata, n, seed, settings, levy_accounts_only)
     )
+    if settings.use_industry:
+        E.check_width(raw, CODE_COLUMN)
     frame = encoded(raw, settings)
     varying = E.drop_constant(frame, protect=[*KEYS, L.TARGET, CODE_COLUMN])
     return A.drop_missing(varying, [c for c in varying.columns if c != CODE_COLUMN])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 ENGINE_CONF = {
@@ -44,9 +46,14 @@ def use_checkpoints(spark: SparkSession) -> bool:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The frame computed once, for plans that go on to read it many times.
 
-    With a shared folder it is a reliable checkpoint, which outlives lost executors. Without
-    one (a local run) it is cached, and recomputed from its sources where blocks are lost.
+    With a shared folder it is written there as a table, which outlives lost executors and is
+    read back by column. Without one (a local run) it is cached, and recomputed from its sources
+    where blocks are lost.
     """
-    if use_checkpoints(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist()
+    spark = df.sparkSession
+    if not use_checkpoints(spark):
+        return df.persist()
+    folder = shared_dir(spark) or spark.sparkContext.getCheckpointDir()
+    path = f"{folder.rstrip('/')}/frame-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -295,6 +295,9 @@ def test_one_hot_width_is_checked(spark):
     df = spark.range(20).selectExpr("CAST(id AS STRING) AS v")
     with pytest.raises(ValueError, match="more than 10"):
         E.one_hot(df, "v", "v", max_width=10)
+    with pytest.raises(ValueError, match="free text"):
+        E.check_width(df, "v", max_width=10)
+    E.check_width(df, "v", max_width=20)
     quoted = spark.createDataFrame([("it's",), ("b\\c",), (None,)], "v string")
     hot = E.one_hot(quoted, "v", "v")
     assert [tuple(r)[1:] for r in hot.collect()] == [(0, 1), (1, 0), (0, 0)]

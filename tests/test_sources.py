@@ -58,7 +58,7 @@ def test_code_map_file(spark, tmp_path):
     assert rows == {("0111", "01110"), ("0112", "01110")}
 
 
-def test_cut_lineage_checkpoints(spark):
+def test_cut_lineage_reads_back(spark):
     df = cut_lineage(spark.range(10).selectExpr("id * 2 AS x"))
     assert df.count() == 10
     assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
