@@ -862,10 +862,13 @@ def union_distinct(spark, sf):
     return sampled(spark, sf, SAMPLE_LARGE).groupBy("a1").agg(F.count("*").alias("accounts"))
 
 
+ROW_KEY = "a3 || '-' || cohort"
+
+
 @query(
     "train_test_split",
     O.sql(
-        f"SELECT a3 AS account_id, cohort, CASE WHEN {O.in_test(7, chr(97) + '3 || ' + repr('-') + ' || cohort')}"
+        f"SELECT a3 AS account_id, cohort, CASE WHEN {O.in_test(7, ROW_KEY)}"
         " THEN 'test' ELSE 'train' END AS side FROM members",
         O.MEMBERS,
     ),

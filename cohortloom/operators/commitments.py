@@ -191,7 +191,8 @@ def mix_share(
     """Share of each code among look-back commitments, per account and cohort that has any."""
     conditions = {LOOKBACK: "true", **_code_conditions(codes, null_share)}
     counts = _tallies(b, cohorts, ["in_lookback"], conditions)
-    return _labelled(counts, cohorts).selectExpr(OWNER, "cohort", *[_share(name) for name in share_columns(codes)])
+    shares = [_share(name) for name in share_columns(codes)]
+    return _labelled(counts, cohorts).selectExpr(OWNER, "cohort", *shares)
 
 
 def commitment_features(
