@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import chat_format
+from cohortloom.llm import chat_format, decontaminate
 from cohortloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,44 @@ def op4_chat_format(spark, sf):
     probe = probe.select("row.*").toDF(*columns)
     chats = table(spark, sf, "conversations").select(*columns).union(probe)
     return chat_format.digests(chat_format.format_chats(chats))
+
+
+# --- benchmark decontamination ------------------------------------------------------------------
+
+DECONTAMINATE_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), want AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size,
+    array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM item WHERE len(w) > 0)
+), have AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM doc, (SELECT DISTINCT size FROM want))
+), hit AS (
+  SELECT doc_id, item_id, i, size FROM have JOIN want USING (size, gram)
+), counted AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM hit) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+
+@query(DECONTAMINATE_SQL)
+def op5_decontaminate(spark, sf):
+    return decontaminate.contamination(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    )
