@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import chat_format, decontaminate
+from cohortloom.llm import chat_format, decontaminate, secret_ledger
 from cohortloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,39 @@ def op5_decontaminate(spark, sf):
     return decontaminate.contamination(
         table(spark, sf, "documents"), table(spark, sf, "benchmark")
     )
+
+
+# --- secret scans -------------------------------------------------------------------------------
+
+SECRETS_SQL = r"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+rule(kind, rank, pattern, least) AS (VALUES
+  ('assign', 0, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+  ('access', 1, '()(AKIA[A-Z0-9]+)', 20), ('hex', 2, '()([0-9a-f]+)', 24)
+), gap AS (
+  SELECT doc_id, kind, rank, least, regexp_split_to_array(text, pattern) AS gaps,
+    regexp_extract_all(text, pattern) AS matches, regexp_extract_all(text, pattern, 2) AS checked
+  FROM doc, rule
+), cell AS (
+  SELECT doc_id, kind, rank, least, unnest(gaps[:len(matches)]) AS gap, unnest(matches) AS m,
+    unnest(checked) AS c, unnest(range(len(matches))) AS i FROM gap
+), span AS (
+  SELECT *, sum(len(gap) + len(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM cell
+), kept AS (
+  SELECT doc_id, kind, rank, stop - len(m) AS start, stop FROM span WHERE len(c) >= least
+), listed AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+    count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+  FROM kept GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM doc LEFT JOIN listed USING (doc_id)"""
+
+
+@query(SECRETS_SQL)
+def op8_secret_ledger(spark, sf):
+    return secret_ledger.digests(secret_ledger.scan(table(spark, sf, "documents")))
