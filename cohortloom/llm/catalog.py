@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import chat_format, decontaminate, secret_ledger
+from cohortloom.llm import chat_format, decontaminate, license_rules, secret_ledger
 from cohortloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +148,49 @@ FROM doc LEFT JOIN listed USING (doc_id)"""
 @query(SECRETS_SQL)
 def op8_secret_ledger(spark, sf):
     return secret_ledger.digests(secret_ledger.scan(table(spark, sf, "documents")))
+
+
+# --- license scans ------------------------------------------------------------------------------
+
+
+def _licenses_sql() -> str:
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    sentences = ", ".join(f"({text(k)}, {text(v)})" for k, v in license_rules.SENTENCES.items())
+    rules = ", ".join(
+        f"({text(name)}, {text(',' + ','.join(ids) + ',')})" for name, ids in license_rules.RULES
+    )
+    norm = (
+        "trim(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+        r" 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ')"
+    )
+    # a mark that no text holds stands for the look-behind
+    return rf"""
+WITH known AS (
+  SELECT sentence_id, {norm.format("s")} AS sentence FROM (VALUES {sentences}) AS v(sentence_id, s)
+), rule(name, chain) AS (VALUES {rules}), cut AS (
+  SELECT doc_id, unnest(parts) AS s, unnest(range(len(parts))) AS i
+  FROM (SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''),
+      '([.!?;:])[\x20\x09-\x0D]+', '\1' || chr(1114109), 'g'), '[\x0A\x0D]+', chr(1114109), 'g'),
+    chr(1114109)) AS parts FROM documents)
+), seq AS (
+  SELECT doc_id, count(*) AS n_known, string_agg(sentence_id, ',' ORDER BY i) AS sentence_ids
+  FROM (SELECT doc_id, i, {norm.format("s")} AS sentence FROM cut) JOIN known USING (sentence)
+  GROUP BY doc_id
+), named AS (
+  SELECT DISTINCT doc_id, name FROM seq JOIN rule ON contains(',' || sentence_ids || ',', chain)
+), listed AS (
+  SELECT doc_id, string_agg(name, ',' ORDER BY name) AS licenses FROM named AS a
+  WHERE NOT (name = 'BSD-2-Clause' AND EXISTS (
+    SELECT 1 FROM named AS b WHERE b.doc_id = a.doc_id AND b.name = 'BSD-3-Clause'))
+  GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_known, 0) AS n_known, coalesce(sentence_ids, '') AS sentence_ids,
+  coalesce(licenses, '') AS licenses
+FROM documents LEFT JOIN seq USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+
+@query(_licenses_sql())
+def op10_license_rules(spark, sf):
+    return license_rules.licenses(table(spark, sf, "documents"))
