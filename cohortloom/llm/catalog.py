@@ -8,7 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import chat_format, decontaminate, license_rules, secret_ledger
+from cohortloom.llm import (
+    chat_format,
+    decontaminate,
+    license_rules,
+    quality_trees,
+    secret_ledger,
+)
 from cohortloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +200,11 @@ FROM documents LEFT JOIN seq USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 @query(_licenses_sql())
 def op10_license_rules(spark, sf):
     return license_rules.licenses(table(spark, sf, "documents"))
+
+
+# --- quality classifier -------------------------------------------------------------------------
+
+
+@query()
+def op1_quality_trees(spark, sf):
+    return quality_trees.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
