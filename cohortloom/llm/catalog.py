@@ -12,6 +12,7 @@ from cohortloom.llm import (
     chat_format,
     decontaminate,
     license_rules,
+    piece_lattice,
     quality_trees,
     secret_ledger,
 )
@@ -208,3 +209,11 @@ def op10_license_rules(spark, sf):
 @query()
 def op1_quality_trees(spark, sf):
     return quality_trees.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+# --- SentencePiece encoding and decoding --------------------------------------------------------
+
+
+@query()
+def op3_piece_lattice(spark, sf):
+    return piece_lattice.encode(table(spark, sf, "documents"), piece_lattice.load_pieces())
