@@ -25,86 +25,99 @@ WINDOW = 10
 BROADCAST_GRAMS = 200_000
 #: Words consist of digits, letters and everything that is not ASCII.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+CELL = "struct<size: int, at: int, gram: string, near: array<string>>"
 
 
 def words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(ascii_lower(text), BREAK, " ")), " ")
 
 
-def _tokenised(df: DataFrame, *keys: str) -> DataFrame:
-    """The rows that have words, with those words; the others can neither hit nor be hit."""
-    return df.select(*keys, words(F.col("text")).alias("words")).where(F.col("words")[0] != "")
-
-
-def _around(at: Column, block: int, reach: int) -> Column:
-    """Block at word ``at`` with ``reach`` words on either side; past the ends, empty words."""
+def _tokenised(df: DataFrame, reach: int, *keys: str) -> DataFrame:
+    """Number of words, and the words with ``reach`` empty ones on either side."""
     pad = F.array_repeat(F.lit(""), reach)
-    return F.slice(F.concat(pad, F.col("words"), pad), at + 1, 2 * reach + block)
-
-
-def _gram(at: Column, block: int) -> Column:
-    return F.array_join(F.slice("words", at + 1, block), " ")
+    return df.select(*keys, words(F.coalesce("text", F.lit(""))).alias("words")).select(
+        *keys,
+        F.when(F.col("words")[0] == "", 0).otherwise(F.size("words")).alias("n"),
+        F.concat(pad, "words", pad).alias("padded"),
+    )
 
 
-def _cells(starts: Column, size: int, step: int) -> Column:
+def _cells(starts: Column, size: int, step: int, reach: int) -> Column:
     """An n-gram of half the window, with the words around it, at ``step`` times every start."""
     block = (size + 1) // 2
+    own = size - block
     return F.transform(
         starts,
         lambda i: F.struct(
             F.lit(size).alias("size"),
             (i * step).alias("at"),
-            _gram(i * step, block).alias("gram"),
-            _around(i * step, block, size - block).alias("near"),
+            F.array_join(F.slice("padded", i * step + reach + 1, block), " ").alias("gram"),
+            F.slice("padded", i * step + reach - own + 1, own + size).alias("near"),
         ),
     )
 
 
+def _starts(last: Column, some: Column) -> Column:
+    none = F.array().cast("array<int>")
+    return F.when(some, F.sequence(F.lit(0), last)).otherwise(none)
+
+
 def item_grams(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Every n-gram of every item: its window's size, text, item, and the words around it."""
-    rows = None
-    items = _tokenised(benchmark, "item_id").withColumn("n", F.size("words"))
+    reach = window // 2
+    cells = []
     for size in range(1, window + 1):
-        block = (size + 1) // 2
-        own = items.where(F.col("n") >= size if size == window else F.col("n") == size)
-        part = own.select(
-            "item_id",
-            F.explode(_cells(F.sequence(F.lit(0), F.col("n") - block), size, 1)).alias("g"),
-        ).select("item_id", "g.size", "g.gram", F.col("g.near").alias("theirs"))
-        rows = part if rows is None else rows.union(part)
-    return rows.distinct()
+        fits = F.col("n") >= size if size == window else F.col("n") == size
+        starts = _starts(F.col("n") - (size + 1) // 2, fits)
+        cells.append(_cells(starts, size, 1, reach))
+    return (
+        _tokenised(benchmark, reach, "item_id")
+        .select("item_id", F.explode(F.concat(*cells)).alias("g"))
+        .select("item_id", "g.size", "g.gram", F.col("g.near").alias("theirs"))
+        .distinct()
+    )
 
 
 def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Runs of hit words: doc_id, text_key, item_id, first and last word (from 0)."""
+    """Runs of hit words: doc_id, text_key, n, item_id, first and last word (from 0).
+
+    Every document row also has one row without a run, so that all are there.
+    """
+    reach = window // 2
     grams = item_grams(benchmark, window)
     counts = {r["size"]: r["count"] for r in grams.groupBy("size").count().collect()}
     if sum(counts.values()) <= BROADCAST_GRAMS:
         grams = F.broadcast(grams)
-    docs = _tokenised(documents, "doc_id", F.xxhash64("text").alias("text_key"))
-    docs = docs.withColumn("n", F.size("words"))
-    blocks = F.concat(*[_blocks(size) for size in sorted(counts or {window: 0})])
+    cells = []
+    for size in sorted(counts or {window: 0}):
+        block = (size + 1) // 2
+        last = F.floor(F.col("n") / block).cast("int") - 1
+        cells.append(_cells(_starts(last, F.col("n") >= size), size, block, reach))
+    row = F.array(F.lit(None).cast(CELL))
+    docs = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = (
-        docs.select("doc_id", "text_key", F.explode(blocks).alias("b"))
-        .select("doc_id", "text_key", "b.*")
-        .join(grams, ["size", "gram"])
+        _tokenised(docs, reach, "doc_id", "text_key")
+        .select("doc_id", "text_key", "n", F.explode(F.concat(row, *cells)).alias("b"))
+        .select("doc_id", "text_key", "n", "b.*")
+        .join(grams, ["size", "gram"], "left")
+        .where(F.col("theirs").isNotNull() | F.col("at").isNull())
         .withColumn("same", F.zip_with("near", "theirs", lambda a, b: (a == b) & (a != "")))
     )
     block = F.ceil(F.col("size") / 2).cast("int")
-    reach = F.col("size") - block
+    own = F.col("size") - block
 
     def run(flags: Column) -> Column:
         stop = F.array_position(flags, False).cast("int")
-        return F.when(stop == 0, reach).otherwise(stop - 1)
+        return F.when(stop == 0, own).otherwise(stop - 1)
 
     return (
-        found.withColumn("left", run(F.reverse(F.slice("same", F.lit(1), reach))))
-        .withColumn("right", run(F.slice("same", reach + block + 1, reach)))
-        .where(F.col("left") + F.col("right") >= reach)
+        found.withColumn("left", run(F.reverse(F.slice("same", F.lit(1), own))))
+        .withColumn("right", run(F.slice("same", own + block + 1, own)))
+        .where(F.col("at").isNull() | (F.col("left") + F.col("right") >= own))
         .select(
             "doc_id",
             "text_key",
+            "n",
             "item_id",
             (F.col("at") - F.col("left")).alias("first"),
             (F.col("at") + block - 1 + F.col("right")).alias("last"),
@@ -112,48 +125,27 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     )
 
 
-def _blocks(size: int) -> Column:
-    block = (size + 1) // 2
-    starts = F.when(
-        F.col("n") >= size, F.sequence(F.lit(0), F.floor(F.col("n") / block).cast("int") - 1)
-    ).otherwise(F.array().cast("array<int>"))
-    return _cells(starts, size, block)
-
-
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document row: words, hit words, items with windows in it, and whether any word is hit."""
-    hits = (
+    is_run = F.col("first").isNotNull()
+    found = (
         find_hits(documents, benchmark, window)
         .groupBy("doc_id", "text_key")
         .agg(
-            F.collect_set(F.struct("first", "last")).alias("runs"),
-            F.collect_set("item_id").alias("items"),
-        )
-        .select(
-            F.col("doc_id").alias("hit_doc"),
-            F.col("text_key").alias("hit_key"),
-            F.size(
-                F.array_distinct(
-                    F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"])))
-                )
-            ).alias("n_hit"),
-            F.size("items").alias("n_items"),
-            F.array_join(
-                F.sort_array(F.transform("items", lambda i: i.cast("string"))), ","
-            ).alias("items"),
+            F.max("n").alias("n"),
+            F.count_if(~is_run).cast("int").alias("rows"),
+            F.collect_set(F.when(is_run, F.struct("first", "last"))).alias("runs"),
+            F.collect_set(F.when(is_run, F.col("item_id"))).alias("items"),
         )
+        .withColumn("row", F.explode(F.array_repeat(F.lit(0), F.col("rows"))))
     )
-    docs = documents.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_key"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).alias("n_words"),
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("hit_doc")) & (F.col("text_key") == F.col("hit_key"))
-    return docs.join(hits, same, "left").select(
+    hit = F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"])))
+    items = F.sort_array(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
         "doc_id",
-        F.col("n_words").cast("long").alias("n_words"),
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        sha256_hex(F.coalesce("items", F.lit(""))).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        F.col("n").cast("long").alias("n_words"),
+        F.size(F.array_distinct(hit)).cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        sha256_hex(F.array_join(items, ",")).alias("items_sha256"),
+        (F.size("runs") > 0).alias("contaminated"),
     )
