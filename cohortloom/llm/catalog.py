@@ -12,6 +12,7 @@ from cohortloom.llm import (
     chat_format,
     decontaminate,
     license_rules,
+    odd_sketch,
     piece_lattice,
     quality_trees,
     secret_ledger,
@@ -217,3 +218,11 @@ def op1_quality_trees(spark, sf):
 @query()
 def op3_piece_lattice(spark, sf):
     return piece_lattice.encode(table(spark, sf, "documents"), piece_lattice.load_pieces())
+
+
+# --- MinHash near-duplicates --------------------------------------------------------------------
+
+
+@query()
+def op6_odd_sketch(spark, sf):
+    return odd_sketch.near_duplicates(table(spark, sf, "documents"), width=3, percent=85)
