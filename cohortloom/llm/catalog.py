@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortloom.llm import (
     chat_format,
     decontaminate,
+    e8_lattice,
     license_rules,
     odd_sketch,
     piece_lattice,
@@ -226,3 +227,11 @@ def op3_piece_lattice(spark, sf):
 @query()
 def op6_odd_sketch(spark, sf):
     return odd_sketch.near_duplicates(table(spark, sf, "documents"), width=3, percent=85)
+
+
+# --- embedding near-duplicates ------------------------------------------------------------------
+
+
+@query()
+def op2_e8_lattice(spark, sf):
+    return e8_lattice.near_duplicates(table(spark, sf, "embeddings"), least=0.9)

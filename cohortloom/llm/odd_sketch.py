@@ -200,7 +200,7 @@ def _bundles(members: DataFrame, total: int) -> DataFrame:
         .alias("bundle"),
         F.when(cuts == 1, F.lit(-1)).otherwise(own).alias("side"),
         F.explode(F.when(cuts == 1, none).otherwise(pairs)).alias("block"),
-    )
+    ).withColumn("across", F.col("block.i") < F.col("block.j"))
 
 
 def _confirm(plan: Plan):
@@ -221,13 +221,14 @@ def _family_links(family: pd.DataFrame, plan: Plan, ids: WordIds, unpack) -> lis
         return []
     docs, size = family["doc_id"].to_numpy(), family["n_shingles"].to_numpy()
     side, bodies = family["side"].to_numpy(), family["body"].to_numpy()
+    across = bool(family["across"].iloc[0])
     bits = np.frombuffer(b"".join(family["sketch"]), np.uint64).reshape(n, -1)
     ones, left, right = [], [], []
     for i in range(n - 1):
         count = np.bitwise_count(bits[i] ^ bits[i + 1 :]).sum(axis=1, dtype=np.int64)
         small, large = np.minimum(size[i], size[i + 1 :]), np.maximum(size[i], size[i + 1 :])
         near = (count <= plan.most_ones) & (100 * small >= plan.percent * large)
-        if side[0] != side[-1] or (side != side[0]).any():
+        if across:
             near &= side[i + 1 :] != side[i]
         j = np.flatnonzero(near)
         ones.append(count[j])

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 CACHE_ENTRIES, CACHE_CHARS = 200_000, 40
+LOOK = 6
 SPACE = "▁"
 #: Stands for a space sign of the text itself; no valid text holds it.
 OWN_SPACE = "\ud800"
@@ -139,42 +140,73 @@ def _bytes(sign: str, pieces: Pieces) -> list[int]:
     return [pieces.byte_ids[b] for b in sign.replace(OWN_SPACE, SPACE).encode()]
 
 
-def best_path(text: str, pieces: Pieces) -> tuple[float, bytes, float]:
+class Starts(dict):
+    """Edges that start with given signs: length, piece and score; remembered, in bounds.
+
+    A key is the next ``LOOK`` signs of a text, or fewer where it ends; its edges are all there are
+    unless a longer piece begins with all of them, which is None.
+    """
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, signs: str):
+        found = _starting(signs, self.pieces)
+        if len(signs) == LOOK and self.pieces.prefixes.get(signs) is not None:
+            found = None
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        self[signs] = found
+        return found
+
+
+def _starting(signs: str, pieces: Pieces) -> list[tuple[int, int, float]]:
+    found, single = [], False
+    for size in range(1, len(signs) + 1):
+        edge = pieces.prefixes.get(signs[:size])
+        if edge is None:
+            break
+        if edge[0] >= 0:
+            found.append((size, *edge))
+            single |= size == 1
+    return found if single else [(1, -1, pieces.unknown), *found]
+
+
+def best_path(text: str, starts: Starts) -> tuple[float, bytes, float]:
     """The forward pass alone: best score, its pieces as bytes, and what the next best loses.
 
     The next best path leaves the best one at one position, by that position's next edge. Of equal
     scores the later start counts, as in ``n_best``.
     """
-    size, find, unknown = len(text), pieces.prefixes.get, pieces.unknown
+    size, pieces = len(text), starts.pieces
     best, second, back = [-np.inf] * (size + 1), [-np.inf] * (size + 1), [None] * (size + 1)
     best[0] = 0.0
     for start in range(size):
-        base, single = best[start], False
-        for stop in range(start + 1, size + 1):
-            found = find(text[start:stop])
-            if found is None:
-                break
-            piece, score = found
-            if piece >= 0:
-                single |= stop == start + 1
-                total = base + score
-                if total >= best[stop]:
-                    second[stop], best[stop], back[stop] = best[stop], total, (start, piece)
-                elif total > second[stop]:
-                    second[stop] = total
-        if not single:
-            stop, total = start + 1, base + unknown
-            if total >= best[stop]:
-                second[stop], best[stop], back[stop] = best[stop], total, (start, -1)
+        base = best[start]
+        edges = starts[text[start : start + LOOK]]
+        if edges is None:
+            edges = _starting(text[start:], pieces)
+        for length, piece, score in edges:
+            stop, total = start + length, base + score
+            top = best[stop]
+            if total >= top:
+                second[stop], best[stop], back[stop] = top, total, (start, piece)
             elif total > second[stop]:
                 second[stop] = total
     ids: list[int] = []
     at, loss = size, np.inf
     while at:
-        loss = min(loss, best[at] - second[at])
+        lost = best[at] - second[at]
+        if lost < loss:
+            loss = lost
         at, piece = back[at]
-        ids += [piece] if piece >= 0 else _bytes(text[at], pieces)[::-1]
-    return best[size], array("i", reversed(ids)).tobytes(), loss
+        if piece >= 0:
+            ids.append(piece)
+        else:
+            ids += _bytes(text[at], pieces)[::-1]
+    ids.reverse()
+    return best[size], array("i", ids).tobytes(), loss
 
 
 class Known(dict):
@@ -182,10 +214,10 @@ class Known(dict):
 
     def __init__(self, pieces: Pieces):
         super().__init__()
-        self.pieces, self.older = pieces, {}
+        self.starts, self.older = Starts(pieces), {}
 
     def __missing__(self, chunk: str) -> tuple[float, bytes, float]:
-        found = self.older.get(chunk) or best_path(SPACE + chunk, self.pieces)
+        found = self.older.get(chunk) or best_path(SPACE + chunk, self.starts)
         if len(chunk) <= CACHE_CHARS:
             if len(self) >= CACHE_ENTRIES:
                 self.older = dict(self)
