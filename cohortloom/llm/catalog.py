@@ -15,6 +15,7 @@ from cohortloom.llm import (
     license_rules,
     odd_sketch,
     piece_lattice,
+    pii_votes,
     quality_trees,
     secret_ledger,
 )
@@ -235,3 +236,11 @@ def op6_odd_sketch(spark, sf):
 @query()
 def op2_e8_lattice(spark, sf):
     return e8_lattice.near_duplicates(table(spark, sf, "embeddings"), least=0.9)
+
+
+# --- personal data ------------------------------------------------------------------------------
+
+
+@query()
+def op9_pii_votes(spark, sf):
+    return pii_votes.digests(pii_votes.detect(table(spark, sf, "documents")))
