@@ -17,9 +17,10 @@ from cohortloom.llm import (
     piece_lattice,
     pii_votes,
     quality_trees,
+    relative_lz,
     secret_ledger,
 )
-from cohortloom.llm.common import table
+from cohortloom.llm.common import sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -244,3 +245,13 @@ def op2_e8_lattice(spark, sf):
 @query()
 def op9_pii_votes(spark, sf):
     return pii_votes.digests(pii_votes.detect(table(spark, sf, "documents")))
+
+
+# --- substring dedup ----------------------------------------------------------------------------
+
+
+@query()
+def op7_relative_lz(spark, sf):
+    return relative_lz.dedup(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256")
+    )

@@ -40,7 +40,7 @@ BLOCK = 1000
 #: Vectors for which one block of the lattice makes cells enough, and what each further one adds.
 ONE_BLOCK, FACTOR = 200_000, 100
 
-HASHED = "vec_id long, key binary, vec binary, homes array<long>, probes array<long>"
+HASHED = "vec_id string, key binary, vec binary, homes array<long>, probes array<long>"
 FOUND = "key binary, n_links long, a long, b long"
 
 
@@ -135,8 +135,8 @@ def hash_vectors(embeddings: DataFrame, plan: Plan) -> DataFrame:
                     columns["homes"][i], columns["probes"][i] = homes[at], probes[at]
             yield pd.DataFrame({"vec_id": batch["vec_id"].to_numpy(), **columns})
 
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    return rows.mapInPandas(run, HASHED)
+    rows = embeddings.select(F.col("vec_id").cast("string").alias("vec_id"), "embedding")
+    return rows.mapInPandas(run, HASHED).withColumn("vec_id", F.col("vec_id").cast("long"))
 
 
 def _norms(x: np.ndarray) -> np.ndarray:
@@ -242,6 +242,7 @@ def _same_size(part: pd.DataFrame, plan: Plan) -> list[tuple]:
             edge = close[edge].any(axis=0) & ~reached
             reached |= edge
         todo &= ~reached
+        reached[start] = False
         out += [(None, None, int(ids[start]), int(ids[k])) for k in np.flatnonzero(reached)]
     return out
 

@@ -35,15 +35,15 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.common import stored
 from cohortloom.llm.components import components
+from cohortloom.llm.words import WordIds, chained, mix
 
 ROWS, MISS = 6, 1e-6
 BITS = 512
 BLOCK = 400
-CACHE_WORDS = 500_000
 CHUNK = 1 << 16
 
 SKETCHED = (
-    "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch binary, body binary"
+    "doc_id string, n_shingles long, set_key binary, bands array<long>, sketch binary, body binary"
 )
 
 
@@ -75,37 +75,17 @@ class Plan:
         return math.ceil(BITS * (1 - (1 - 2 / BITS) ** flips) / 2)
 
 
-class WordIds(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(data: bytes, width: int, ids: WordIds) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; the text is in lower case already."""
-    words = data.split()
-    n = len(words)
-    if not n:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(ids.__getitem__, words), np.uint64, n)
-    k = min(width, n)
-    out = np.full(n - k + 1, k, np.uint64)
-    for i in range(k):
-        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + w[i : i + len(out)])
-    return np.unique(out)
+    words = ids.of(data.split())
+    if not len(words):
+        return words
+    return np.unique(chained(words, min(width, len(words))))
 
 
 def minima(sets: list[np.ndarray], samples: int) -> np.ndarray:
     """MinHash samples, one row for each set that is not empty."""
-    factors = _mix(np.arange(1, samples + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
+    factors = mix(np.arange(1, samples + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
     out = np.empty((samples, len(sets)), np.uint32)
     first = 0
     while first < len(sets):
@@ -127,7 +107,7 @@ def fold(samples: np.ndarray) -> np.ndarray:
     """Odd sketches: every (number, value) of a sample flips one bit."""
     n, k = samples.shape
     numbers = np.arange(k, dtype=np.uint64) << np.uint64(32)
-    place = (_mix(samples.astype(np.uint64) + numbers) % np.uint64(BITS)).astype(np.int64)
+    place = (mix(samples.astype(np.uint64) + numbers) % np.uint64(BITS)).astype(np.int64)
     flips = np.zeros((n, BITS), np.int64)
     np.add.at(flips, (np.arange(n)[:, None], place), 1)
     return np.packbits((flips & 1).astype(np.uint8), axis=1)
@@ -138,7 +118,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     values = samples.astype(np.uint64).reshape(n, k // ROWS, ROWS)
     keys = np.broadcast_to(np.arange(k // ROWS, dtype=np.uint64), values.shape[:2])
     for i in range(ROWS):
-        keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + values[:, :, i])
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + values[:, :, i])
     return keys.view(np.int64)
 
 
@@ -151,8 +131,8 @@ def sketch(documents: DataFrame, plan: Plan) -> DataFrame:
             for start in range(0, len(batch), 500):
                 yield _sketch_rows(batch[start : start + 500], plan, ids, pack)
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(run, SKETCHED)
+    rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return rows.mapInPandas(run, SKETCHED).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _sketch_rows(batch: pd.DataFrame, plan: Plan, ids: WordIds, pack) -> pd.DataFrame:
