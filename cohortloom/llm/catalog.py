@@ -122,7 +122,7 @@ FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 def op5_decontaminate(spark, sf):
     return decontaminate.contamination(
         table(spark, sf, "documents"), table(spark, sf, "benchmark")
-    )
+    ).drop("text_key")
 
 
 # --- secret scans -------------------------------------------------------------------------------

@@ -126,7 +126,10 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document row: words, hit words, items with windows in it, and whether any word is hit."""
+    """Per document row: words, hit words, items with windows in it, and whether any word is hit.
+
+    ``text_key`` tells rows of one doc_id apart whose texts differ.
+    """
     is_run = F.col("first").isNotNull()
     found = (
         find_hits(documents, benchmark, window)
@@ -143,9 +146,19 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     items = F.sort_array(F.transform("items", lambda i: i.cast("string")))
     return found.select(
         "doc_id",
+        "text_key",
         F.col("n").cast("long").alias("n_words"),
         F.size(F.array_distinct(hit)).cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         sha256_hex(F.array_join(items, ",")).alias("items_sha256"),
         (F.size("runs") > 0).alias("contaminated"),
     )
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows, as they are, in which no word is hit."""
+    bad = contamination(documents, benchmark, window).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("_bad_doc"), F.col("text_key").alias("_bad_key"))
+    same = documents["doc_id"].eqNullSafe(F.col("_bad_doc"))
+    key = F.xxhash64(documents["text"]) == F.col("_bad_key")
+    return documents.join(bad, same & key, "left_anti")

@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import stored
@@ -277,3 +277,19 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def representatives(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows, as they are, of one document of every component; of repeated rows one."""
+    kept = near_duplicates(documents, width, percent).where("kept and doc_id is not null")
+    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
+    with_id = documents["doc_id"].isNotNull()
+    once = Window.partitionBy("doc_id").orderBy("text")
+    ours = (
+        documents.where(with_id)
+        .join(kept, documents["doc_id"] == F.col("_kept"), "left_semi")
+        .withColumn("_row", F.row_number().over(once))
+        .where("_row = 1")
+        .drop("_row")
+    )
+    return ours.union(documents.where(~with_id))

@@ -215,24 +215,28 @@ def train(
     return fit(x[order], y[order])
 
 
+def score_of(model: Trees):
+    """A vectorised function of a text column: the text's score."""
+
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(_matrix(texts)))
+
+    return run
+
+
 def score(documents: DataFrame, model: Trees) -> DataFrame:
     """doc_id, held_out, score and predicted for every row."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "score": model.score(_matrix(batch["text"]))}
-            )
-
-    ids = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    scored = ids.mapInPandas(run, "doc_id string, score double")
-    kind = documents.schema["doc_id"].dataType
-    return scored.select(
-        F.col("doc_id").cast(kind).alias("doc_id"),
+    return documents.select(
+        "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-    )
+        score_of(model)("text").alias("score"),
+    ).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def accepted(documents: DataFrame, model: Trees) -> DataFrame:
+    """The rows, as they are, that score at least THRESHOLD."""
+    return documents.where(score_of(model)("text") >= THRESHOLD)
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:

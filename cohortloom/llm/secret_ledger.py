@@ -147,6 +147,27 @@ def _name(rule: Rule) -> Column:
     return F.struct(F.lit(rule.kind).alias("rule"), F.lit(rule.version).alias("version"))
 
 
+def findings(current: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Of each blob with secrets, the spans that the rules' present versions found, in order."""
+    rank = F.coalesce(*[F.when(F.col("rule") == r.kind, F.lit(i)) for i, r in enumerate(rules)])
+    wanted = F.struct("rule", "version").isin(*[_name(r) for r in rules])
+    spans = F.transform(
+        "spans",
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            rank.alias("rank"),
+            s["stop"].alias("stop"),
+            F.col("rule").alias("kind"),
+        ),
+    )
+    return (
+        current.where(wanted & (F.size("spans") > 0))
+        .groupBy("blob")
+        .agg(F.collect_set(spans).alias("spans"))
+        .select("blob", F.sort_array(F.flatten("spans")).alias("spans"))
+    )
+
+
 def scan(
     documents: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
@@ -155,27 +176,7 @@ def scan(
     Without a ledger's path, a new ledger is begun in the shared folder.
     """
     path = ledger or shared_path(documents.sparkSession, "ledger")
-    current = update_ledger(documents, path, rules)
-    rank = F.coalesce(*[F.when(F.col("rule") == r.kind, F.lit(i)) for i, r in enumerate(rules)])
-    wanted = F.struct("rule", "version").isin(*[_name(r) for r in rules])
-    found = (
-        current.where(wanted & (F.size("spans") > 0))
-        .groupBy("blob")
-        .agg(
-            F.collect_set(
-                F.transform(
-                    "spans",
-                    lambda s: F.struct(
-                        s["start"].alias("start"),
-                        rank.alias("rank"),
-                        s["stop"].alias("stop"),
-                        F.col("rule").alias("kind"),
-                    ),
-                )
-            ).alias("spans")
-        )
-        .select("blob", F.sort_array(F.flatten("spans")).alias("spans"))
-    )
+    found = findings(update_ledger(documents, path, rules), rules)
     none = F.array().cast(found.schema["spans"].dataType)
     return (
         _versions(documents)
@@ -185,6 +186,46 @@ def scan(
     )
 
 
+def redact(
+    documents: DataFrame,
+    ledger: str | None = None,
+    rules: tuple[Rule, ...] = RULES,
+    mark: str = "[SECRET]",
+) -> DataFrame:
+    """The rows, with ``mark`` in the place of every secret; spans that overlap get one mark.
+
+    A column n_chars, where there is one, follows the text.
+    """
+    path = ledger or shared_path(documents.sparkSession, "ledger")
+    found = findings(update_ledger(documents, path, rules), rules)
+    found = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    blob = F.unhex(sha256_hex(F.coalesce(documents["text"], F.lit(""))))
+
+    def step(state: Column, span: Column) -> Column:
+        gap = F.substring(
+            F.col("text"), state["at"] + 1, F.greatest(F.lit(0), span["start"] - state["at"])
+        )
+        apart = (span["start"] >= state["at"]) | (state["at"] == 0)
+        out = F.when(apart, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
+        return F.struct(
+            F.greatest(state["at"], span["stop"]).alias("at"), out.alias("out")
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rest = F.aggregate(
+        "_spans",
+        start,
+        step,
+        lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))),
+    )
+    text = F.when(F.col("_spans").isNotNull(), rest).otherwise(F.col("text"))
+    out = documents.join(found, blob == F.col("_blob"), "left").withColumn("text", text)
+    if "n_chars" in documents.columns:
+        n = F.when(F.col("_spans").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", n.cast(documents.schema["n_chars"].dataType))
+    return out.select(*documents.columns)
+
+
 def digests(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Counts of every kind, and the spans as text with its digest."""
     listed = F.array_join(
