@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import ascii_lower, sha256_hex
+from cohortloom.llm.common import ascii_lower, sha256_hex, unused
 
 WINDOW = 10
 BROADCAST_GRAMS = 200_000
@@ -158,7 +158,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows, as they are, in which no word is hit."""
     bad = contamination(documents, benchmark, window).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_bad_doc"), F.col("text_key").alias("_bad_key"))
-    same = documents["doc_id"].eqNullSafe(F.col("_bad_doc"))
-    key = F.xxhash64(documents["text"]) == F.col("_bad_key")
+    doc, key = unused(documents, "bad_doc"), unused(documents, "bad_key")
+    bad = bad.select(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
+    same = documents["doc_id"].eqNullSafe(F.col(doc))
+    key = F.xxhash64(documents["text"]) == F.col(key)
     return documents.join(bad, same & key, "left_anti")

@@ -126,6 +126,8 @@ def hash_vectors(embeddings: DataFrame, plan: Plan) -> DataFrame:
                 x = np.array([batch["embedding"].iloc[i] for i in rows], np.float64)
                 norm = _norms(x)
                 good = np.flatnonzero(np.isfinite(norm) & (norm > 0))
+                if not len(good):
+                    continue
                 x = x[good]
                 homes, probes = plan.cells(unit(x))
                 for at, i in enumerate(np.array(rows)[good]):

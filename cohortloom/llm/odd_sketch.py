@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import stored
+from cohortloom.llm.common import stored, unused
 from cohortloom.llm.components import components
 from cohortloom.llm.words import WordIds, chained, mix
 
@@ -282,14 +282,15 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
 def representatives(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows, as they are, of one document of every component; of repeated rows one."""
     kept = near_duplicates(documents, width, percent).where("kept and doc_id is not null")
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
+    of, row = unused(documents, "of"), unused(documents, "row")
+    kept = kept.select(F.col("doc_id").alias(of)).distinct()
     with_id = documents["doc_id"].isNotNull()
     once = Window.partitionBy("doc_id").orderBy("text")
     ours = (
         documents.where(with_id)
-        .join(kept, documents["doc_id"] == F.col("_kept"), "left_semi")
-        .withColumn("_row", F.row_number().over(once))
-        .where("_row = 1")
-        .drop("_row")
+        .join(kept, documents["doc_id"] == F.col(of), "left_semi")
+        .withColumn(row, F.row_number().over(once))
+        .where(F.col(row) == 1)
+        .drop(row)
     )
     return ours.union(documents.where(~with_id))

@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import sha256_hex, shared_path
+from cohortloom.llm.common import sha256_hex, shared_path, unused
 
 LEDGER = "blob BINARY, rule STRING, version INT, spans ARRAY<STRUCT<start: INT, stop: INT>>"
 
@@ -198,7 +198,8 @@ def redact(
     """
     path = ledger or shared_path(documents.sparkSession, "ledger")
     found = findings(update_ledger(documents, path, rules), rules)
-    found = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    key, spans = unused(documents, "blob"), unused(documents, "spans")
+    found = found.select(F.col("blob").alias(key), F.col("spans").alias(spans))
     blob = F.unhex(sha256_hex(F.coalesce(documents["text"], F.lit(""))))
 
     def step(state: Column, span: Column) -> Column:
@@ -213,15 +214,15 @@ def redact(
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rest = F.aggregate(
-        "_spans",
+        spans,
         start,
         step,
         lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))),
     )
-    text = F.when(F.col("_spans").isNotNull(), rest).otherwise(F.col("text"))
-    out = documents.join(found, blob == F.col("_blob"), "left").withColumn("text", text)
+    text = F.when(F.col(spans).isNotNull(), rest).otherwise(F.col("text"))
+    out = documents.join(found, blob == F.col(key), "left").withColumn("text", text)
     if "n_chars" in documents.columns:
-        n = F.when(F.col("_spans").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
+        n = F.when(F.col(spans).isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", n.cast(documents.schema["n_chars"].dataType))
     return out.select(*documents.columns)
 

@@ -7,8 +7,8 @@
 5. What is left is encoded: one row of pieces per document.
 
 Stages 1 to 4 return the columns of documents. Null and empty texts pass every stage that does not
-reject them for their score; extra columns are carried along (names that begin with an underscore
-are reserved); empty tables give empty results.
+reject them for their score; extra columns are carried along, whatever their names; empty tables
+give empty results.
 """
 
 from __future__ import annotations
