@@ -12,7 +12,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as DT
 
@@ -31,7 +31,7 @@ from cohortloom.plans import features as PF
 from cohortloom.plans import scoring as PS
 from cohortloom.plans import training as PT
 from cohortloom.session import cut_lineage, shared_dir
-from cohortloom.sources import load_model, save_model, write_predictions
+from cohortloom.sources import load_model, write_predictions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,8 +41,9 @@ FIRST, LAST = T.COHORTS[0], T.COHORTS[-1]
 MEASURES = [*O.SHARES, *O.COUNTS]
 TYPES = ["C", "E", "F", "I", "L", "P", "S", "X"]
 DIVISIONS = [f"{number:02d}" for number in range(1, 100)]
+# New codes of the map the checks use (see T.code_pairs).
+CODES = sorted({f"{1000 * (1 + i * 193 % 99) + 10 * (i % 5):05d}" for i in range(T.MAP_SIZE)})
 SECTIONS = [letter for _, letter in T.RULES.bands] + ["Z"]
-FEW_TREES = L.BoostParams(max_iter=5, max_depth=3, max_bins=32)
 SAMPLE_N, SAMPLE_LARGE, SCORE_N = 2, 200, 7
 
 
@@ -255,9 +256,14 @@ def inverse_target(spark, sf):
     )
 
 
-@query("type_letter", O.sql("SELECT d3, SUBSTRING(d12, 1, 1) AS type_letter FROM pt_d"))
+@query(
+    "type_letter",
+    O.sql("SELECT d3, UPPER(SUBSTRING(LOWER(d12), 1, 1)) AS type_letter FROM pt_d"),
+)
 def type_letter(spark, sf):
-    return T.schemes(spark, sf).selectExpr("d3", f"{S.type_letter('d12')} AS type_letter")
+    """From types in lower case."""
+    letter = S.type_letter("lower(d12)")
+    return T.schemes(spark, sf).selectExpr("d3", f"{letter} AS type_letter")
 
 
 @query(
@@ -339,11 +345,13 @@ UPLIFT_CASE = "".join(
         f" ROUND(CAST(CASE{UPLIFT_CASE} ELSE total_commitments END AS DOUBLE), 6)"
         " AS adjusted_commitments FROM"
         " (SELECT a.a3, t.total_commitments, CONCAT(YEAR(a2), '-', MONTH(a2)) AS ym FROM pt_a a"
-        f" JOIN ({O.counted(O.in_target(T.AS_OF_COHORT), 'total_commitments')}) t ON a.a3 = t.b10"
+        f" LEFT JOIN ({O.counted(O.in_target(T.AS_OF_COHORT), 'total_commitments')}) t"
+        " ON a.a3 = t.b10"
         f" WHERE a1 = 1 AND CAST(a2 AS DATE) < {O.day(T.AS_OF_COHORT.start)})"
     ),
 )
 def maturity_uplift(spark, sf):
+    """Every levy account created before the window; without commitments both are NULL."""
     counts = C.count_in_window(
         T.commitments(spark, sf),
         [T.AS_OF_COHORT],
@@ -352,7 +360,7 @@ def maturity_uplift(spark, sf):
         name="total_commitments",
     )
     accounts = A.created_before(A.levy_only(T.accounts(spark, sf)), T.AS_OF_COHORT.start)
-    joined = accounts.join(counts, F.col("a3") == F.col("b10"))
+    joined = A.attach(accounts, counts, left="a3", right="b10")
     return C.uplift(joined, T.RULES.uplift).select(
         "a3", "total_commitments", F.round("adjusted_commitments", 6).alias("adjusted_commitments")
     )
@@ -464,7 +472,7 @@ SAMPLE_IDS = f"ids AS ({O.stratified(SAMPLE_N, T.SEED, 'a3')})"
 )
 def account_set(spark, sf):
     ids = sampled(spark, sf).select("a3")
-    rows = A.restrict(T.commitments(spark, sf), ids, "b10", SAMPLE_N * len(T.STRATA))
+    rows = A.restrict(T.commitments(spark, sf), ids, "b10")
     return rows.select("b10", "b2", "b6", "b12")
 
 
@@ -547,21 +555,11 @@ JOINED_PARTS = (
 
 @query("join_parts", O.sql(JOINED_PARTS))
 def join_parts(spark, sf):
-    """Part one left joined to part two, each from its own aggregation."""
-    b = T.commitments(spark, sf)
+    """Both parts of one aggregation, left joined to the accounts."""
+    parts = ["total_commitments", "commitments_ending_12m", "current_live_commitments"]
     accounts = A.created_before(A.levy_only(T.accounts(spark, sf)), LAST.start).select("a3")
-    one = A.attach(
-        accounts,
-        C.count_in_window(b, [LAST], "start", "target_end", name="total_commitments")
-        .withColumnRenamed("b10", "a3")
-        .drop("cohort"),
-        on="a3",
-    )
-    ending = C.ending_in_window(b, [LAST]).withColumnRenamed("b10", "a3").drop("cohort")
-    live = C.live_at(b, [LAST]).withColumnRenamed("b10", "a3").drop("cohort")
-    two = A.attach(A.attach(accounts, ending, on="a3"), live, on="a3")
-    joined = A.attach(one, two, on="a3")
-    return A.fill_zero(joined, [c for c in joined.columns if c != "a3"])
+    features = C.commitment_features(T.commitments(spark, sf), [LAST]).select("a3", *parts)
+    return A.fill_zero(A.attach(accounts, features, on="a3"), parts)
 
 
 ALL_MEASURES_ORACLE = (
@@ -607,7 +605,20 @@ def join_schemes(spark, sf):
     return A.attach(grown, scheme_features_of(spark, sf), on="a3")
 
 
-@query("join_schemes_raw", O.sql("SELECT * FROM scheme_profile", O.PROFILE))
+@query(
+    "join_schemes_raw",
+    O.sql(
+        "SELECT a3, a1, d3, d6, d8, d10, d12 FROM pt_a LEFT JOIN pt_d ON a3 = d15"
+        f" WHERE CAST(a2 AS DATE) < {O.day(T.SCHEME_CUTOFF)}"
+    ),
+)
+def join_schemes_raw(spark, sf):
+    """Accounts left joined to their schemes as they are: a row for each."""
+    accounts = A.created_before(T.accounts(spark, sf), T.SCHEME_CUTOFF).select("a3", "a1")
+    joined = A.attach(accounts, T.schemes(spark, sf), left="a3", right="d15")
+    return joined.select("a3", "a1", "d3", "d6", "d8", "d10", "d12")
+
+
 @query("scheme_profile", O.sql("SELECT * FROM scheme_profile", O.PROFILE))
 def scheme_profile(spark, sf):
     return H.scheme_profile(T.accounts(spark, sf), T.schemes(spark, sf), T.SCHEME_CUTOFF)
@@ -708,14 +719,7 @@ def occupation_share(spark, sf):
 )
 def occupation_null_share(spark, sf):
     """Share of missing codes as intended, and as the comparison with NULL gives it."""
-    b = T.commitments(spark, sf)
-    intended = C.mix_share(b, T.COHORTS, (), "is_null")
-    as_run = C.mix_share(b, T.COHORTS, (), "equals_null")
-    return plain(
-        intended.withColumnRenamed("occupation_null", "intended").join(
-            as_run.withColumnRenamed("occupation_null", "as_run"), ["b10", "cohort"]
-        )
-    )
+    return plain(C.null_shares(T.commitments(spark, sf), T.COHORTS))
 
 
 @query(
@@ -889,15 +893,11 @@ def union_accounts(spark, sf):
 
 @query("union_features", O.sql(f"SELECT a3, cohort, {O.zeroed(MEASURES, 'f')} FROM features f", O.FEATURES))
 def union_features(spark, sf):
-    """Feature frames built cohort by cohort and stacked."""
-    b, accounts = T.commitments(spark, sf), A.levy_only(T.accounts(spark, sf))
-    frames = [
-        PF.cohort_frame(A.created_before(accounts, c.start), b, [c]).select(
-            "a3", "cohort", *MEASURES
-        )
-        for c in T.COHORTS
-    ]
-    return plain(A.stack(frames))
+    """Features of all cohorts from one aggregation, for accounts created before each."""
+    accounts = A.levy_only(T.accounts(spark, sf))
+    frame = PF.cohort_frame(accounts, T.commitments(spark, sf), T.COHORTS)
+    kept = P.any_of(f"(cohort = {S.text(c.label)} AND {P.before('a2', c.start)})" for c in T.COHORTS)
+    return plain(frame.where(kept).select("a3", "cohort", *MEASURES))
 
 
 # --- encoding and model ----------------------------------------------------------------------
@@ -922,7 +922,8 @@ def one_hot_type(spark, sf):
     "one_hot_industry",
     O.sql(
         f"SELECT a3, {hot_sql('sic_section', 'sic_section', SECTIONS)},"
-        f" {hot_sql('sic_division', 'sic_division', DIVISIONS)}"
+        f" {hot_sql('sic_division', 'sic_division', DIVISIONS)},"
+        f" {hot_sql('new_sic_code', 'sic_code', CODES)}"
         " FROM pt_a LEFT JOIN sic ON a3 = d15",
         *O.INDUSTRY_CTES,
     ),
@@ -933,6 +934,7 @@ def one_hot_industry(spark, sf):
     )
     hot = E.one_hot(joined, "sic_section", PT.SECTION_PREFIX, SECTIONS)
     hot = E.one_hot(hot, "sic_division", PT.DIVISION_PREFIX, DIVISIONS)
+    hot = E.one_hot(hot, "new_sic_code", "sic_code", CODES)
     return hot.drop("d15", "new_sic_code", "sic_section", "sic_division")
 
 
@@ -979,14 +981,41 @@ FRAME_COLUMNS = (
 
 
 @query(
-    "training_frame",
+    "training_frame_encoded",
     O.sql(f"SELECT {FRAME_COLUMNS} FROM training WHERE {ELIGIBLE}", *O.TRAINING_CTES),
 )
-def training_frame(spark, sf):
+def training_frame_encoded(spark, sf):
     """The whole training frame up to encoding, for every account of any stratum."""
     return plain(model_frame(spark, sf))
 
 
+LONG_FRAME = (
+    "UNPIVOT (SELECT account_id, cohort, CAST(COLUMNS(* EXCLUDE (account_id, cohort)) AS DOUBLE)"
+    f" FROM (SELECT {FRAME_COLUMNS} FROM training WHERE {ELIGIBLE}))"
+    " ON COLUMNS(* EXCLUDE (account_id, cohort)) INTO NAME feature VALUE value"
+)
+
+
+@query(
+    "training_frame",
+    O.sql(
+        "SELECT account_id, cohort, feature, value FROM long WHERE feature IN (SELECT feature"
+        f" FROM long GROUP BY feature HAVING COUNT(DISTINCT value) > 1 OR feature = '{L.TARGET}')",
+        *O.TRAINING_CTES,
+        f"long AS (FROM ({LONG_FRAME}))",
+    ),
+)
+def training_frame(spark, sf):
+    """The frame as fitted (letters looked up, constant columns gone), a row for each value."""
+    frame = plain(
+        PT.training_frame(T.tables(spark, sf), T.COHORTS, T.STRATA, settings=settings(spark))
+    )
+    values = [c for c in frame.columns if c not in PT.KEYS]
+    pairs = ", ".join(f"{S.text(c)}, CAST(`{c}` AS DOUBLE)" for c in values)
+    long = f"stack({len(values)}, {pairs}) AS (feature, value)"
+    return frame.selectExpr(*PT.KEYS, long)
+
+
 @query(
     "training_frame_sampled",
     O.sql(
@@ -1006,6 +1035,7 @@ def training_frame_sampled(spark, sf):
     "training_frame_industry",
     O.sql(
         f"SELECT {FRAME_COLUMNS}, {hot_sql('sic_section', 'sic_section', SECTIONS)},"
+        f" {hot_sql('sic_division', 'sic_division', DIVISIONS)},"
         " new_sic_code FROM training LEFT JOIN sic ON account_id = d15"
         f" WHERE {ELIGIBLE} AND company_status = 3",
         *O.TRAINING_CTES,
@@ -1013,52 +1043,101 @@ def training_frame_sampled(spark, sf):
     ),
 )
 def training_frame_industry(spark, sf):
-    """The training frame with industry sections; codes stay one column for the model."""
+    """With sections and divisions, complete rows; codes stay one column for the model."""
     frame = PT.encoded(
         raw_frame(spark, sf, industry=True),
         settings(spark, industry=True),
         types=TYPES,
         sections=SECTIONS,
-        divisions=[],
+        divisions=DIVISIONS,
     )
-    return plain(frame)
+    return plain(A.drop_missing(frame, [c for c in frame.columns if c != PT.CODE_COLUMN]))
+
+
+MODEL_ORDER = [
+    *("early_adopter", "levy_non_levy", "as_months_since_sign_up"),
+    *O.SHARES,
+    *("prev_12m_new_commitments", "prev_12m_new_levy_transfers", "levy_sending_company"),
+    *("commitments_ending_12m", "current_live_commitments"),
+    *(f"comp_type_{v}" for v in TYPES),
+    *("years_since_tpr_signup", "new_company", "log_employees"),
+]
+FRAME = f"frame AS (SELECT {FRAME_COLUMNS} FROM training WHERE {ELIGIBLE})"
 
 
 @query(
     "assemble",
     O.sql(
-        "SELECT account_id, cohort, ROUND(CAST(early_adopter + levy_non_levy + as_months_since_sign_up"
-        " + " + " + ".join(m for m in MEASURES if m != "total_commitments")
-        + " + 1 + years_since_tpr_signup + new_company + log_employees AS DOUBLE), 4) AS feature_sum"
-        f" FROM training WHERE {ELIGIBLE}",
+        "SELECT account_id, cohort, ROUND(CAST("
+        + " + ".join(f"{i} * {name}" for i, name in enumerate(MODEL_ORDER, 1))
+        + " AS DOUBLE), 4) AS weighted_sum FROM frame",
         *O.TRAINING_CTES,
+        FRAME,
     ),
 )
 def assemble(spark, sf):
-    """Feature vectors, reduced to their sums (each row has exactly one company type)."""
+    """Feature vectors, reduced to a sum that weighs every value by its position."""
     frame = model_frame(spark, sf)
-    vectors = L.assemble(frame, model_features(frame))
     values = vector_to_array(F.col("features"))
-    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-    return vectors.select("account_id", "cohort", F.round(total, 4).alias("feature_sum"))
+    weighted = F.transform(values, lambda x, i: x * (i + 1))
+    total = F.aggregate(weighted, F.lit(0.0), lambda acc, x: acc + x)
+    return L.assemble(frame, model_features(frame)).select(
+        "account_id", "cohort", F.round(total, 4).alias("weighted_sum")
+    )
+
+
+FITTED: dict[tuple[str, str], tuple[DataFrame, PT.Trained, str]] = {}
 
 
 def fitted(spark, sf):
-    frame = cut_lineage(model_frame(spark, sf))
-    features = model_features(frame)
-    return frame, features, L.train(frame, features, FEW_TREES)
+    """The model with its default settings, fitted once in a session and stored."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in FITTED:
+        frame, path = cut_lineage(model_frame(spark, sf)), scratch(spark)
+        FITTED[key] = frame, PT.train_pipeline(frame, path=path), path
+    return FITTED[key]
+
+
+HELD_OUT = O.sql(
+    "SELECT COUNT(*) AS rows, TRUE AS sound FROM frame"
+    f" WHERE {O.in_test(7, ROW_KEY.replace('a3', 'account_id'))}",
+    *O.TRAINING_CTES,
+    FRAME,
+)
+NAMES = ", ".join(f"({i}, '{name}')" for i, name in enumerate(MODEL_ORDER))
+FEATURE_LIST = f"SELECT position, feature FROM (VALUES {NAMES}) AS v(position, feature)"
 
 
-@query("train_regressor")
+def held_out(metrics: DataFrame, fit: DataFrame) -> DataFrame:
+    """Rows held out; sound if their error is a number and the fit beats its own rows' mean."""
+    both = metrics.withColumn("part", F.lit(1)).union(fit.withColumn("part", F.lit(2)))  # two rows
+    finite, fits = F.abs("rmse") < F.lit(float("inf")), F.col("r2") > 0.5
+    return both.agg(
+        F.max(F.when(F.col("part") == 1, F.col("rows"))).alias("rows"),
+        F.min(F.when(F.col("part") == 1, finite).otherwise(fits)).alias("sound"),
+    )
+
+
+def evaluated(trained: PT.Trained, part: DataFrame) -> DataFrame:
+    return L.evaluate(L.predict(part, trained.model), len(trained.features))
+
+
+@query("train_regressor", HELD_OUT)
 def train_regressor(spark, sf):
-    frame, features, model = fitted(spark, sf)
-    return L.evaluate(L.predict(frame, model), len(features))
+    """The regressor with its default settings, on the rows it did not see and those it did."""
+    frame, trained, _ = fitted(spark, sf)
+    fit, test = M.hash_split(frame, PT.KEYS, seed=7)
+    return held_out(evaluated(trained, test), evaluated(trained, fit))
 
 
-@query("predict")
+@query(
+    "predict",
+    O.sql("SELECT account_id, cohort, TRUE AS finite FROM frame", *O.TRAINING_CTES, FRAME),
+)
 def predict(spark, sf):
-    frame, _, model = fitted(spark, sf)
-    return L.predict(frame, model).select("account_id", "cohort", L.PREDICTION)
+    frame, trained, _ = fitted(spark, sf)
+    finite = (F.abs(L.PREDICTION) < F.lit(float("inf"))).alias("finite")
+    return L.predict(frame, trained.model).select("account_id", "cohort", finite)
 
 
 @query(
@@ -1080,54 +1159,61 @@ def evaluate(spark, sf):
     return plain(L.evaluate(frame, 3))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"SELECT feature, 1.0::DOUBLE AS total FROM ({FEATURE_LIST})",
+)
 def feature_importance(spark, sf):
-    _, features, model = fitted(spark, sf)
-    return L.importance(model, features)
+    """Every feature has its share, and the shares' total is 1."""
+    _, trained, _ = fitted(spark, sf)
+    every = Window.partitionBy(F.lit(1))  # as many rows as the model has features
+    total = F.round(F.sum("importance").over(every), 9).alias("total")
+    return trained.importance.select("feature", total)
 
 
-@query("model_save")
+@query("model_save", FEATURE_LIST)
 def model_save(spark, sf):
     """The feature list as stored beside the model."""
-    _, features, model = fitted(spark, sf)
-    path = scratch(spark)
-    save_model(model, features, path)
-    return spark.read.parquet(f"{path}/features")
+    return spark.read.parquet(f"{fitted(spark, sf)[2]}/features")
 
 
-@query("model_load")
+@query(
+    "model_load",
+    O.sql("SELECT account_id, cohort, TRUE AS equal FROM frame", *O.TRAINING_CTES, FRAME),
+)
 def model_load(spark, sf):
-    """Predictions of a model that went through storage."""
-    frame, features, model = fitted(spark, sf)
-    path = scratch(spark)
-    save_model(model, features, path)
+    """Predictions of a model that went through storage equal those of the fitted one."""
+    frame, trained, path = fitted(spark, sf)
     loaded, names = load_model(path)
-    aligned = E.align(frame, names, keep=PT.KEYS).frame
-    return L.predict(aligned, loaded).select(*PT.KEYS, L.PREDICTION)
+    before = L.predict(frame, trained.model).withColumnRenamed(L.PREDICTION, "before")
+    kept = [*PT.KEYS, "before"]
+    aligned = E.align(before, names, keep=kept).frame
+    equal = (F.col("before") == F.col(L.PREDICTION)).alias("equal")
+    return L.predict(aligned, loaded).select(*PT.KEYS, equal)
 
 
-@query("train_pipeline")
+@query("train_pipeline", HELD_OUT)
 def train_pipeline(spark, sf):
-    return PT.train_pipeline(cut_lineage(model_frame(spark, sf)), FEW_TREES).metrics
+    """The metrics of the whole job, from source tables to the stored model."""
+    frame, trained, _ = fitted(spark, sf)
+    return held_out(trained.metrics, evaluated(trained, M.hash_split(frame, PT.KEYS, seed=7)[0]))
 
 
-@query(
-    "score_frame",
-    O.sql(
+def score_frame_sql(features: str) -> str:
+    return O.sql(
         "SELECT a.a3 AS account_id, a1 AS levy_non_levy,"
         f" CAST(FLOOR({O.months(T.AS_OF)}) AS INT) AS as_months_since_sign_up,"
         f" {O.zeroed(MEASURES, 'f')}, {T.AS_OF.year} - scheme_start_year AS years_since_tpr_signup,"
         f" CASE WHEN FLOOR({O.months(T.AS_OF)}) <= 6 THEN 1 ELSE 0 END AS new_company,"
         " ROUND(LOG2(employees + 1), 9) AS log_employees"
-        " FROM pt_a a LEFT JOIN as_of_features f ON a.a3 = f.a3 LEFT JOIN tpr ON a.a3 = tpr.a3"
+        f" FROM pt_a a LEFT JOIN ({features}) f ON a.a3 = f.a3 LEFT JOIN tpr ON a.a3 = tpr.a3"
         " WHERE a1 = 1",
-        O.AS_OF_FEATURES,
         *O.SCHEME_CTES,
-    ),
-)
-def score_frame(spark, sf):
-    """Every levy account's features as of a day."""
-    frame = PS.score_frame(T.tables(spark, sf), T.AS_OF, settings=settings(spark), compat=True)
+    )
+
+
+def scored_features(spark, sf, compat: bool) -> DataFrame:
+    frame = PS.score_frame(T.tables(spark, sf), T.AS_OF, settings=settings(spark), compat=compat)
     return plain(
         frame.select(
             "account_id",
@@ -1141,16 +1227,41 @@ def score_frame(spark, sf):
     )
 
 
-@query("score_pipeline")
-def score_pipeline(spark, sf):
-    """A model trained on the cohorts and saved scores every levy account as of a day."""
-    path = scratch(spark)
-    PT.train_pipeline(cut_lineage(model_frame(spark, sf)), FEW_TREES, path=path)
-    out = f"{path}/scored"
+@query("score_frame", score_frame_sql(O.both_parts(T.AS_OF_START)))
+def score_frame(spark, sf):
+    """Every levy account's features as of a day, as score_pipeline takes them."""
+    return scored_features(spark, sf, compat=False)
+
+
+@query("score_frame_compat", score_frame_sql(O.both_parts(T.AS_OF_COHORT)))
+def score_frame_compat(spark, sf):
+    """The same with commitments live as of the day itself."""
+    return scored_features(spark, sf, compat=True)
+
+
+def scored(spark, sf, ids: DataFrame | None = None) -> DataFrame:
+    """Predictions as written, each with whether it is a number."""
+    path, out = fitted(spark, sf)[2], scratch(spark)
     PS.score_pipeline(
-        T.tables(spark, sf), T.AS_OF, path, out, settings=settings(spark), fmt="parquet"
+        T.tables(spark, sf), T.AS_OF, path, out, settings=settings(spark), fmt="parquet", ids=ids
     )
-    return spark.read.parquet(out)
+    finite = (F.abs(PS.PREDICTED) < F.lit(float("inf"))).alias("finite")
+    return spark.read.parquet(out).select("account_id", finite)
+
+
+@query("score_pipeline", O.sql("SELECT a3 AS account_id, TRUE AS finite FROM pt_a WHERE a1 = 1"))
+def score_pipeline(spark, sf):
+    """A model trained on the cohorts and saved scores every levy account as of a day."""
+    return scored(spark, sf)
+
+
+@query(
+    "score_pipeline_listed",
+    O.sql("SELECT a3 AS account_id, TRUE AS finite FROM pt_a WHERE a1 = 1 AND a7 = 1"),
+)
+def score_pipeline_listed(spark, sf):
+    """The same for a list of accounts: here those that send."""
+    return scored(spark, sf, T.accounts(spark, sf).where("a7 = 1").select("a3"))
 
 
 @query(

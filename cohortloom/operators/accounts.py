@@ -13,7 +13,6 @@ from cohortloom.functions import predicates as P
 from cohortloom.functions import scalars as S
 
 EARLY_ADOPTER_CUTOFF = date(2017, 7, 1)
-BROADCAST_ROWS = 1_000_000
 
 
 def early_adopter(df: DataFrame, cutoff: date = EARLY_ADOPTER_CUTOFF) -> DataFrame:
@@ -29,20 +28,13 @@ def levy_only(df: DataFrame) -> DataFrame:
     return df.where("a1 = 1")
 
 
-def small_enough(max_ids: int | None) -> bool:
-    return max_ids is not None and max_ids <= BROADCAST_ROWS
-
-
-def restrict(df: DataFrame, ids: DataFrame, key: str, max_ids: int | None = None) -> DataFrame:
+def restrict(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in the one-column ``ids``.
 
-    ``max_ids`` is a bound the caller can prove (a sample size, say). Within
-    ``BROADCAST_ROWS`` the ids are broadcast and ``df`` is not shuffled; otherwise the
-    planner chooses from statistics.
+    Whether the ids are broadcast is left to the planner, which knows their size (a stored sample
+    is small, and then ``df`` is not shuffled).
     """
     ids = ids.select(F.col(ids.columns[0]).alias("_id"))
-    if small_enough(max_ids):
-        ids = F.broadcast(ids)
     return df.join(ids, F.col(key) == F.col("_id"), "left_semi")
 
 

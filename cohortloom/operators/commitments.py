@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cohortloom.cohorts import Cohort
 from cohortloom.functions import predicates as P
 from cohortloom.functions import scalars as S
-from cohortloom.operators.accounts import restrict, small_enough
+from cohortloom.operators.accounts import restrict
 
 # Occupation codes with a share of their own.
 OCCUPATION_CODES = ("1", "2", "3", "7", "13", "14", "15", "17", "20", "22", "24")
@@ -195,11 +195,24 @@ def mix_share(
     return _labelled(counts, cohorts).selectExpr(OWNER, "cohort", *shares)
 
 
+def null_shares(b: DataFrame, cohorts: Sequence[Cohort]) -> DataFrame:
+    """Share of missing codes as intended and as the comparison with NULL gives it, at once."""
+    conditions = {
+        LOOKBACK: "true",
+        **{
+            name: _code_conditions((), kind)["occupation_null"]
+            for name, kind in (("intended", "is_null"), ("as_run", "equals_null"))
+        },
+    }
+    counts = _tallies(b, cohorts, ["in_lookback"], conditions)
+    shares = [_share(name) for name in ("intended", "as_run")]
+    return _labelled(counts, cohorts).selectExpr(OWNER, "cohort", *shares)
+
+
 def commitment_features(
     b: DataFrame,
     cohorts: Sequence[Cohort],
     ids: DataFrame | None = None,
-    max_ids: int | None = None,
     codes: Sequence[str] = OCCUPATION_CODES,
     null_share: str = "is_null",
 ) -> DataFrame:
@@ -208,7 +221,7 @@ def commitment_features(
     Left out are accounts with nothing counted for the cohort. In the others a count is 0, and
     a share NULL, where only that window is empty.
     """
-    features = numbered_features(b, cohorts, ids, max_ids, codes, null_share)
+    features = numbered_features(b, cohorts, ids, codes, null_share)
     return _labelled(features, cohorts)
 
 
@@ -216,7 +229,6 @@ def numbered_features(
     b: DataFrame,
     cohorts: Sequence[Cohort],
     ids: DataFrame | None = None,
-    max_ids: int | None = None,
     codes: Sequence[str] = OCCUPATION_CODES,
     null_share: str = "is_null",
 ) -> DataFrame:
@@ -224,10 +236,7 @@ def numbered_features(
 
     It lies by (a3, _cohort) as aggregated, so a join on these keys shuffles it no further.
     """
-    # Few ids are broadcast to the scan. Many would need the raw rows shuffled by account, so
-    # then it is the counts that are restricted.
-    early = ids is not None and small_enough(max_ids)
-    scoped = restrict(b, ids, OWNER, max_ids) if early else b
+    scoped = b if ids is None else restrict(b, ids, OWNER)
     conditions = {
         "total_commitments": "in_target",
         LOOKBACK: "in_lookback",
@@ -237,8 +246,6 @@ def numbered_features(
         **_code_conditions(codes, null_share),
     }
     counts = _tallies(scoped, cohorts, list(FLAGS), conditions)
-    if ids is not None and not early:
-        counts = restrict(counts, ids, OWNER)
     return counts.selectExpr(
         f"{OWNER} AS a3",
         "_cohort",

@@ -10,38 +10,21 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import scalars as S
 
-MAX_CATEGORIES = 1000
-# Longest sparse vector for one column; its labels are kept by the model.
-MAX_VECTOR_WIDTH = 100_000
 
-
-def categories(df: DataFrame, col: str, max_width: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct values of a column that is meant to become columns.
-
-    Raises past ``max_width`` instead of dropping values; one row more is all that is fetched.
-    """
-    found = df.where(F.col(col).isNotNull()).select(col).distinct().limit(max_width + 1).collect()
-    if len(found) > max_width:
-        raise ValueError(f"{col!r} has more than {max_width} values: encode it as a vector")
+def categories(df: DataFrame, col: str) -> list[str]:
+    """Sorted distinct values of a column that is to become columns, so as many as there will be."""
+    found = df.where(F.col(col).isNotNull()).select(col).distinct().collect()
     return sorted(row[0] for row in found)
 
 
-def check_width(df: DataFrame, col: str, max_width: int = MAX_VECTOR_WIDTH) -> None:
-    """Raise if a column has more values than a vector should have positions."""
-    found = df.select(col).distinct().limit(max_width + 1).count()
-    if found > max_width:
-        raise ValueError(f"{col!r} has more than {max_width} values: is it free text?")
-
-
 def one_hot(
     df: DataFrame,
     col: str,
     prefix: str,
     values: Sequence[str] | None = None,
-    max_width: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """``<prefix>_<value>`` 0/1 per value; a missing value gives 0 in all of them."""
-    values = categories(df, col, max_width) if values is None else values
+    values = categories(df, col) if values is None else values
     hot = [f"CAST({col} <=> {S.text(v)} AS INT) AS `{prefix}_{v}`" for v in values]
     return df.selectExpr("*", *hot)
 

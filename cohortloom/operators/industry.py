@@ -16,13 +16,11 @@ def valid_owner(df: DataFrame) -> DataFrame:
     return df.where("d15 IS NOT NULL AND d15 > -1")
 
 
-def company_owner(
-    schemes: DataFrame, ids: DataFrame | None = None, max_ids: int | None = None
-) -> DataFrame:
+def company_owner(schemes: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """One owning account per company number: the largest id."""
     owned = valid_owner(schemes)
     if ids is not None:
-        owned = restrict(owned, ids, "d15", max_ids)
+        owned = restrict(owned, ids, "d15")
     return owned.groupBy("d3").agg(F.max("d15").alias("d15"))
 
 
@@ -41,14 +39,19 @@ def owners_with_code(owners: DataFrame, register: DataFrame) -> DataFrame:
 
 
 def account_code(owners: DataFrame, register: DataFrame) -> DataFrame:
-    """Largest code among the companies of each account."""
-    return owners_with_code(owners, register).groupBy("d15").agg(F.max("sic_code").alias("sic_code"))
+    """Largest code among the companies of each account.
+
+    Owners have one row per company, so the register needs no reduction before the join.
+    """
+    codes = register.where("i1 IS NOT NULL").selectExpr("i1", f"{S.leading_token('i4')} AS sic_code")
+    found = owners.join(codes, F.col("d3") == F.col("i1"))
+    return found.groupBy("d15").agg(F.max("sic_code").alias("sic_code"))
 
 
 def recode(df: DataFrame, mapping: DataFrame, code: str = "sic_code") -> DataFrame:
     """``new_sic_code``: the mapped code, or the code itself where the map has none.
 
-    The map has 4-digit keys, so broadcasting it is bounded (see ``code_map``).
+    The map has distinct 4-digit keys, so broadcasting it is bounded (see ``code_map``).
     """
     small = F.broadcast(code_map(mapping))
     return df.join(small, F.col(code) == F.col("old_code"), "left").select(
@@ -72,8 +75,7 @@ def industry_features(
     mapping: DataFrame,
     bands: Sequence[tuple[int, str]] = SECTION_BANDS,
     ids: DataFrame | None = None,
-    max_ids: int | None = None,
 ) -> DataFrame:
     """New code, division and section per owning account with a company on the register."""
-    codes = account_code(company_owner(schemes, ids, max_ids), register)
+    codes = account_code(company_owner(schemes, ids), register)
     return with_section(recode(codes, mapping), bands).drop("sic_code")

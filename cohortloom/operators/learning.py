@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,22 +49,21 @@ def train(
     target: str = TARGET,
     categorical: Sequence[str] = (),
 ) -> PipelineModel:
-    """Fit on numeric features and, as sparse vectors, on wide categorical columns.
+    """Fit on numeric features and, each as one nominal feature, on categorical columns.
 
-    An unseen or missing category encodes as all zeros.
+    The trees' bins must hold every category, so their number follows a column with more. An
+    unseen or missing category is one more category.
     """
     use_checkpoints(df.sparkSession)  # boosting cuts its own lineage every few trees
     indexed = [f"{c}_index" for c in categorical]
-    encoded = [f"{c}_vector" for c in categorical]
-    stages = []
+    stages, bins = [], params.max_bins
     if categorical:
-        stages = [
-            StringIndexer(
-                inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            ),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-        ]
+        indexer = StringIndexer(
+            inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
+            stringOrderType="alphabetAsc",
+        ).fit(df)
+        stages = [indexer]
+        bins = max(bins, *[len(labels) + 1 for labels in indexer.labelsArray])
     regressor = GBTRegressor(
         featuresCol="features",
         labelCol=target,
@@ -73,11 +72,11 @@ def train(
         maxIter=params.max_iter,
         maxDepth=params.max_depth,
         stepSize=params.step_size,
-        maxBins=params.max_bins,
+        maxBins=bins,
         featureSubsetStrategy=params.feature_subset,
         seed=params.seed,
     )
-    return Pipeline(stages=[*stages, assembler([*features, *encoded]), regressor]).fit(df)
+    return Pipeline(stages=[*stages, assembler([*features, *indexed]), regressor]).fit(df)
 
 
 def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -108,13 +107,12 @@ def evaluate(
 def importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """Share of the total gain per feature, largest first.
 
-    A wide categorical column's positions follow the numeric features, under their codes.
+    Categorical columns follow the numeric features, each under its own name.
     """
     names = list(features)
     for stage in model.stages:
         if hasattr(stage, "labelsArray"):
-            for col, labels in zip(stage.getInputCols(), stage.labelsArray):
-                names += [f"{col}_{label}" for label in labels]
+            names += stage.getInputCols()
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(name, float(weight)) for name, weight in zip(names, weights, strict=True)]
     return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(

@@ -14,9 +14,6 @@ from cohortloom.functions import scalars as S
 
 # Leading hex digits of the hash that cut one stratum into ranges: 16^3 = 4096.
 RANGE_DIGITS = 3
-# Largest n taken by one ranking per group. Every task may send n rows to the same one, so n
-# times the number of tasks has to stay small.
-RANK_LIMIT = 100
 
 
 @dataclass(frozen=True)
@@ -53,16 +50,13 @@ def assign_strata(df: DataFrame, strata: Sequence[Stratum]) -> DataFrame:
 
 
 def _first_per_group(df: DataFrame, group: str, order: str, key: str, n: int) -> DataFrame:
-    """The first n rows of each group by (hash, key)."""
+    """The first n rows of each group by (hash, key).
+
+    Ranking whole groups would pull them into single tasks. The hash is uniform, so its leading
+    digits cut every group into even ranges: count them, find the range where n is reached, and
+    rank only inside ranges. Ranges past n are left out before anything is shuffled.
+    """
     ranked = df.selectExpr("*", f"{order} AS _order")
-    if n <= RANK_LIMIT:
-        # Each task keeps its own first n per group before the shuffle.
-        window = Window.partitionBy(group).orderBy("_order", key)
-        kept = ranked.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n)
-        return kept.drop("_order", "_rank")
-    # A large n would pull whole groups into single tasks. The hash is uniform, so its leading
-    # digits cut every group into even ranges: count them, find the range where n is reached,
-    # and rank only inside ranges.
     ranged = ranked.withColumn("_range", F.substring("_order", 1, RANGE_DIGITS))
     counts = ranged.groupBy(group, "_range").agg(F.count("*").alias("_rows"))
     ahead = (
@@ -93,14 +87,12 @@ def sample_stratified(
     """Up to n accounts per stratum, each account once."""
     order = S.seeded_hash(seed, key)
     picked = _first_per_group(assign_strata(df, strata), "_stratum", order, key, n)
-    return picked.drop("_stratum").distinct()
+    return picked.drop("_stratum").dropDuplicates([key])
 
 
 def sample_top_n(df: DataFrame, n: int, seed: int, key: str = "a3") -> DataFrame:
-    """n rows in seeded order, or all if there are fewer."""
+    """The first n rows in seeded order, or all if there are fewer."""
     order = S.seeded_hash(seed, key)
-    if n <= RANK_LIMIT:
-        return df.orderBy(F.expr(order), key).limit(n)
     return _first_per_group(df.withColumn("_all", F.lit(0)), "_all", order, key, n).drop("_all")
 
 

@@ -9,23 +9,20 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import predicates as P
 from cohortloom.functions import scalars as S
-from cohortloom.operators.accounts import restrict, small_enough
+from cohortloom.operators.accounts import restrict
 from cohortloom.rules import Rules
 
 SCHEME_CUTOFF = date(2022, 1, 1)
 PROFILE = ("employees", "scheme_start_year", "company_type", "company_status")
 
 
-def owner_profile(
-    schemes: DataFrame, ids: DataFrame | None = None, max_ids: int | None = None
-) -> DataFrame:
+def owner_profile(schemes: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """One row per owning account, so that joining it to accounts meets no repeated key.
 
     The largest letter is found by code point: a number can be kept in a hash aggregate, where
     text would make every task sort its rows.
     """
-    early = ids is not None and small_enough(max_ids)
-    scoped = restrict(schemes, ids, "d15", max_ids) if early else schemes
+    scoped = schemes if ids is None else restrict(schemes, ids, "d15")
     profile = (
         scoped.where("d15 IS NOT NULL")
         .groupBy("d15")
@@ -36,8 +33,6 @@ def owner_profile(
             F.max("d8").alias("company_status"),
         )
     )
-    if ids is not None and not early:
-        profile = restrict(profile, ids, "d15")
     return profile.selectExpr(
         "d15",
         "employees",
@@ -52,18 +47,17 @@ def scheme_profile(
     schemes: DataFrame,
     cutoff: date = SCHEME_CUTOFF,
     ids: DataFrame | None = None,
-    max_ids: int | None = None,
 ) -> DataFrame:
     """Per account and levy flag: largest scheme, first start year, last type and status.
 
     Schemes are aggregated first. Accounts without a scheme stay, with NULLs.
     """
     if ids is not None:
-        accounts = restrict(accounts, ids, "a3", max_ids)
+        accounts = restrict(accounts, ids, "a3")
     keys = accounts.where(P.before("a2", cutoff)).select("a3", "a1")
     # distinct() after the join: both sides already lie by account, so it adds no shuffle.
     return (
-        keys.join(owner_profile(schemes, ids, max_ids), F.col("a3") == F.col("d15"), "left")
+        keys.join(owner_profile(schemes, ids), F.col("a3") == F.col("d15"), "left")
         .select("a3", "a1", *PROFILE)
         .distinct()
     )
@@ -92,8 +86,7 @@ def scheme_features(
     rules: Rules = Rules(),
     cutoff: date = SCHEME_CUTOFF,
     ids: DataFrame | None = None,
-    max_ids: int | None = None,
 ) -> DataFrame:
     """Profile with match flag, imputed year and employees, and type 'X' where unknown."""
-    profile = scheme_profile(accounts, schemes, cutoff, ids, max_ids)
+    profile = scheme_profile(accounts, schemes, cutoff, ids)
     return profile.selectExpr("a3", *profile_columns(rules))

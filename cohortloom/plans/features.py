@@ -44,14 +44,6 @@ class FeatureSettings:
         return self.code_map is not None
 
 
-@dataclass(frozen=True)
-class AccountIds:
-    """A sample of accounts and the largest number it can hold."""
-
-    frame: DataFrame
-    bound: int
-
-
 def _has_features(c: Cohort) -> str:
     """Features exist for levy accounts created before the window; others count as 0."""
     return f"(a1 = 1 AND {P.before('a2', c.start)})"
@@ -66,7 +58,7 @@ def _attached(
     accounts: DataFrame,
     commitments: DataFrame,
     cohorts: Sequence[Cohort],
-    ids: AccountIds | None,
+    ids: DataFrame | None,
     settings: FeatureSettings,
     members_only: bool,
 ) -> tuple[DataFrame, list[str]]:
@@ -74,9 +66,8 @@ def _attached(
 
     ``_valid`` tells where features count. Both sides are shuffled once, by account and cohort.
     """
-    scope = (None, None) if ids is None else (ids.frame, ids.bound)
     features = C.numbered_features(
-        commitments, cohorts, *scope, settings.codes, settings.null_share
+        commitments, cohorts, ids, settings.codes, settings.null_share
     )
     number = {c: str(i) for i, c in enumerate(cohorts)}
     grown = A.expand_cohorts(
@@ -93,7 +84,7 @@ def cohort_frame(
     accounts: DataFrame,
     commitments: DataFrame,
     cohorts: Sequence[Cohort],
-    ids: AccountIds | None = None,
+    ids: DataFrame | None = None,
     settings: FeatureSettings = FeatureSettings(),
     members_only: bool = True,
 ) -> DataFrame:
@@ -113,7 +104,7 @@ def raw_features(
     accounts: DataFrame,
     commitments: DataFrame,
     cohorts: Sequence[Cohort],
-    ids: AccountIds | None = None,
+    ids: DataFrame | None = None,
     settings: FeatureSettings = FeatureSettings(),
 ) -> DataFrame:
     """Features before filling: levy accounts created before each cohort's start only.
@@ -136,14 +127,13 @@ def account_features(
     tables: SourceTables,
     accounts: DataFrame,
     cohorts: Sequence[Cohort],
-    ids: AccountIds | None = None,
+    ids: DataFrame | None = None,
     settings: FeatureSettings = FeatureSettings(),
     members_only: bool = True,
 ) -> DataFrame:
     """Accounts by cohort with commitment, scheme and (optionally) industry features."""
-    scope = (None, None) if ids is None else (ids.frame, ids.bound)
     base = A.early_adopter(accounts, settings.early_cutoff)
-    joined = A.attach(base, owner_profile(tables.schemes, *scope), left="a3", right="d15")
+    joined = A.attach(base, owner_profile(tables.schemes, ids), left="a3", right="d15")
     in_scope = P.before("a2", settings.scheme_cutoff)
     joined = joined.selectExpr(*base.columns, *profile_columns(settings.rules, in_scope))
     if settings.use_industry:
@@ -152,7 +142,7 @@ def account_features(
             tables.register,
             settings.code_map,
             settings.rules.bands,
-            *scope,
+            ids,
         )
         joined = A.attach(joined, industry, left="a3", right="d15").drop("d15")
     frame = cohort_frame(joined, tables.commitments, cohorts, ids, settings, members_only)

@@ -17,7 +17,7 @@ from cohortloom.operators import encoding as E
 from cohortloom.operators import learning as L
 from cohortloom.operators.commitments import uplift
 from cohortloom.operators.sampling import sample_top_n
-from cohortloom.plans.features import AccountIds, FeatureSettings, account_features
+from cohortloom.plans.features import FeatureSettings, account_features
 from cohortloom.plans.training import (
     CODE_COLUMN,
     DIVISION_PREFIX,
@@ -25,7 +25,7 @@ from cohortloom.plans.training import (
     TYPE_PREFIX,
 )
 from cohortloom.session import cut_lineage
-from cohortloom.sources.sinks import load_model, write_predictions
+from cohortloom.sources.sinks import check_free, load_model, write_predictions
 from cohortloom.sources.tables import SourceTables
 
 # Features that the as-run scoring never had under the model's names, so took as 0.
@@ -34,14 +34,16 @@ PREDICTED = "levy_model_prediction"
 
 
 def score_accounts(
-    accounts: DataFrame, n: int | None = None, seed: int = 42
-) -> tuple[DataFrame, AccountIds | None]:
-    """Levy accounts: all of them, or n in seeded order with their ids."""
+    accounts: DataFrame, n: int | None = None, seed: int = 42, ids: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Levy accounts: all, those of a list, or n of these in seeded order with their ids."""
     levy = A.levy_only(accounts)
+    if ids is not None:
+        levy = A.restrict(levy, ids, "a3")
     if n is None:
-        return levy, None
+        return levy, ids
     sample = cut_lineage(sample_top_n(levy, n, seed))
-    return sample, AccountIds(sample.select("a3"), n)
+    return sample, sample.select("a3")
 
 
 def score_frame(
@@ -51,13 +53,14 @@ def score_frame(
     seed: int = 42,
     settings: FeatureSettings = FeatureSettings(),
     compat: bool = False,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Features of every scored account as of a day, under the names the model knows.
 
     ``compat`` counts a commitment as live if it is open on ``as_of``; otherwise, as in
     training, on the first day of the window.
     """
-    accounts, ids = score_accounts(tables.accounts, n, seed)
+    accounts, ids = score_accounts(tables.accounts, n, seed, ids)
     cohort = rolling_cohort(as_of, compat=compat)
     frame = account_features(tables, accounts, [cohort], ids, settings, members_only=False)
     return A.rename_features(uplift(frame, settings.rules.uplift))
@@ -119,10 +122,19 @@ def score_pipeline(
     settings: FeatureSettings = FeatureSettings(),
     compat: bool = False,
     fmt: str = "csv",
+    ids: DataFrame | None = None,
+    mode: str = "error",
 ) -> Scored:
-    """Score current accounts with a saved model and write the predictions to ``out``."""
+    """Score current accounts with a saved model and write the predictions to ``out``.
+
+    ``ids`` (one column) restricts the accounts. ``mode`` is the writer's: with "error" a folder
+    that exists is an error before any work.
+    """
+    if out is not None and mode == "error":
+        check_free(tables.accounts.sparkSession, out)
     model, features = load_model(model_path)
-    scored = score(score_frame(tables, as_of, n, seed, settings, compat), model, features, compat)
+    frame = score_frame(tables, as_of, n, seed, settings, compat, ids)
+    scored = score(frame, model, features, compat)
     if out is not None:
-        write_predictions(scored.predictions, out, fmt)
+        write_predictions(scored.predictions, out, fmt, mode)
     return scored

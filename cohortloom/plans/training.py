@@ -22,7 +22,7 @@ from cohortloom.operators.sampling import (
     inside,
     sample_stratified,
 )
-from cohortloom.plans.features import AccountIds, FeatureSettings, account_features
+from cohortloom.plans.features import FeatureSettings, account_features
 from cohortloom.session import cut_lineage
 from cohortloom.sources.sinks import save_model
 from cohortloom.sources.tables import SourceTables
@@ -38,15 +38,19 @@ def training_accounts(
     strata: Sequence[Stratum] = TRAINING_STRATA,
     n: int | None = None,
     seed: int = 42,
-) -> tuple[DataFrame, AccountIds | None]:
+    ids: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
     """Up to n accounts per stratum with their ids; without n, every account in a stratum.
 
-    A sample is drawn once, since every scan that follows is restricted to it.
+    ``ids`` (one column) restricts both. A sample is drawn once, since every scan that follows is
+    restricted to it.
     """
+    if ids is not None:
+        accounts = A.restrict(accounts, ids, "a3")
     if n is None:
-        return accounts.where(P.any_of(map(inside, strata))), None
+        return accounts.where(P.any_of(map(inside, strata))), ids
     sample = cut_lineage(sample_stratified(accounts, strata, n, seed))
-    return sample, AccountIds(sample.select("a3"), n * len(strata))
+    return sample, sample.select("a3")
 
 
 def raw_training_frame(
@@ -57,10 +61,11 @@ def raw_training_frame(
     seed: int = 42,
     settings: FeatureSettings = FeatureSettings(),
     levy_accounts_only: bool = False,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Eligible accounts by cohort, every feature but the one-hot ones, and the target."""
     population = A.levy_only(tables.accounts) if levy_accounts_only else tables.accounts
-    accounts, ids = training_accounts(population, strata, n, seed)
+    accounts, ids = training_accounts(population, strata, n, seed, ids)
     frame = account_features(tables, accounts, cohorts, ids, settings)
     status = ELIGIBLE_STATUS if settings.use_industry else None
     return A.eligible(frame, status=status).selectExpr(
@@ -117,16 +122,15 @@ def training_frame(
     seed: int = 42,
     settings: FeatureSettings = FeatureSettings(),
     levy_accounts_only: bool = False,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """The frame the model is fitted on: encoded, constant columns and incomplete rows dropped.
 
     The raw frame is written once; category lookup, profile and fit then read it back.
     """
     raw = cut_lineage(
-        raw_training_frame(tables, cohorts, strata, n, seed, settings, levy_accounts_only)
+        raw_training_frame(tables, cohorts, strata, n, seed, settings, levy_accounts_only, ids)
     )
-    if settings.use_industry:
-        E.check_width(raw, CODE_COLUMN)
     frame = encoded(raw, settings)
     varying = E.drop_constant(frame, protect=[*KEYS, L.TARGET, CODE_COLUMN])
     return A.drop_missing(varying, [c for c in varying.columns if c != CODE_COLUMN])
@@ -159,7 +163,7 @@ def train_pipeline(
     keys = KEYS[:1] if split_key == "account" else KEYS
     fit_part, test_part = hash_split(frame, keys, test, seed)
     model = L.train(fit_part, features, params, categorical=categorical)
-    metrics = L.evaluate(L.predict(test_part, model), len(features))
+    metrics = L.evaluate(L.predict(test_part, model), model.stages[-1].numFeatures)
     if path is not None:
         save_model(model, features, path)
     return Trained(model, features, metrics, L.importance(model, features))

@@ -47,11 +47,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """The frame computed once, for plans that go on to read it many times.
 
     With a shared folder it is written there as a table, which outlives lost executors and is
-    read back by column. Without one (a local run) it is cached, and recomputed from its sources
-    where blocks are lost.
+    read back by column. Without one a local run caches it; on a cluster that is an error.
     """
     spark = df.sparkSession
     if not use_checkpoints(spark):
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         return df.persist()
     folder = shared_dir(spark) or spark.sparkContext.getCheckpointDir()
     path = f"{folder.rstrip('/')}/frame-{uuid.uuid4().hex}"

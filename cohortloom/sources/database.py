@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +56,22 @@ def key_bounds_sql(table: str, column: str) -> str:
     return f"SELECT MIN({column}) AS lower_key, MAX({column}) AS upper_key FROM {table}"
 
 
+def parse_split(text: str) -> tuple[str, str, int]:
+    """Table, column and number of parts of TABLE=COLUMN:PARTS."""
+    table, _, rest = text.partition("=")
+    column, _, parts = rest.rpartition(":")
+    if not (table and column and parts.isdigit() and int(parts) > 0):
+        raise ValueError(f"not TABLE=COLUMN:PARTS: {text}")
+    return table, column, int(parts)
+
+
+def key_range(column: str, parts: int, bounds: Sequence | None) -> KeyRange | None:
+    """The range between the bounds that ``key_bounds_sql`` gave; none for an empty table."""
+    if bounds is None or bounds[0] is None:
+        return None
+    return KeyRange(column, str(bounds[0]), str(bounds[1]), parts)
+
+
 def read_query(
     spark: SparkSession,
     url: str,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,17 @@ def write_predictions(df: DataFrame, path: str, fmt: str = "csv", mode: str = "e
         raise ValueError(f"unknown format {fmt!r}: use 'csv' or 'parquet'")
 
 
+def check_free(spark: SparkSession, path: str) -> None:
+    """Raise if something is at the path already, in whatever store it names."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return
+        raise
+    raise FileExistsError(path)
+
+
 def save_model(model: PipelineModel, features: Sequence[str], path: str) -> None:
     """The fitted pipeline, and beside it the features in model order."""
     model.write().overwrite().save(f"{path}/model")

@@ -113,7 +113,7 @@ def test_compat_scoring_fills_and_inverts_with_two(spark, trained):
         assert row.levy_model_prediction == pytest.approx(math.pow(2, raw[row.account_id]) - 1)
 
 
-def test_industry_codes_go_in_as_vectors(spark, tmp_path):
+def test_industry_code_goes_in_as_one_feature(spark, tmp_path):
     settings = catalog.settings(spark, industry=True)
     tables = T.tables(spark, SF)
     frame = PT.training_frame(tables, T.COHORTS, T.STRATA, settings=settings).cache()
@@ -122,22 +122,62 @@ def test_industry_codes_go_in_as_vectors(spark, tmp_path):
     path = str(tmp_path / "model")
     result = PT.train_pipeline(frame, L.BoostParams(max_iter=2, max_depth=3, max_bins=32), path)
     names = [r.feature for r in result.importance.collect()]
-    codes = {r[0] for r in frame.select(PT.CODE_COLUMN).distinct().collect()} - {None}
-    assert {f"{PT.CODE_COLUMN}_{c}" for c in codes} >= set(names) - set(result.features)
+    assert set(names) - set(result.features) == {PT.CODE_COLUMN}
+    metrics = result.metrics.first()
+    width = result.model.stages[-1].numFeatures
+    assert width == len(result.features) + 1
+    n = metrics["rows"]
+    assert metrics.adjusted_r2 == pytest.approx(1 - (1 - metrics.r2) * (n - 1) / (n - width - 1))
     scored = PS.score_pipeline(tables, T.AS_OF, path, settings=settings)
     assert scored.predictions.where("levy_model_prediction IS NULL").count() == 0
-    # A source without industry data still scores: codes encode as all zeros.
+    # A source without industry data still scores: the code is then of the category for others.
     plain = PS.score_pipeline(tables, T.AS_OF, path, settings=catalog.settings(spark))
     assert plain.predictions.count() == scored.predictions.count()
 
 
-def test_unseen_and_missing_categories_encode_as_zeros(spark):
+def test_unseen_and_missing_categories_are_one_more(spark):
     rows = [(float(i), "ab"[i % 2], float(i)) for i in range(20)]
     df = spark.createDataFrame(rows, f"x double, code string, {L.TARGET} double")
     model = L.train(df, ["x"], L.BoostParams(max_iter=1, max_depth=1), categorical=["code"])
     new = spark.createDataFrame([(1.0, "c"), (1.0, None), (1.0, "b")], "x double, code string")
     vectors = [r.features.toArray().tolist() for r in model.transform(new).collect()]
-    assert vectors == [[1.0, 0.0, 0.0], [1.0, 0.0, 0.0], [1.0, 0.0, 1.0]]
+    assert vectors == [[1.0, 2.0], [1.0, 2.0], [1.0, 1.0]]
+
+
+def test_more_categories_than_bins(spark):
+    rows = [(float(i % 7), f"c{i % 60}", float(i % 60)) for i in range(600)]
+    df = spark.createDataFrame(rows, f"x double, code string, {L.TARGET} double")
+    few = L.BoostParams(max_iter=3, max_depth=4, max_bins=16)
+    model = L.train(df, ["x"], few, categorical=["code"])
+    assert L.evaluate(L.predict(df, model), 2).first().r2 > 0.9
+
+
+def test_scoring_a_list_of_accounts(spark, trained, tmp_path):
+    _, path = trained
+    tables, out = T.tables(spark, SF), str(tmp_path / "listed")
+    ids = tables.accounts.where("a3 <= 40").select("a3")
+    for _ in range(2):
+        PS.score_pipeline(
+            tables, T.AS_OF, path, out, settings=catalog.settings(spark), ids=ids, fmt="parquet",
+            mode="overwrite",
+        )
+    expected = {r.a3 for r in tables.accounts.where("a3 <= 40 AND a1 = 1").collect()}
+    assert {r.account_id for r in spark.read.parquet(out).collect()} == expected
+    with pytest.raises(FileExistsError):
+        PS.score_pipeline(tables, T.AS_OF, path, out, settings=catalog.settings(spark))
+
+
+def test_training_on_a_list_of_accounts(spark):
+    tables = T.tables(spark, SF)
+    ids = tables.accounts.where("a3 <= 60").select("a3")
+    scope = {"settings": catalog.settings(spark), "ids": ids}
+    raw = PT.raw_training_frame(tables, T.COHORTS, T.STRATA, **scope)
+    whole = PT.raw_training_frame(tables, T.COHORTS, T.STRATA, settings=catalog.settings(spark))
+    columns = ["a3", "cohort", "total_commitments", L.TARGET]
+    got = sorted(map(tuple, raw.select(columns).collect()))
+    assert got and got == sorted(map(tuple, whole.where("a3 <= 60").select(columns).collect()))
+    few = PT.raw_training_frame(tables, T.COHORTS, T.STRATA, n=1, **scope)
+    assert {r.a3 for r in few.collect()} <= set(range(61))
 
 
 def test_compat_null_share_is_dropped_as_constant(spark):

@@ -71,15 +71,9 @@ def test_filters_and_columns_reach_the_scan(static_plans, tables):
     assert "b17" not in scan.split("ReadSchema")[1]
 
 
-def test_sample_limits_before_the_shuffle(static_plans, tables):
-    text = plan(M.sample_stratified(tables.accounts, T.STRATA, 2, 1))
-    assert text.count("WindowGroupLimit") == 2
-    assert scans(text, "pt_a") == 1
-    assert "TakeOrderedAndProject" in plan(M.sample_top_n(tables.accounts, 7, 1))
-
-
-def test_large_sample_ranks_inside_ranges(static_plans, tables):
-    text = plan(M.sample_stratified(tables.accounts, T.STRATA, 5000, 1))
+@pytest.mark.parametrize("n", [2, 5000])
+def test_sample_ranks_inside_ranges(static_plans, tables, n):
+    text = plan(M.sample_stratified(tables.accounts, T.STRATA, n, 1))
     assert "hashpartitioning(_stratum#" in text and "_range#" in text
     ranking = next(line for line in text.splitlines() if "row_number()" in line)
     assert re.search(r"\[_stratum#\d+, _range#\d+\]", ranking)
@@ -96,7 +90,8 @@ def test_training_frame_plan(spark, static_plans, tables):
     assert text.count("BroadcastHashJoin") == 1
 
 
-def test_sample_is_broadcast_to_the_scan(spark, static_plans, tables):
+def test_small_sample_is_broadcast_to_the_scan(spark, static_plans, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
     frame = PT.raw_training_frame(
         tables, T.COHORTS, T.STRATA, n=2, settings=catalog.settings(spark)
     )

@@ -7,7 +7,7 @@ from cohortloom.cohorts import TRAINING_COHORTS, rolling_cohort
 from cohortloom.rules import read_code_map
 from cohortloom.session import ENGINE_CONF, cut_lineage
 from cohortloom.sources import ParquetSource, key_bounds_sql, query_options, read_tables, schemas
-from cohortloom.sources.database import KeyRange
+from cohortloom.sources.database import KeyRange, key_range, parse_split
 
 
 def test_query_options_without_split():
@@ -31,6 +31,22 @@ def test_key_bounds_sql():
     assert key_bounds_sql("t", "k") == "SELECT MIN(k) AS lower_key, MAX(k) AS upper_key FROM t"
 
 
+def test_database_in_the_jobs():
+    from cohortloom.__main__ import parser, source_of
+
+    assert parse_split("pt_b=b10:64") == ("pt_b", "b10", 64)
+    for bad in ("pt_b", "pt_b=b10", "pt_b=b10:x", "=b10:4", "pt_b=b10:0"):
+        with pytest.raises(ValueError):
+            parse_split(bad)
+    assert key_range("b10", 64, (1, 900)) == KeyRange("b10", "1", "900", 64)
+    assert key_range("b10", 64, (None, None)) is None
+    base = ["train", "--model", "m", "--url", "jdbc:db:x", "--property", "user=u=v"]
+    source = source_of(None, parser().parse_args(base))
+    assert (source.url, source.properties) == ("jdbc:db:x", {"user": "u=v"})
+    with pytest.raises(SystemExit):
+        parser().parse_args([*base, "--tables", "t"])
+
+
 def test_parquet_round_trip_is_typed(spark, sf_dir, tmp_path):
     accounts = T.accounts(spark, sf_dir)
     renamed = {"pt_a": "accounts"}
