@@ -9,7 +9,8 @@ that lie on one of the N best paths, and finds those in order.
 
 No piece has a space sign after another sign (checked when a model is loaded), so no path crosses
 the beginning of a run of spaces, and the lattice of a text falls into chunks at these places. The
-forward pass of a chunk is kept in a bounded cache of the task. It also tells what the chunk's
+forward pass runs over all new chunks of some hundred texts at once, in numpy, and is kept in a
+bounded cache of the task. It also tells what the chunk's
 second best path loses, and the N best paths of a text differ from its best one only in the N - 1
 chunks that lose least: the search backwards runs there. They are given as changes to the best.
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 CACHE_ENTRIES, CACHE_CHARS = 200_000, 40
-LOOK = 6
+GROUP = 500
 SPACE = "▁"
 #: Stands for a space sign of the text itself; no valid text holds it.
 OWN_SPACE = "\ud800"
@@ -140,110 +141,143 @@ def _bytes(sign: str, pieces: Pieces) -> list[int]:
     return [pieces.byte_ids[b] for b in sign.replace(OWN_SPACE, SPACE).encode()]
 
 
-class Starts(dict):
-    """Edges that start with given signs: length, piece and score; remembered, in bounds.
-
-    A key is the next ``LOOK`` signs of a text, or fewer where it ends; its edges are all there are
-    unless a longer piece begins with all of them, which is None.
-    """
+class Lattice:
+    """The model's prefixes as arrays: for a prefix and a sign, the longer prefix and its piece."""
 
     def __init__(self, pieces: Pieces):
-        super().__init__()
-        self.pieces = pieces
-
-    def __missing__(self, signs: str):
-        found = _starting(signs, self.pieces)
-        if len(signs) == LOOK and self.pieces.prefixes.get(signs) is not None:
-            found = None
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[signs] = found
-        return found
-
-
-def _starting(signs: str, pieces: Pieces) -> list[tuple[int, int, float]]:
-    found, single = [], False
-    for size in range(1, len(signs) + 1):
-        edge = pieces.prefixes.get(signs[:size])
-        if edge is None:
-            break
-        if edge[0] >= 0:
-            found.append((size, *edge))
-            single |= size == 1
-    return found if single else [(1, -1, pieces.unknown), *found]
-
-
-def best_path(text: str, starts: Starts) -> tuple[float, bytes, float]:
-    """The forward pass alone: best score, its pieces as bytes, and what the next best loses.
-
-    The next best path leaves the best one at one position, by that position's next edge. Of equal
-    scores the later start counts, as in ``n_best``.
+        number = {"": 0} | {prefix: i for i, prefix in enumerate(pieces.prefixes, 1)}
+        steps = sorted((number[p[:-1]] << 21 | ord(p[-1]), i) for p, i in number.items() if p)
+        self.keys, self.next = np.array(steps, np.int64).T.copy()
+        found = [(-1, 0.0), *pieces.prefixes.values()]
+        self.piece = np.array([i for i, _ in found], np.int64)
+        self.score = np.array([score for _, score in found])
+        self.unknown = pieces.unknown
+
+    def edges(self, signs: np.ndarray, ends: np.ndarray):
+        """Start, end, piece and score of every edge of texts laid end to end."""
+        at, state, out = np.arange(len(signs)), np.zeros(len(signs), np.int64), []
+        single, size = np.zeros(len(signs), bool), 0
+        while len(at):
+            inside = at + size < ends[at]
+            at, state = at[inside], state[inside]
+            key = state << 21 | signs[at + size]
+            i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[i] == key
+            at, state = at[hit], self.next[i[hit]]
+            size += 1
+            whole = self.piece[state] >= 0
+            if size == 1:
+                single[at[whole]] = True
+            start, last = at[whole], state[whole]
+            out.append((start, start + size, self.piece[last], self.score[last]))
+        start = np.flatnonzero(~single)
+        out.append((start, start + 1, np.full(len(start), -1), np.full(len(start), self.unknown)))
+        return tuple(map(np.concatenate, zip(*out)))
+
+
+def best_paths(chunks: list[str], lattice: Lattice, pieces: Pieces):
+    """The forward pass over many chunks: best score, pieces as bytes, what the next best loses.
+
+    All chunks go forward together, one place at a time. A next best path leaves the best one at
+    one place, by that place's next edge. Of equal scores the later start counts, as in ``n_best``.
     """
-    size, pieces = len(text), starts.pieces
-    best, second, back = [-np.inf] * (size + 1), [-np.inf] * (size + 1), [None] * (size + 1)
-    best[0] = 0.0
-    for start in range(size):
-        base = best[start]
-        edges = starts[text[start : start + LOOK]]
-        if edges is None:
-            edges = _starting(text[start:], pieces)
-        for length, piece, score in edges:
-            stop, total = start + length, base + score
-            top = best[stop]
-            if total >= top:
-                second[stop], best[stop], back[stop] = top, total, (start, piece)
-            elif total > second[stop]:
-                second[stop] = total
-    ids: list[int] = []
-    at, loss = size, np.inf
-    while at:
-        lost = best[at] - second[at]
-        if lost < loss:
-            loss = lost
-        at, piece = back[at]
-        if piece >= 0:
-            ids.append(piece)
-        else:
-            ids += _bytes(text[at], pieces)[::-1]
-    ids.reverse()
-    return best[size], array("i", ids).tobytes(), loss
-
-
-class Known(dict):
-    """Best paths by chunk without its first space sign; two bounded generations."""
-
-    def __init__(self, pieces: Pieces):
-        super().__init__()
-        self.starts, self.older = Starts(pieces), {}
-
-    def __missing__(self, chunk: str) -> tuple[float, bytes, float]:
-        found = self.older.get(chunk) or best_path(SPACE + chunk, self.starts)
-        if len(chunk) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.older = dict(self)
-                self.clear()
-            self[chunk] = found
-        return found
+    text = SPACE + SPACE.join(chunks)
+    signs = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
+    ends = np.cumsum(sizes)
+    of = np.repeat(np.arange(len(chunks)), sizes)
+    start, stop, piece, score = lattice.edges(signs, ends[of])
+    # a chunk of n signs has n + 1 places, numbered after those of the chunks before it
+    chunk = of[start]
+    depth = stop - (ends - sizes)[chunk]
+    order = np.lexsort((start, chunk, depth))
+    start, stop, piece, score, chunk, depth = (
+        v[order] for v in (start, stop, piece, score, chunk, depth)
+    )
+    source, target = start + chunk, stop + chunk
+    best = np.zeros(len(text) + len(chunks))
+    second, back = np.full(len(best), -np.inf), np.zeros(len(best), np.int64)
+    cuts = np.flatnonzero(np.r_[True, depth[1:] != depth[:-1], True])
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        to, total = target[low:high], best[source[low:high]] + score[low:high]
+        first = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
+        top = np.maximum.reduceat(total, first)
+        ties = total == np.repeat(top, np.diff(np.r_[first, len(to)]))
+        winner = np.maximum.reduceat(np.where(ties, np.arange(len(to)), -1), first)
+        place = to[first]
+        best[place], back[place] = top, low + winner
+        total[winner] = -np.inf
+        second[place] = np.maximum.reduceat(total, first)
+    last = ends + np.arange(len(chunks))
+    scores, loss = best[last], np.full(len(chunks), np.inf)
+    walk, at = np.arange(len(chunks)), last
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(walk):
+        loss[walk] = np.minimum(loss[walk], best[at] - second[at])
+        edge = back[at]
+        steps.append((walk, edge))
+        at = source[edge]
+        going = at > (last - sizes)[walk]
+        walk, at = walk[going], at[going]
+    owner, edge = (np.concatenate(v)[::-1] for v in zip(*steps))
+    order = np.argsort(owner, kind="stable")
+    owner, edge = owner[order], edge[order]
+    ids = piece[edge].astype(np.int32)
+    bounds = 4 * np.searchsorted(owner, np.arange(len(chunks) + 1))
+    flat, bounds = ids.tobytes(), bounds.tolist()
+    out = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    for c in set(owner[ids < 0].tolist()):
+        own = range(bounds[c] // 4, bounds[c + 1] // 4)
+        lists = [[ids[k]] if ids[k] >= 0 else _bytes(text[start[edge[k]]], pieces) for k in own]
+        out[c] = array("i", [i for part in lists for i in part]).tobytes()
+    return zip(scores.tolist(), out, loss.tolist())
 
 
 class Encoder:
-    """Encodes texts one after another, remembering the short chunks it has met."""
+    """Encodes texts, remembering the short chunks it has met in two bounded generations."""
 
     def __init__(self, pieces: Pieces, n: int = BEST):
-        self.pieces, self.n, self.known = pieces, n, Known(pieces)
+        self.pieces, self.n, self.lattice = pieces, n, Lattice(pieces)
+        self.known: dict[str, tuple[float, bytes, float]] = {}
+        self.older: dict[str, tuple[float, bytes, float]] = {}
+        self.ways: dict[str, list[tuple[float, list[int]]]] = {}
         self.surfaces = [s.replace(SPACE, " ").encode() for s in pieces.surfaces]
         for byte, i in enumerate(pieces.byte_ids):
             self.surfaces[i] = bytes([byte])
 
+    def chunks(self, text: str) -> list[str]:
+        """The text's chunks, each without the space sign it begins with."""
+        signs = text.replace(SPACE, OWN_SPACE)
+        if "  " in signs or signs[:1] == " " or signs[-1:] == " ":
+            return [c[1:] for c in CHUNK.findall(SPACE + signs.replace(" ", SPACE))]
+        return signs.split(" ") if signs else []
+
+    def learn(self, lists: list[list[str]]) -> None:
+        """Have the best path of every chunk at hand."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.older = {c: p for c, p in self.known.items() if len(c) <= CACHE_CHARS}
+            self.known = {}
+        new = []
+        for chunk in set().union(*lists).difference(self.known):
+            if (found := self.older.get(chunk)) is not None:
+                self.known[chunk] = found
+            else:
+                new.append(chunk)
+        if new:
+            self.known.update(zip(new, best_paths(new, self.lattice, self.pieces)))
+
+    def encode_all(self, texts: list[str]):
+        lists = list(map(self.chunks, texts))
+        self.learn(lists)
+        return [self._encode(chunks) for chunks in lists]
+
     def encode(self, text: str):
+        return self.encode_all([text])[0]
+
+    def _encode(self, chunks: list[str]):
         """Pieces of the best segmentation, the scores of the n best, and the others' changes."""
-        if not text:
+        if not chunks:
             return np.zeros(0, np.int32), [0.0], []
-        signs = text.replace(SPACE, OWN_SPACE)
-        if "  " in signs or signs[0] == " " or signs[-1] == " ":
-            chunks = [c[1:] for c in CHUNK.findall(SPACE + signs.replace(" ", SPACE))]
-        else:
-            chunks = signs.split(" ")
         found = list(map(self.known.__getitem__, chunks))
         best = sum(map(itemgetter(0), found))
         parts = list(map(itemgetter(1), found))
@@ -251,10 +285,12 @@ class Encoder:
         costs = np.fromiter(map(itemgetter(2), found), float, len(found))
         # the n cheapest sets of changes, chunk by chunk: cost, then chunk and alternative
         sets: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
-        others = {}
+        others, place, before, size = {}, {}, 0, 0
         for c in sorted(_cheapest(costs, self.n - 1)):
-            ways = n_best(SPACE + chunks[c], self.pieces, self.n)
+            ways = self._ways(chunks[c])
             others[c] = [alternative for _, alternative in ways[1:]]
+            size += sum(map(len, parts[before:c]))
+            place[c], before = size // 4, c
             more = [
                 (cost + ways[0][0] - way[0], (*changes, (c, k)))
                 for cost, changes in sets
@@ -265,11 +301,20 @@ class Encoder:
         for _, chosen in sets[1:]:
             edits = []
             for c, k in chosen:
-                at = sum(map(len, parts[:c])) // 4
-                edits.append({"at": at, "drop": len(parts[c]) // 4, "ids": others[c][k]})
+                drop = len(parts[c]) // 4
+                edits.append({"at": place[c], "drop": drop, "ids": others[c][k]})
             changes.append(edits)
         return ids, [best - cost for cost, _ in sets], changes
 
+    def _ways(self, chunk: str) -> list[tuple[float, list[int]]]:
+        if (found := self.ways.get(chunk)) is None:
+            found = n_best(SPACE + chunk, self.pieces, self.n)
+            if len(chunk) <= CACHE_CHARS:
+                if len(self.ways) >= CACHE_ENTRIES // 10:
+                    self.ways.clear()
+                self.ways[chunk] = found
+        return found
+
     def decode(self, ids: list[int]) -> str:
         """The text of any segmentation; bytes that are no valid text become its usual sign."""
         return b"".join(map(self.surfaces.__getitem__, ids)).decode("utf-8", "replace")[1:]
@@ -297,12 +342,11 @@ def encode(documents: DataFrame, pieces: Pieces, n: int = BEST) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(pieces, n)
         for batch in batches:
-            for start in range(0, len(batch), 1000):
-                part = batch[start : start + 1000]
+            for start in range(0, len(batch), GROUP):
+                part = batch[start : start + GROUP]
+                texts = [text or "" for text in part["text"]]
                 rows = []
-                for text in part["text"]:
-                    text = text or ""
-                    ids, scores, changes = encoder.encode(text)
+                for text, (ids, scores, changes) in zip(texts, encoder.encode_all(texts)):
                     same = encoder.decode(ids.tolist()) == text
                     rows.append((ids, scores[0], scores, changes, same))
                 names = ["ids", "score", "scores", "alternatives", "decodes"]
