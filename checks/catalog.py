@@ -43,7 +43,7 @@ TYPES = ["C", "E", "F", "I", "L", "P", "S", "X"]
 DIVISIONS = [f"{number:02d}" for number in range(1, 100)]
 # New codes of the map the checks use (see T.code_pairs).
 CODES = sorted({f"{1000 * (1 + i * 193 % 99) + 10 * (i % 5):05d}" for i in range(T.MAP_SIZE)})
-SECTIONS = [letter for _, letter in T.RULES.bands] + ["Z"]
+SECTIONS = [letter for _, letter in O.BANDS] + ["Z"]
 SAMPLE_N, SAMPLE_LARGE, SCORE_N = 2, 200, 7
 
 
@@ -119,7 +119,7 @@ def src_register(spark, sf):
 @query(
     "early_adopter",
     O.sql(
-        f"SELECT a3, CASE WHEN CAST(a2 AS DATE) < {O.day(T.EARLY_CUTOFF)} THEN 1 ELSE 0 END"
+        f"SELECT a3, CASE WHEN CAST(a2 AS DATE) < {O.day(O.EARLY_CUTOFF)} THEN 1 ELSE 0 END"
         " AS early_adopter FROM pt_a"
     ),
 )
@@ -191,7 +191,7 @@ def scheme_features_of(spark, sf, accounts=None):
     "years_since_scheme",
     O.sql(
         "SELECT m.a3, m.cohort, CAST(m.cohort AS INT) - scheme_start_year AS years_train,"
-        f" {T.AS_OF.year} - scheme_start_year AS years_score"
+        f" {O.AS_OF.year} - scheme_start_year AS years_score"
         " FROM members m LEFT JOIN tpr ON m.a3 = tpr.a3",
         O.MEMBERS,
         *O.SCHEME_CTES,
@@ -218,7 +218,7 @@ def log_employees(spark, sf):
     return plain(features.selectExpr("a3", f"{S.log2p1('employees')} AS log_employees"))
 
 
-TARGETS = O.counted(O.in_target(FIRST), "total_commitments")
+TARGETS = O.counted(O.in_target(O.FIRST), "total_commitments")
 
 
 @query(
@@ -334,7 +334,7 @@ def scheme_match(spark, sf):
 
 UPLIFT_CASE = "".join(
     f" WHEN ym = '{month}' THEN total_commitments * {factor}"
-    for month, factor in T.RULES.uplift.items()
+    for month, factor in O.UPLIFT.items()
 )
 
 
@@ -345,9 +345,9 @@ UPLIFT_CASE = "".join(
         f" ROUND(CAST(CASE{UPLIFT_CASE} ELSE total_commitments END AS DOUBLE), 6)"
         " AS adjusted_commitments FROM"
         " (SELECT a.a3, t.total_commitments, CONCAT(YEAR(a2), '-', MONTH(a2)) AS ym FROM pt_a a"
-        f" LEFT JOIN ({O.counted(O.in_target(T.AS_OF_COHORT), 'total_commitments')}) t"
+        f" LEFT JOIN ({O.counted(O.in_target(O.AS_OF_COHORT), 'total_commitments')}) t"
         " ON a.a3 = t.b10"
-        f" WHERE a1 = 1 AND CAST(a2 AS DATE) < {O.day(T.AS_OF_COHORT.start)})"
+        f" WHERE a1 = 1 AND CAST(a2 AS DATE) < {O.day(O.AS_OF_COHORT.start)})"
     ),
 )
 def maturity_uplift(spark, sf):
@@ -409,7 +409,7 @@ def drop_columns(spark, sf):
 
 @query(
     "created_before",
-    O.sql(f"SELECT a3, a2 FROM pt_a WHERE a2 < TIMESTAMP '{FIRST.start} 00:00:00'"),
+    O.sql(f"SELECT a3, a2 FROM pt_a WHERE a2 < TIMESTAMP '{O.FIRST.start} 00:00:00'"),
 )
 def created_before(spark, sf):
     return A.created_before(T.accounts(spark, sf), FIRST.start).select("a3", "a2")
@@ -432,7 +432,7 @@ def between_incl(spark, sf):
     return T.accounts(spark, sf).where(inside).select("a3", "a2")
 
 
-@query("half_open_window", O.sql(f"SELECT b10, b2 FROM pt_b WHERE {O.in_lookback(FIRST)}"))
+@query("half_open_window", O.sql(f"SELECT b10, b2 FROM pt_b WHERE {O.in_lookback(O.FIRST)}"))
 def half_open_window(spark, sf):
     inside = P.in_window("b2", FIRST.prev_start, FIRST.start)
     return T.commitments(spark, sf).where(inside).select("b10", "b2")
@@ -440,7 +440,7 @@ def half_open_window(spark, sf):
 
 @query(
     "open_at",
-    O.sql(f"SELECT b10, b2, b16, b20 FROM pt_b WHERE {O.still_open(LAST.start)}"),
+    O.sql(f"SELECT b10, b2, b16, b20 FROM pt_b WHERE {O.still_open(O.LAST.start)}"),
 )
 def open_at(spark, sf):
     kept = P.open_at(LAST.start, "b16", "b20")
@@ -451,7 +451,7 @@ def open_at(spark, sf):
     "rolling_window",
     O.sql(
         f"SELECT b10, COUNT(*) AS commitments FROM pt_b WHERE CAST(b2 AS DATE) >="
-        f" {O.day(T.AS_OF)} - 730 AND CAST(b2 AS DATE) < {O.day(T.AS_OF)} - 365 GROUP BY b10"
+        f" {O.day(O.AS_OF)} - 730 AND CAST(b2 AS DATE) < {O.day(O.AS_OF)} - 365 GROUP BY b10"
     ),
 )
 def rolling_window(spark, sf):
@@ -463,7 +463,7 @@ def sampled(spark, sf, n=SAMPLE_N):
     return M.sample_stratified(T.accounts(spark, sf), T.STRATA, n, T.SEED)
 
 
-SAMPLE_IDS = f"ids AS ({O.stratified(SAMPLE_N, T.SEED, 'a3')})"
+SAMPLE_IDS = f"ids AS ({O.stratified(SAMPLE_N, O.SEED, 'a3')})"
 
 
 @query(
@@ -498,7 +498,7 @@ def eligible(spark, sf):
 
 LOOKBACK_FILLED = (
     "SELECT a.a3, COALESCE(p.prev_12m_new_commitments, 0) AS prev_12m_new_commitments,"
-    f" {O.zeroed(O.SHARES, 'p')} FROM pt_a a LEFT JOIN ({O.lookback(FIRST)}) p ON a.a3 = p.b10"
+    f" {O.zeroed(O.SHARES, 'p')} FROM pt_a a LEFT JOIN ({O.lookback(O.FIRST)}) p ON a.a3 = p.b10"
 )
 
 
@@ -538,7 +538,7 @@ def drop_missing(spark, sf):
 
 @query(
     "join_accounts_aggs",
-    O.sql(" UNION ALL ".join(O.both_parts(c) for c in T.COHORTS)),
+    O.sql(" UNION ALL ".join(O.both_parts(c) for c in O.COHORTS)),
 )
 def join_accounts_aggs(spark, sf):
     """Aggregates joined as they are: NULL where an account has no row in the window."""
@@ -549,7 +549,7 @@ JOINED_PARTS = (
     "SELECT a3, COALESCE(total_commitments, 0) AS total_commitments,"
     " COALESCE(commitments_ending_12m, 0) AS commitments_ending_12m,"
     f" COALESCE(current_live_commitments, 0) AS current_live_commitments"
-    f" FROM ({O.both_parts(LAST)})"
+    f" FROM ({O.both_parts(O.LAST)})"
 )
 
 
@@ -609,7 +609,7 @@ def join_schemes(spark, sf):
     "join_schemes_raw",
     O.sql(
         "SELECT a3, a1, d3, d6, d8, d10, d12 FROM pt_a LEFT JOIN pt_d ON a3 = d15"
-        f" WHERE CAST(a2 AS DATE) < {O.day(T.SCHEME_CUTOFF)}"
+        f" WHERE CAST(a2 AS DATE) < {O.day(O.SCHEME_CUTOFF)}"
     ),
 )
 def join_schemes_raw(spark, sf):
@@ -653,7 +653,7 @@ def join_register(spark, sf):
 # --- aggregations ----------------------------------------------------------------------------
 
 
-def per_cohort(parts: Callable[..., str], cohorts=T.COHORTS) -> str:
+def per_cohort(parts: Callable[..., str], cohorts=O.COHORTS) -> str:
     return O.sql(
         " UNION ALL ".join(
             f"SELECT b10, '{c.label}' AS cohort, * EXCLUDE (b10) FROM ({parts(c)})" for c in cohorts
@@ -734,7 +734,7 @@ def commitments_ending_12m(spark, sf):
     "current_live_commitments",
     per_cohort(
         lambda c: O.counted(O.live(c), "current_live_commitments"),
-        (*T.COHORTS, T.AS_OF_COHORT),
+        (*O.COHORTS, O.AS_OF_COHORT),
     ),
 )
 def current_live_commitments(spark, sf):
@@ -768,7 +768,7 @@ def asof_features(spark, sf):
     "asof_features_open_at_start",
     O.sql(
         f"SELECT a.a3, {O.zeroed(MEASURES, 'f')} FROM pt_a a"
-        f" LEFT JOIN ({O.both_parts(T.AS_OF_START)}) f ON a.a3 = f.a3 WHERE a.a1 = 1"
+        f" LEFT JOIN ({O.both_parts(O.AS_OF_START)}) f ON a.a3 = f.a3 WHERE a.a1 = 1"
     ),
 )
 def asof_features_open_at_start(spark, sf):
@@ -820,7 +820,7 @@ def column_profile(spark, sf):
 @query(
     "drop_constant_columns",
     O.sql("SELECT a3, a2, early_adopter FROM (SELECT *, CASE WHEN CAST(a2 AS DATE) <"
-          f" {O.day(T.EARLY_CUTOFF)} THEN 1 ELSE 0 END AS early_adopter FROM pt_a WHERE a1 = 1"
+          f" {O.day(O.EARLY_CUTOFF)} THEN 1 ELSE 0 END AS early_adopter FROM pt_a WHERE a1 = 1"
           " AND a7 = 1)"),
 )
 def drop_constant_columns(spark, sf):
@@ -835,7 +835,7 @@ def drop_constant_columns(spark, sf):
 @query(
     "sample_top_n",
     O.sql(
-        f"SELECT a1, a2, a3, a7 FROM pt_a WHERE a1 = 1 ORDER BY {O.ranked_hash(T.SEED)}, a3"
+        f"SELECT a1, a2, a3, a7 FROM pt_a WHERE a1 = 1 ORDER BY {O.ranked_hash(O.SEED)}, a3"
         f" LIMIT {SCORE_N}"
     ),
 )
@@ -843,12 +843,12 @@ def sample_top_n(spark, sf):
     return M.sample_top_n(A.levy_only(T.accounts(spark, sf)), SCORE_N, T.SEED)
 
 
-@query("sample_stratified", O.sql(O.stratified(SAMPLE_N, T.SEED, "a1, a2, a3, a7")))
+@query("sample_stratified", O.sql(O.stratified(SAMPLE_N, O.SEED, "a1, a2, a3, a7")))
 def sample_stratified(spark, sf):
     return sampled(spark, sf)
 
 
-@query("sample_stratified_large", O.sql(O.stratified(SAMPLE_LARGE, T.SEED, "a1, a2, a3, a7")))
+@query("sample_stratified_large", O.sql(O.stratified(SAMPLE_LARGE, O.SEED, "a1, a2, a3, a7")))
 def sample_stratified_large(spark, sf):
     """A sample large enough to be ranked inside hash ranges."""
     return sampled(spark, sf, SAMPLE_LARGE)
@@ -857,7 +857,7 @@ def sample_stratified_large(spark, sf):
 @query(
     "union_distinct",
     O.sql(
-        f"SELECT a1, COUNT(*) AS accounts FROM ({O.stratified(SAMPLE_LARGE, T.SEED, 'a1, a3')})"
+        f"SELECT a1, COUNT(*) AS accounts FROM ({O.stratified(SAMPLE_LARGE, O.SEED, 'a1, a3')})"
         " GROUP BY a1"
     ),
 )
@@ -1022,7 +1022,7 @@ def training_frame(spark, sf):
         f"SELECT {FRAME_COLUMNS} FROM training WHERE {ELIGIBLE}"
         " AND account_id IN (SELECT a3 FROM ids)",
         *O.TRAINING_CTES,
-        f"ids AS ({O.stratified(SAMPLE_LARGE, T.SEED, 'a3')})",
+        f"ids AS ({O.stratified(SAMPLE_LARGE, O.SEED, 'a3')})",
     ),
 )
 def training_frame_sampled(spark, sf):
@@ -1202,9 +1202,9 @@ def train_pipeline(spark, sf):
 def score_frame_sql(features: str) -> str:
     return O.sql(
         "SELECT a.a3 AS account_id, a1 AS levy_non_levy,"
-        f" CAST(FLOOR({O.months(T.AS_OF)}) AS INT) AS as_months_since_sign_up,"
-        f" {O.zeroed(MEASURES, 'f')}, {T.AS_OF.year} - scheme_start_year AS years_since_tpr_signup,"
-        f" CASE WHEN FLOOR({O.months(T.AS_OF)}) <= 6 THEN 1 ELSE 0 END AS new_company,"
+        f" CAST(FLOOR({O.months(O.AS_OF)}) AS INT) AS as_months_since_sign_up,"
+        f" {O.zeroed(MEASURES, 'f')}, {O.AS_OF.year} - scheme_start_year AS years_since_tpr_signup,"
+        f" CASE WHEN FLOOR({O.months(O.AS_OF)}) <= 6 THEN 1 ELSE 0 END AS new_company,"
         " ROUND(LOG2(employees + 1), 9) AS log_employees"
         f" FROM pt_a a LEFT JOIN ({features}) f ON a.a3 = f.a3 LEFT JOIN tpr ON a.a3 = tpr.a3"
         " WHERE a1 = 1",
@@ -1227,13 +1227,13 @@ def scored_features(spark, sf, compat: bool) -> DataFrame:
     )
 
 
-@query("score_frame", score_frame_sql(O.both_parts(T.AS_OF_START)))
+@query("score_frame", score_frame_sql(O.both_parts(O.AS_OF_START)))
 def score_frame(spark, sf):
     """Every levy account's features as of a day, as score_pipeline takes them."""
     return scored_features(spark, sf, compat=False)
 
 
-@query("score_frame_compat", score_frame_sql(O.both_parts(T.AS_OF_COHORT)))
+@query("score_frame_compat", score_frame_sql(O.both_parts(O.AS_OF_COHORT)))
 def score_frame_compat(spark, sf):
     """The same with commitments live as of the day itself."""
     return scored_features(spark, sf, compat=True)
