@@ -218,39 +218,44 @@ def log_employees(spark, sf):
     return plain(features.selectExpr("a3", f"{S.log2p1('employees')} AS log_employees"))
 
 
-TARGETS = O.counted(O.in_target(O.FIRST), "total_commitments")
+TARGETS = " UNION ALL ".join(
+    f"SELECT b10, '{c.label}' AS cohort, total_commitments"
+    f" FROM ({O.counted(O.in_target(c), 'total_commitments')})"
+    for c in O.COHORTS
+)
 
 
 @query(
     "log_target",
     O.sql(
-        "SELECT b10, ROUND(LN(total_commitments + 1), 9) AS log_adjusted_commitments"
+        "SELECT b10, cohort, ROUND(LN(total_commitments + 1), 9) AS log_adjusted_commitments"
         f" FROM ({TARGETS})"
     ),
 )
 def log_target(spark, sf):
     counts = target_counts(spark, sf)
     log = S.log_target("total_commitments")
-    return plain(counts.selectExpr("b10", f"{log} AS log_adjusted_commitments"))
+    return plain(counts.selectExpr("b10", "cohort", f"{log} AS log_adjusted_commitments"))
 
 
 def target_counts(spark, sf):
     return C.count_in_window(
-        T.commitments(spark, sf), [FIRST], "start", "target_end", name="total_commitments"
+        T.commitments(spark, sf), T.COHORTS, "start", "target_end", name="total_commitments"
     )
 
 
 @query(
     "inverse_target",
     O.sql(
-        "SELECT b10, ROUND(EXP(p) - 1, 6) AS natural, ROUND(POW(2, p) - 1, 6) AS base_two"
-        f" FROM (SELECT b10, LN(total_commitments + 1) AS p FROM ({TARGETS}))"
+        "SELECT b10, cohort, ROUND(EXP(p) - 1, 6) AS natural, ROUND(POW(2, p) - 1, 6) AS base_two"
+        f" FROM (SELECT b10, cohort, LN(total_commitments + 1) AS p FROM ({TARGETS}))"
     ),
 )
 def inverse_target(spark, sf):
     p = S.log_target("total_commitments")
     return target_counts(spark, sf).selectExpr(
         "b10",
+        "cohort",
         f"round({S.inverse_target(p)}, 6) AS natural",
         f"round({S.inverse_target(p, 2)}, 6) AS base_two",
     )
@@ -496,30 +501,23 @@ def eligible(spark, sf):
     return kept.select("a3", "employees", strict.cast("int").alias("with_industry"))
 
 
-LOOKBACK_FILLED = (
-    "SELECT a.a3, COALESCE(p.prev_12m_new_commitments, 0) AS prev_12m_new_commitments,"
-    f" {O.zeroed(O.SHARES, 'p')} FROM pt_a a LEFT JOIN ({O.lookback(O.FIRST)}) p ON a.a3 = p.b10"
+LOOKBACK_FILLED = " UNION ALL ".join(
+    f"SELECT a.a3, '{c.label}' AS cohort,"
+    " COALESCE(p.prev_12m_new_commitments, 0) AS prev_12m_new_commitments,"
+    f" {O.zeroed(O.SHARES, 'p')} FROM pt_a a LEFT JOIN ({O.lookback(c)}) p ON a.a3 = p.b10"
+    for c in O.COHORTS
 )
 
 
 @query("fill_zero", O.sql(LOOKBACK_FILLED))
 def fill_zero(spark, sf):
+    """Look-back counts and shares of every account and cohort, 0 where there are none."""
     columns = ["prev_12m_new_commitments", *O.SHARES]
-    joined = A.attach(
-        T.accounts(spark, sf).select("a3"), lookback_of(spark, sf), left="a3", right="b10"
-    )
-    return plain(A.fill_zero(joined.select("a3", *columns), columns))
-
-
-def lookback_of(spark, sf):
-    """Look-back counts and shares of the first cohort, accounts with none left out."""
-    features = C.commitment_features(T.commitments(spark, sf), [FIRST])
-    return features.where(F.col("prev_12m_new_commitments") > 0).select(
-        F.col("a3").alias("b10"),
-        "prev_12m_new_commitments",
-        "prev_12m_new_levy_transfers",
-        *O.SHARES,
-    )
+    grown = A.expand_cohorts(T.accounts(spark, sf), T.COHORTS, members_only=False)
+    features = C.commitment_features(T.commitments(spark, sf), T.COHORTS)
+    found = features.where(F.col("prev_12m_new_commitments") > 0).select("a3", "cohort", *columns)
+    joined = A.attach(grown.select("a3", "cohort"), found, on=["a3", "cohort"])
+    return plain(A.fill_zero(joined, columns))
 
 
 @query(
@@ -545,21 +543,27 @@ def join_accounts_aggs(spark, sf):
     return plain(PF.raw_features(T.accounts(spark, sf), T.commitments(spark, sf), T.COHORTS))
 
 
-JOINED_PARTS = (
-    "SELECT a3, COALESCE(total_commitments, 0) AS total_commitments,"
+JOINED_PARTS = " UNION ALL ".join(
+    "SELECT a3, cohort, COALESCE(total_commitments, 0) AS total_commitments,"
     " COALESCE(commitments_ending_12m, 0) AS commitments_ending_12m,"
-    f" COALESCE(current_live_commitments, 0) AS current_live_commitments"
-    f" FROM ({O.both_parts(O.LAST)})"
+    " COALESCE(current_live_commitments, 0) AS current_live_commitments"
+    f" FROM ({O.both_parts(c)})"
+    for c in O.COHORTS
+)
+CREATED_IN_TIME = P.any_of(
+    f"(cohort = {S.text(c.label)} AND {P.before('a2', c.start)})" for c in T.COHORTS
 )
 
 
 @query("join_parts", O.sql(JOINED_PARTS))
 def join_parts(spark, sf):
-    """Both parts of one aggregation, left joined to the accounts."""
+    """Both parts of one aggregation, left joined to the accounts of each cohort."""
     parts = ["total_commitments", "commitments_ending_12m", "current_live_commitments"]
-    accounts = A.created_before(A.levy_only(T.accounts(spark, sf)), LAST.start).select("a3")
-    features = C.commitment_features(T.commitments(spark, sf), [LAST]).select("a3", *parts)
-    return A.fill_zero(A.attach(accounts, features, on="a3"), parts)
+    grown = A.expand_cohorts(A.levy_only(T.accounts(spark, sf)), T.COHORTS)
+    accounts = grown.where(CREATED_IN_TIME).select("a3", "cohort")
+    features = C.commitment_features(T.commitments(spark, sf), T.COHORTS)
+    joined = A.attach(accounts, features.select("a3", "cohort", *parts), on=["a3", "cohort"])
+    return A.fill_zero(joined, parts)
 
 
 ALL_MEASURES_ORACLE = (
@@ -896,8 +900,7 @@ def union_features(spark, sf):
     """Features of all cohorts from one aggregation, for accounts created before each."""
     accounts = A.levy_only(T.accounts(spark, sf))
     frame = PF.cohort_frame(accounts, T.commitments(spark, sf), T.COHORTS)
-    kept = P.any_of(f"(cohort = {S.text(c.label)} AND {P.before('a2', c.start)})" for c in T.COHORTS)
-    return plain(frame.where(kept).select("a3", "cohort", *MEASURES))
+    return plain(frame.where(CREATED_IN_TIME).select("a3", "cohort", *MEASURES))
 
 
 # --- encoding and model ----------------------------------------------------------------------

@@ -92,8 +92,13 @@ def band(value: str, bounds: Sequence[tuple[int, str]], default: str) -> str:
     Text that is no number and NULL take the default; blank text counts as 0.
     """
     number = f"CASE WHEN trim({value}) = '' THEN 0 ELSE try_cast({value} AS INT) END"
-    chain = "".join(f" WHEN {number} <= {upper} THEN {text(key)}" for upper, key in bounds)
-    return f"CASE{chain} ELSE {text(default)} END"
+    letters, low = [], 0
+    for upper, letter in bounds:
+        letters += [text(letter)] * (upper + 1 - low)
+        low = upper + 1
+    # one letter per number, so that the number is worked out twice at most
+    at = f"get(array({', '.join(letters)}), CASE WHEN {number} < 0 THEN 0 ELSE {number} END)"
+    return f"coalesce({at}, {text(default)})"
 
 
 def match_flag(value: str) -> str:
