@@ -188,52 +188,81 @@ def _row(cell, table, home: bool):
     return F.struct(cell.alias("cell"), table.alias("table"), F.lit(home).alias("home"))
 
 
+@dataclass
+class Rows:
+    """Rows of a group as arrays, all of vectors of one length, ordered by cell."""
+
+    key: np.ndarray
+    id: np.ndarray
+    copies: np.ndarray
+    unit: np.ndarray
+    homes: np.ndarray
+    probes: np.ndarray
+    home: np.ndarray
+    side: np.ndarray
+    table: np.ndarray
+
+    def part(self, low: int, high: int) -> Rows:
+        return Rows(**{name: value[low:high] for name, value in vars(self).items()})
+
+
+def _rows(group: pd.DataFrame) -> Rows:
+    n = len(group)
+    return Rows(
+        key=group["key"].to_numpy(),
+        id=group["vec_id"].to_numpy(),
+        copies=group["copies"].to_numpy(),
+        unit=unit(np.frombuffer(b"".join(group["vec"]), np.float64).reshape(n, -1)),
+        homes=np.stack(group["homes"].to_numpy()),
+        probes=np.stack(group["probes"].to_numpy()),
+        home=group["home"].to_numpy(),
+        side=group["side"].to_numpy(),
+        table=group["table"].to_numpy(),
+    )
+
+
 def _compare(plan: Plan):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        parts = [_cell_links(part, plan) for _, part in group.groupby("cell", sort=False)]
-        columns = ["key", "n_links", "a", "b"]
-        return pd.DataFrame([row for part in parts for row in part], columns=columns).astype(
+        across = bool(group["across"].iloc[0])
+        sizes = group["vec"].map(len).to_numpy()
+        out: list[tuple] = []
+        for size in np.unique(sizes):
+            part = group[sizes == size].sort_values("cell", kind="stable")
+            cell, rows = part["cell"].to_numpy(), _rows(part)
+            cuts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True]).tolist()
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                if high - low > 1 and rows.home[low:high].any():
+                    out += _cell_links(rows.part(low, high), plan, across)
+        return pd.DataFrame(out, columns=["key", "n_links", "a", "b"]).astype(
             {"n_links": "Int64", "a": "Int64", "b": "Int64"}
         )
 
     return run
 
 
-def _cell_links(cell: pd.DataFrame, plan: Plan) -> list[tuple]:
-    """Sums of links by class, for pairs that first meet here, and links that connect."""
-    out: list[tuple] = []
-    for _, part in cell.groupby(cell["vec"].map(len), sort=False):
-        if len(part) > 1 and part["home"].any():
-            out += _same_size(part.reset_index(drop=True), plan)
-    return out
-
-
-def _same_size(part: pd.DataFrame, plan: Plan) -> list[tuple]:
-    n, table = len(part), int(part["table"].iloc[0])
-    x = unit(np.frombuffer(b"".join(part["vec"]), np.float64).reshape(n, -1))
-    close = x @ x.T >= plan.least
-    home, side = part["home"].to_numpy(), part["side"].to_numpy()
-    close &= home[:, None] | home[None, :]
-    if part["across"].iloc[0]:
-        close &= side[:, None] != side[None, :]
+def _cell_links(r: Rows, plan: Plan, across: bool) -> list[tuple]:
+    """Sums of links by class, for pairs that first meet in this cell, and links that connect."""
+    n, table = len(r.key), int(r.table[0])
+    close = r.unit @ r.unit.T >= plan.least
+    close &= r.home[:, None] | r.home[None, :]
+    if across:
+        close &= r.side[:, None] != r.side[None, :]
     np.fill_diagonal(close, False)
     if not close.any():
         return []
-    ids, count = part["vec_id"].to_numpy(), part["copies"].to_numpy()
     i, j = np.nonzero(np.triu(close))
-    h, p = (np.stack(part[name].to_numpy()) for name in ("homes", "probes"))
+    h, p = r.homes, r.probes
     met = (h[i] == h[j]) | (h[i] == p[j]) | (p[i] == h[j])
     first = met.argmax(axis=1) == table
     # one is at home here and the other probes: if that holds the other way round too, the pair
     # counts in the home of the smaller key
-    key = part["key"].to_numpy()
-    swap = ~home[i]
+    swap = ~r.home[i]
     u, v = np.where(swap, j, i), np.where(swap, i, j)
-    twice = (home[i] != home[j]) & (p[u, table] == h[v, table])
-    first &= ~(twice & (key[v] < key[u]))
+    twice = (r.home[i] != r.home[j]) & (p[u, table] == h[v, table])
+    first &= ~(twice & (r.key[v] < r.key[u]))
     i, j = i[first], j[first]
-    links = np.bincount(i, count[j], n) + np.bincount(j, count[i], n)
-    out = [(key[k], int(links[k]), None, None) for k in np.flatnonzero(links)]
+    links = np.bincount(i, r.copies[j], n) + np.bincount(j, r.copies[i], n)
+    out = [(r.key[k], int(links[k]), None, None) for k in np.flatnonzero(links)]
     todo = close.any(axis=1)
     while todo.any():
         start = int(todo.argmax())
@@ -245,7 +274,7 @@ def _same_size(part: pd.DataFrame, plan: Plan) -> list[tuple]:
             reached |= edge
         todo &= ~reached
         reached[start] = False
-        out += [(None, None, int(ids[start]), int(ids[k])) for k in np.flatnonzero(reached)]
+        out += [(None, None, int(r.id[start]), int(r.id[k])) for k in np.flatnonzero(reached)]
     return out
 
 
