@@ -99,9 +99,8 @@ def normalised(sentence: Column) -> Column:
 def known_sentences(documents: DataFrame, sentences: dict[str, str]) -> DataFrame:
     """Known sentences of every text: doc_id, text_key, number of the sentence, identifier."""
     spark = documents.sparkSession
-    pairs = F.array(
-        *[F.struct(F.lit(k).alias("sentence_id"), F.lit(v).alias("s")) for k, v in sentences.items()]
-    )
+    pair = [F.struct(F.lit(k).alias("sentence_id"), F.lit(v).alias("s")) for k, v in sentences.items()]
+    pairs = F.array(*pair)
     known = spark.range(1).select(F.explode(pairs).alias("p")).select(
         "p.sentence_id", normalised(F.col("p.s")).alias("sentence")
     )
@@ -141,7 +140,8 @@ def licenses(
     ]
     names = F.array_distinct(F.array_compact(F.array(*hit)))
     for inner, outer in WITHIN:
-        names = F.when(F.array_contains(names, outer), F.array_remove(names, inner)).otherwise(names)
+        less = F.array_remove(names, inner)
+        names = F.when(F.array_contains(names, outer), less).otherwise(names)
     found = found.withColumn("licenses", F.array_join(F.sort_array(names), ","))
     docs = documents.select("doc_id", F.xxhash64("text").alias("text_key"))
     same = F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.col("text_key") == F.col("in_key"))

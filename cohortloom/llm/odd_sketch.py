@@ -67,10 +67,11 @@ class Plan:
         """Ones in the XOR of two sketches at the lowest estimate that is still confirmed.
 
         Each sample that differs flips two bits, so after T flips a bit is one with probability
-        (1 - (1 - 2 / BITS) ** T) / 2.
+        (1 - (1 - 2 / BITS) ** T) / 2. The estimate varies with the samples, by t (1 - t) / k, and
+        with the flips that meet in one bit, by less than 3 (1 - t) ** 2 / BITS.
         """
         t = self.percent / 100
-        least = t - 5.5 * math.sqrt(t * (1 - t) / self.samples + 1 / (8 * self.samples**1.5))
+        least = t - 5.5 * math.sqrt(t * (1 - t) / self.samples + 3 * (1 - t) ** 2 / BITS)
         flips = 2 * self.samples * (1 - max(least, 0))
         return math.ceil(BITS * (1 - (1 - 2 / BITS) ** flips) / 2)
 
@@ -240,7 +241,7 @@ def _family_links(family: pd.DataFrame, plan: Plan, ids: WordIds, unpack) -> lis
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per document row: doc_id, n_shingles, component_id, and whether it is kept for its component."""
+    """Per document row: doc_id, n_shingles, component_id, and whether it is kept."""
     plan = Plan(width, percent)
     docs = stored(sketch(documents, plan), "sketches")
     linked = docs.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
-CACHE_ENTRIES, CACHE_CHARS = 200_000, 40
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 40
 GROUP = 500
 SPACE = "▁"
 #: Stands for a space sign of the text itself; no valid text holds it.
@@ -310,7 +310,7 @@ class Encoder:
         if (found := self.ways.get(chunk)) is None:
             found = n_best(SPACE + chunk, self.pieces, self.n)
             if len(chunk) <= CACHE_CHARS:
-                if len(self.ways) >= CACHE_ENTRIES // 10:
+                if len(self.ways) >= CACHE_ENTRIES // 20:
                     self.ways.clear()
                 self.ways[chunk] = found
         return found

@@ -134,7 +134,8 @@ def find_spans(text: str) -> list[tuple]:
             more.append((start, rank, stop))
             end = stop
     spans = [(*s, True, *_judge(text, *s, True)) for s in good]
-    return sorted(spans + [(*s, False, *_judge(text, *s, False)) for s in more], key=lambda s: s[:3])
+    spans += [(*s, False, *_judge(text, *s, False)) for s in more]
+    return sorted(spans, key=lambda s: s[:3])
 
 
 def _judge(text: str, start: int, rank: int, stop: int, holds: bool):
