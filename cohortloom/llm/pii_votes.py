@@ -10,16 +10,19 @@ A logistic model of the spans' features is then fitted to these likelihoods, on
 ``MAX_TRAIN`` spans at most (by a hash; the bound is a parameter), and decides on the candidates.
 
 A text is read once: what is kept of it are its spans with votes and features. Scoring is an
-expression over these, so nothing is shuffled but the counts.
+expression over these, so nothing is shuffled but the counts. Candidates can overlap: each is voted on
+and scored, and of accepted ones that overlap the best score stays.
 
 Defined cases: null and empty texts have no spans; a candidate that overlaps a base span is not
-reported; repeated rows give repeated results; without any candidate nothing is fitted and base
+reported, nor one that overlaps an accepted candidate of a higher score (of equal ones the earlier
+start, then kind, then end goes first); repeated rows give repeated results; without any candidate nothing is fitted and base
 spans alone are reported; columns beyond doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from cohortloom.llm.common import sha256_hex, stored
 
@@ -126,13 +130,12 @@ def find_spans(text: str) -> list[tuple]:
     for m in NAME.finditer(text):
         bad.append((m.start(1), KINDS.index("name"), m.end(1)))
     taken = sorted((start, stop) for start, _, stop in good)
-    more, at, end = [], 0, 0
+    more, at = [], 0
     for start, rank, stop in sorted(bad):
         while at < len(taken) and taken[at][1] <= start:
             at += 1
-        if (at == len(taken) or taken[at][0] >= stop) and start >= end:
+        if at == len(taken) or taken[at][0] >= stop:
             more.append((start, rank, stop))
-            end = stop
     spans = [(*s, True, *_judge(text, *s, True)) for s in good]
     spans += [(*s, False, *_judge(text, *s, False)) for s in more]
     return sorted(spans, key=lambda s: s[:3])
@@ -241,18 +244,50 @@ def learn(scanned: DataFrame, limit: int = MAX_TRAIN) -> Model:
     return Model(reliability, chance, fit_logistic(x[order], y[order]))
 
 
+def best_apart(spans: list[tuple[int, int, int, float]]) -> list[int]:
+    """Positions of the (start, rank, end, score) that stay, best first, where none overlap."""
+    order = sorted(range(len(spans)), key=lambda i: (-spans[i][3], spans[i][:3]))
+    taken: list[tuple[int, int]] = []
+    kept = []
+    for i in order:
+        start, _, stop, _ = spans[i]
+        at = bisect_left(taken, (stop,))  # those from here on start at or after the end
+        if at == 0 or taken[at - 1][1] <= start:
+            taken.insert(at, (start, stop))
+            kept.append(i)
+    return sorted(kept)
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def _places(starts: pd.Series, ranks: pd.Series, stops: pd.Series, scores: pd.Series) -> pd.Series:
+    rows = zip(starts, ranks, stops, scores)
+    return pd.Series([best_apart(list(zip(*(c.tolist() for c in row)))) for row in rows])
+
+
 def decide(scanned: DataFrame, model: Model) -> DataFrame:
-    """Base spans, and the candidates that the classifier takes for personal data."""
+    """Base spans, and the candidates that the classifier takes for personal data.
+
+    Where accepted candidates overlap, the best of them stay.
+    """
     if model.weights is None:
         return scanned.withColumn("spans", F.filter("spans", lambda s: s["base"]))
     weights = F.array(*map(F.lit, model.weights.tolist()))
     bound = float(np.log(ACCEPT / (1 - ACCEPT)))
 
-    def accepted(span: Column) -> Column:
+    def score(span: Column) -> Column:
         terms = F.zip_with(span["features"], weights, lambda x, w: x * w)
-        return span["base"] | (F.aggregate(terms, F.lit(0.0), lambda a, b: a + b) >= bound)
+        return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
 
-    return scanned.withColumn("spans", F.filter("spans", accepted))
+    frame = scanned.withColumn(
+        "_best", F.filter("spans", lambda s: ~s["base"] & (score(s) >= bound))
+    )
+    best = F.col("_best")
+    places = _places(best["start"], best["rank"], best["stop"], F.transform(best, score))
+    frame = frame.withColumn("_places", F.when(F.size(best) > 1, places))
+    kept = F.transform("_places", lambda i: F.get(best, i))
+    base = F.filter("spans", lambda s: s["base"])
+    spans = F.sort_array(F.concat(base, F.when(F.size(best) > 1, kept).otherwise(best)))
+    return frame.withColumn("spans", spans).select(*scanned.columns)
 
 
 def detect(documents: DataFrame) -> DataFrame:

@@ -324,6 +324,42 @@ def test_votes_settle_what_is_personal(spark):
     assert all(r["spans"] == "" for r in rows if "build version" in texts[r["doc_id"]])
 
 
+def test_candidates_that_overlap_are_all_judged(spark):
+    rng = random.Random(8)
+    number = lambda a, b: rng.randrange(10**a, 10**b)
+    texts = []
+    for i in range(120):
+        texts.append(f"call phone ({number(2, 3)}) 555-{number(3, 4)} now or mail u{i}@example.com")
+        texts.append(f"call phone +1 ({number(2, 3)}) 555-{number(3, 4)} now")
+        texts.append(f"order page {number(8, 9)}x of the build version {number(2, 3)} serial")
+    local = ["212 555-1234", "123-45-6789", "212.555.1234", "(212) 555-1234"]
+    before = len(texts)
+    texts += [f"call phone {n} now" for n in local]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii_votes.digests(pii_votes.detect(frame)).collect()
+    got = {r["doc_id"]: r["spans"] for r in rows}
+    for i, number in enumerate(local):
+        assert got[before + i] == f"id:11:{11 + len(number)}"
+
+
+def test_best_of_overlapping_candidates():
+    at = pii_votes.KINDS.index
+    spans = [(0, at("card"), 9, 1.0), (0, at("id"), 9, 2.0), (5, at("ip"), 12, 3.0)]
+    spans += [(12, at("id"), 20, 2.5), (14, at("card"), 16, 2.5), (21, at("name"), 25, 9.0)]
+    assert pii_votes.best_apart(spans) == [2, 3, 5]
+    chain = [(0, 2, 10, 1.0), (8, 2, 20, 2.0), (18, 2, 30, 3.0)]
+    assert pii_votes.best_apart(chain) == [0, 2]
+    rng = random.Random(9)
+    for _ in range(200):
+        some = [(s, rng.randrange(6), s + rng.randrange(1, 9), rng.random())
+                for s in (rng.randrange(40) for _ in range(12))]
+        kept = []
+        for i in sorted(range(12), key=lambda i: (-some[i][3], some[i][:3])):
+            if all(some[i][2] <= some[j][0] or some[j][2] <= some[i][0] for j in kept):
+                kept.append(i)
+        assert pii_votes.best_apart(some) == sorted(kept)
+
+
 def test_license_rules_follow_the_order(spark):
     s = license_rules.SENTENCES
     bsd = [s["bsd-grant"] + ":", s["bsd-source"] + ".", s["bsd-binary"] + "."]
