@@ -1,20 +1,28 @@
 """License scans: known licence sentences, and ordered rules over the sentences found.
 
-A text is cut into sentences at line ends and after ``. ! ? ; :`` before white space. A sentence is
-normalised (A-Z in lower case, runs of other ASCII signs as one space) and looked up among the
-sentences that licences and their notices consist of. What is left of a document is the sequence
-of known sentences. A rule is a sequence too, and matches where its sentences follow one another
-in the document with no other known sentence between.
-
-Defined cases: null and empty texts have no sentences and no licence; repeated rows give repeated
-results; rows that share a doc_id but not the text are judged apart; a rule that matches twice is
-reported once; columns beyond doc_id and text are ignored. The known sentences are a fixed table,
-so broadcasting it is bounded.
+A text is cut into blocks after ``. ! ? ; :`` before white space, and blocks into lines. A line is
+normalised (A-Z in lower case, runs of other ASCII signs as one space; so signs of a comment before
+it do not count). Each run of adjacent lines of a block, joined by a space, is looked up among the
+sentences that licences and their notices consist of: a sentence can be on one line or wrapped at
+any of its words. A line without letters and digits ends a run. What is left of a document is the
+sequence of known sentences. A rule is a sequence too, and matches where its sentences follow one
+another in the document with no other known sentence between.
+
+Only lines that are a part of a known sentence, cut between words, are looked at further, so a run
+has no more lines than the longest known sentence has words.
+
+Defined cases: a known sentence within a longer known one is not counted beside it; null and empty
+texts have no sentences and no licence; repeated rows give repeated results; rows that share a
+doc_id but not the text are judged apart; a rule that matches twice is reported once; columns beyond
+doc_id and text are ignored. The known sentences and their parts are a fixed table, so broadcasting
+them is bounded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import ascii_lower
@@ -88,7 +96,8 @@ RULES = (
 #: A match of the first is part of a match of the second, and not reported beside it.
 WITHIN = (("BSD-2-Clause", "BSD-3-Clause"),)
 
-END = r"(?<=[.!?;:])[\x20\x09-\x0D]+|[\x0A\x0D]+"
+END = r"(?<=[.!?;:])[\x20\x09-\x0D]+"
+LINE = r"\x0D\x0A|[\x0A\x0D]"
 OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -97,24 +106,46 @@ def normalised(sentence: Column) -> Column:
 
 
 def known_sentences(documents: DataFrame, sentences: dict[str, str]) -> DataFrame:
-    """Known sentences of every text: doc_id, text_key, number of the sentence, identifier."""
+    """Known sentences of every text: doc_id, text_key, block and line of the start, identifier."""
     spark = documents.sparkSession
     pair = [F.struct(F.lit(k).alias("sentence_id"), F.lit(v).alias("s")) for k, v in sentences.items()]
     pairs = F.array(*pair)
     known = spark.range(1).select(F.explode(pairs).alias("p")).select(
         "p.sentence_id", normalised(F.col("p.s")).alias("sentence")
     )
-    cut = documents.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_key"),
-        F.posexplode(F.split("text", END)).alias("at", "sentence"),
+    words = F.split("sentence", " ")
+    first = known.select(words.alias("w"), F.explode(F.sequence(F.lit(1), F.size(words))).alias("i"))
+    some = F.explode(F.sequence(F.lit(1), F.size("w") - F.col("i") + 1))
+    parts = first.select("w", "i", some.alias("n")).select(
+        F.array_join(F.slice("w", F.col("i"), F.col("n")), " ").alias("part")
+    )
+    longest = max(len(re.split(OTHER, s)) for s in sentences.values())
+    key = F.xxhash64("text").alias("text_key")
+    cut = F.posexplode(F.split("text", END)).alias("block", "text")
+    blocks = documents.select("doc_id", key, cut)
+    cut = F.posexplode(F.split("text", LINE)).alias("line", "part")
+    lines = blocks.select("doc_id", "text_key", "block", cut)
+    lines = lines.withColumn("part", normalised(F.col("part"))).join(
+        F.broadcast(parts), "part", "left_semi"
+    )
+    block = Window.partitionBy("doc_id", "text_key", "block")
+    # a repeated row has the same lines: sets hold them once
+    ahead = F.collect_set(F.struct("line", "part")).over(
+        block.orderBy("line").rangeBetween(0, longest - 1)
     )
-    # a known sentence has its letters and digits, and more signs only between them
-    shortest = min(map(len, sentences.values())) // 2
-    cut = cut.where(F.octet_length("sentence") >= shortest)
-    return cut.withColumn("sentence", normalised(F.col("sentence"))).join(
-        F.broadcast(known), "sentence"
+    lines = lines.withColumn("ahead", F.sort_array(ahead))
+    adjacent = F.filter(
+        F.sequence(F.lit(1), F.size("ahead")),
+        lambda n: F.get("ahead", n - 1)["line"] == F.col("line") + n - 1,
     )
+    runs = lines.select("doc_id", "text_key", "block", "line", "ahead", F.explode(adjacent).alias("n"))
+    runs = runs.withColumn("sentence", F.array_join(F.slice("ahead.part", F.lit(1), F.col("n")), " "))
+    found = runs.drop("ahead").join(F.broadcast(known), "sentence")
+    # what ends no later than one that starts before, or with it and is longer, lies within that
+    stop = F.col("line") + F.col("n")
+    before = block.orderBy("line", F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("reached", F.max(stop).over(before))
+    return found.where(F.col("reached").isNull() | (stop > F.col("reached")))
 
 
 def licenses(
@@ -126,7 +157,7 @@ def licenses(
     found = (
         known_sentences(documents, sentences)
         .groupBy("doc_id", "text_key")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "sentence_id"))).alias("seq"))
+        .agg(F.sort_array(F.collect_set(F.struct("block", "line", "sentence_id"))).alias("seq"))
         .select(
             F.col("doc_id").alias("in_doc"),
             F.col("text_key").alias("in_key"),

@@ -376,3 +376,104 @@ def test_license_rules_follow_the_order(spark):
     assert got == {
         1: "BSD-3-Clause", 2: "BSD-2-Clause", 3: "", 4: "Apache-2.0,MIT", 5: "MIT", 6: "ISC"
     }
+
+
+NOTICES = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+""",
+}
+NOTICES["BSD-2-Clause"] = NOTICES["BSD-3-Clause"].partition("3. ")[0]
+
+
+def in_forms(text):
+    """As it is, with other line ends, in comments, and wrapped at every word of a sentence."""
+    lines = text.split("\n")
+    yield from (text, text.replace("\n", "\r\n"))
+    yield from ("\n".join(mark + line for line in lines) for mark in ("# ", " * ", "// "))
+    yield "\n".join(line.strip().replace(" ", "\n") for line in lines)
+    yield " ".join(line.strip() for line in lines)
+
+
+def found_licenses(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = license_rules.licenses(frame).collect()
+    return {r["doc_id"]: (r["n_known"], r["licenses"]) for r in rows}
+
+
+def test_wrapped_notices(spark):
+    forms = [(name, form) for name, text in NOTICES.items() for form in list(in_forms(text))[:6]]
+    got = found_licenses(spark, [form for _, form in forms])
+    assert [got[i][1] for i in range(len(forms))] == [name for name, _ in forms]
+    known = {"MIT": 2, "BSD-3-Clause": 4, "ISC": 1, "GPL-2.0-or-later": 3, "MPL-2.0": 1}
+    known |= {"Apache-2.0": 4, "BSD-2-Clause": 3}
+    assert [got[i][0] for i in range(len(forms))] == [known[name] for name, _ in forms]
+
+
+def test_runs_of_lines(spark):
+    isc = NOTICES["ISC"]
+    texts = [
+        isc.replace("for any\n", "for any\n\n"),  # a blank line ends a sentence
+        isc.replace("for any\n", "for any\nother\n"),
+        "some text\n" + isc + "more text",
+        'Licensed under the Apache License, Version 2.0\n(the "License");\nyou may',
+        "Licensed under the MIT License\nLicensed under the MIT License",
+    ]
+    frame = [(i, t) for i, t in enumerate(texts)]
+    got = found_licenses(spark, texts)
+    assert got == {0: (0, ""), 1: (0, ""), 2: (1, "ISC"), 3: (1, ""), 4: (2, "MIT")}
+    twice = spark.createDataFrame(frame + frame, "doc_id long, text string")
+    rows = license_rules.licenses(twice).collect()
+    assert sorted((r["doc_id"], r["n_known"], r["licenses"]) for r in rows) == sorted(
+        (i, *v) for i, v in [*got.items(), *got.items()]
+    )
