@@ -58,6 +58,9 @@ SENTENCES = {
     "General Public License as published by the Free Software Foundation",
     "gpl2-later": "either version 2 of the License, or (at your option) any later version",
     "gpl3-later": "either version 3 of the License, or (at your option) any later version",
+    "gpl3-redistribute-later": "you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation, either version 3 of the "
+    "License, or (at your option) any later version",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose "
     "with or without fee is hereby granted, provided that the above copyright notice and this "
     "permission notice appear in all copies",
@@ -87,6 +90,7 @@ RULES = (
     ("GPL-2.0-or-later", ("gpl-free", "gpl2-redistribute", "gpl2-later")),
     ("GPL-3.0", ("gpl3-work",)),
     ("GPL-3.0-or-later", ("gpl-free", "gpl2-redistribute", "gpl3-later")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl3-redistribute-later")),
     ("ISC", ("isc-grant",)),
     ("MIT", ("mit-released",)),
     ("MIT", ("mit-licensed",)),

@@ -477,3 +477,27 @@ def test_runs_of_lines(spark):
     assert sorted((r["doc_id"], r["n_known"], r["licenses"]) for r in rows) == sorted(
         (i, *v) for i, v in [*got.items(), *got.items()]
     )
+
+
+PUBLISHED_GPL3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+
+
+def test_every_rule_on_its_notice(spark):
+    forms = list(in_forms(PUBLISHED_GPL3))
+    assert found_licenses(spark, forms) == {
+        i: (2, "GPL-3.0-or-later") for i in range(len(forms))
+    }
+    s = license_rules.SENTENCES
+    notices = [" ".join(s[i] + ";" for i in ids) for _, ids in license_rules.RULES]
+    got = found_licenses(spark, [*notices, *(n.replace(" ", "\n") for n in notices)])
+    names = [name for name, _ in license_rules.RULES]
+    assert [got[i][1] for i in range(len(got))] == [*names, *names]
