@@ -281,17 +281,25 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
 
 
 def representatives(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows, as they are, of one document of every component; of repeated rows one."""
-    kept = near_duplicates(documents, width, percent).where("kept and doc_id is not null")
-    of, row = unused(documents, "of"), unused(documents, "row")
-    kept = kept.select(F.col("doc_id").alias(of)).distinct()
+    """The rows, as they are, of one text of every component; of repeated rows one.
+
+    Here a document is a doc_id and a text, told apart by a 64-bit hash of both: each text's own
+    component decides about its row, whatever else its doc_id holds. The smallest doc_id of a
+    component stays. Rows without a doc_id all stay.
+    """
+    uid, row = unused(documents, "uid"), unused(documents, "row")
     with_id = documents["doc_id"].isNotNull()
-    once = Window.partitionBy("doc_id").orderBy("text")
+    texts = documents.where(with_id).withColumn(uid, F.xxhash64("doc_id", "text"))
+    ids = texts.select(F.col(uid).alias("uid"), F.col("doc_id").alias("of")).distinct()
+    found = near_duplicates(texts.select(F.col(uid).alias("doc_id"), "text"), width, percent)
+    found = found.select(F.col("doc_id").alias("uid"), "component_id").distinct()
+    first = F.min(F.struct("of", "uid")).alias("first")
+    kept = found.join(ids, "uid").groupBy("component_id").agg(first)
+    once = Window.partitionBy(uid).orderBy(uid)
     ours = (
-        documents.where(with_id)
-        .join(kept, documents["doc_id"] == F.col(of), "left_semi")
+        texts.join(kept.select(F.col("first.uid").alias(uid)), uid, "left_semi")
         .withColumn(row, F.row_number().over(once))
         .where(F.col(row) == 1)
-        .drop(row)
+        .select(*[F.col(f"`{c}`") for c in documents.columns])
     )
     return ours.union(documents.where(~with_id))

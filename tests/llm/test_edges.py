@@ -110,6 +110,18 @@ def test_near_duplicates_of_rows(docs):
     assert all(r["kept"] and r["component_id"] is None for r in got if r["doc_id"] is None)
 
 
+def test_representatives_of_texts(spark):
+    other, third = SAME.replace("same", "other"), SAME.replace("same", "third")
+    rows = [
+        (1, SAME), (2, SAME), (2, other), (2, other), (3, other + " tail"), (4, ""), (4, third),
+        (None, SAME), (None, None),
+    ]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, uid string")
+    got = odd_sketch.representatives(frame).collect()
+    expected = [(1, SAME), (2, other), (4, ""), (4, third), (None, SAME), (None, None)]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got))) == sorted(map(str, expected))
+
+
 def test_substrings_of_rows(docs):
     got = relative_lz.dedup(docs).collect()
     by_id = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
