@@ -124,8 +124,7 @@ def hash_vectors(embeddings: DataFrame, plan: Plan) -> DataFrame:
                     by_size.setdefault(len(v), []).append(i)
             for rows in by_size.values():
                 x = np.array([batch["embedding"].iloc[i] for i in rows], np.float64)
-                norm = _norms(x)
-                good = np.flatnonzero(np.isfinite(norm) & (norm > 0))
+                good = np.flatnonzero(np.isfinite(x).all(axis=1) & x.any(axis=1))
                 if not len(good):
                     continue
                 x = x[good]
@@ -141,12 +140,6 @@ def hash_vectors(embeddings: DataFrame, plan: Plan) -> DataFrame:
     return rows.mapInPandas(run, HASHED).withColumn("vec_id", F.col("vec_id").cast("long"))
 
 
-def _norms(x: np.ndarray) -> np.ndarray:
-    with np.errstate(all="ignore"):
-        top = np.abs(x).max(axis=1, keepdims=True)
-        return (np.linalg.norm(x / top, axis=1, keepdims=True) * top)[:, 0]
-
-
 def unit(x: np.ndarray) -> np.ndarray:
     """Rows of length 1, scaled by their largest component first against overflow."""
     x = x / np.abs(x).max(axis=1, keepdims=True)

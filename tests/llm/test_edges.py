@@ -160,6 +160,17 @@ def test_vectors(spark):
     assert e8_lattice.near_duplicates(vectors.limit(0)).collect() == []
 
 
+def test_vectors_whose_length_overflows(spark):
+    big, small = 1.7e308, 5e-324
+    rows = [
+        (1, [1.0, 1.0, 0.0]), (2, [big, big, 0.0]), (3, [big, -big, 0.0]), (4, [big, big, 1.0]),
+        (5, [small, small, 0.0]), (6, [float("inf"), big, 0.0]), (7, [0.0, -0.0, 0.0]),
+    ]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: tuple(r)[1:3] for r in e8_lattice.near_duplicates(vectors).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (0, 3), 4: (3, 1), 5: (3, 1), 6: (0, 6), 7: (0, 7)}
+
+
 def test_chats(spark):
     rows = [
         (1, 0, "user", "a"), (1, 1, "assistant", None), (1, 1, "assistant", None),
