@@ -1,9 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv factors.
+"""Substring dedup by block lookup, in place of a relative Lempel-Ziv parse.
 
-A text is parsed against everything that comes before it (smaller doc_id, then earlier start): it
+In such a parse a text is read against everything that comes before it (smaller doc_id, then earlier start): it
 is a sequence of factors, each a copy of an earlier passage, and of new words. Only factors of at
 least ``WINDOW`` words count, so a factor is a run of windows of that many words that all start
-somewhere earlier too.
+somewhere earlier too. The greedy parse itself is not done: no factor is extended from a source
+position, as that needs an ordered pass over all text. Those windows are found by hash instead.
 
 Reference blocks are cut by content: every window has an anchor, the ``GRAM`` words in it with the
 smallest hash (the first of equal ones), and consecutive windows with one anchor are a block. The
