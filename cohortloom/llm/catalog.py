@@ -16,9 +16,12 @@ from cohortloom.llm import (
     odd_sketch,
     piece_lattice,
     pii_votes,
+    pivot_search,
     quality_trees,
     relative_lz,
+    residue_negatives,
     secret_ledger,
+    whitening,
 )
 from cohortloom.llm.common import sha256_hex, table
 
@@ -255,3 +258,61 @@ def op7_relative_lz(spark, sf):
     return relative_lz.dedup(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256")
     )
+
+
+# --- hard negatives -----------------------------------------------------------------------------
+
+# vectors of whole numbers; a product of their doubles is exact
+_WHOLE = """
+  SELECT vec_id, {label} list_transform(embedding, lambda c: floor({scale} * c::DOUBLE)) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0"""
+_LABEL = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,"
+
+NEGATIVES_SQL = f"""
+WITH e AS ({_WHOLE.format(scale=256, label=_LABEL)} AND label IS NOT NULL), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER (
+    PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""
+
+
+@query(NEGATIVES_SQL)
+def op11_residue_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return residue_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+# --- exact search -------------------------------------------------------------------------------
+
+SEARCH_SQL = f"""
+WITH e AS ({_WHOLE.format(scale=64, label="")})
+SELECT a.vec_id AS query_id, (row_number() OVER (PARTITION BY a.vec_id
+    ORDER BY list_dot_product(a.x, b.x) DESC, b.vec_id))::INTEGER AS rank,
+  b.vec_id, list_dot_product(a.x, b.x)::BIGINT AS score
+FROM e AS a JOIN e AS b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+QUALIFY rank <= 20"""
+
+
+@query(SEARCH_SQL)
+def op12_pivot_search(spark, sf):
+    return pivot_search.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# --- whitening ----------------------------------------------------------------------------------
+
+
+@query()
+def op13_whitening(spark, sf):
+    rows = whitening.whiten(table(spark, sf, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
