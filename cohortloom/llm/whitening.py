@@ -125,6 +125,7 @@ def eigenvectors(v: np.ndarray, most: int = 30) -> tuple[np.ndarray, np.ndarray]
     for _ in range(most):
         x = x[:, np.argsort(-_values(a, x), kind="stable")]
         r, s = one - x.T @ x, x.T @ (a @ x)
+        s = (s + s.T) / 2  # else its rounding, over a gap, takes the vectors apart
         value = np.diag(s) / (1 - np.diag(r))
         off = _norm(s - np.diag(value)) + _norm(a) * _norm(r)
         gap = value[None, :] - value[:, None]
