@@ -12,26 +12,37 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as DT
 
 from checks import oracle as O
 from checks import tables as T
+from checks.refit import refit
+from cohortloom.cohorts import Cohort
 from cohortloom.functions import predicates as P
 from cohortloom.functions import scalars as S
 from cohortloom.operators import accounts as A
 from cohortloom.operators import commitments as C
+from cohortloom.operators import contributions as X
 from cohortloom.operators import encoding as E
 from cohortloom.operators import industry as I
 from cohortloom.operators import learning as L
 from cohortloom.operators import sampling as M
 from cohortloom.operators import schemes as H
+from cohortloom.operators import sweep as W
 from cohortloom.plans import features as PF
 from cohortloom.plans import scoring as PS
 from cohortloom.plans import training as PT
 from cohortloom.session import cut_lineage, shared_dir
-from cohortloom.sources import load_model, write_predictions
+from cohortloom.sources import (
+    load_model,
+    model_versions,
+    read_bucketed,
+    store_bucketed,
+    write_day,
+    write_predictions,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -752,6 +763,70 @@ def cohort_features(spark, sf):
     return plain(frame.select("a3", "cohort", *MEASURES))
 
 
+# 120 windows of a year, each a month after the one before.
+MONTHS = tuple(
+    Cohort.fixed(str(10_000 + i), *(date(1992 + (i // 12) + y, i % 12 + 1, 1) for y in (-1, 0, 1)))
+    for i in range(120)
+)
+
+
+def swept_sql(windows) -> str:
+    """Every commitment beside every window that counts it."""
+    rows = ", ".join(
+        f"('{c.label}', {O.day(c.prev_start)}, {O.day(c.start)}, {O.day(c.end)})" for c in windows
+    )
+    back, new = "b2 >= prev_start AND b2 < start", "b2 >= start AND b2 < stop"
+    open_ = "(b16 >= start OR b16 IS NULL) AND (b20 >= start OR b20 IS NULL)"
+    due, live = f"b17 >= start AND b17 < stop AND {open_}", f"b2 < start AND {open_}"
+
+    def share(test: str, name: str) -> str:
+        return (
+            f"CAST(CAST(COUNT(*) FILTER ({back} AND {test}) AS DECIMAL(10,3))"
+            f" / NULLIF(COUNT(*) FILTER ({back}), 0) AS DECIMAL(10,3))::DOUBLE AS {name}"
+        )
+
+    shares = [share(f"b6 = '{code}'", f"occupation_{code}") for code in O.OCCUPATION_CODES]
+    shares.append(share("b6 IS NULL", "occupation_null"))
+    return O.sql(
+        f"SELECT b10 AS a3, cohort, COUNT(*) FILTER ({new}) AS total_commitments,"
+        f" {', '.join(shares)}, COUNT(*) FILTER ({back}) AS prev_12m_new_commitments,"
+        f" COUNT(*) FILTER ({back} AND b12 = 1) AS prev_12m_new_levy_transfers,"
+        f" COUNT(*) FILTER ({due}) AS commitments_ending_12m,"
+        f" COUNT(*) FILTER ({live}) AS current_live_commitments"
+        " FROM days JOIN spans"
+        f" ON ({new}) OR ({back}) OR ({due}) OR ({live}) GROUP BY b10, cohort",
+        "days AS (SELECT CAST(b2 AS DATE) AS b2, b6, b10, b12, CAST(b16 AS DATE) AS b16,"
+        " CAST(b17 AS DATE) AS b17, CAST(b20 AS DATE) AS b20 FROM pt_b)",
+        f"spans(cohort, prev_start, start, stop) AS (VALUES {rows})",
+    )
+
+
+@query("cohort_features_monthly", swept_sql(MONTHS))
+def cohort_features_monthly(spark, sf):
+    """120 monthly cohorts by a sweep: events where a commitment starts and stops to count."""
+    return plain(W.swept_features(W.day_rows(T.commitments(spark, sf)), MONTHS))
+
+
+@query("cohort_features_rolled_up", swept_sql(T.COHORTS))
+def cohort_features_rolled_up(spark, sf):
+    """From a roll-up appended in batches, the first of them twice: commitments are not read."""
+    path, b = scratch(spark), T.commitments(spark, sf)
+    early = F.coalesce(F.col("b2") < F.lit("1996-01-01").cast("timestamp_ntz"), F.lit(False))
+    for batch, rows in (("1", b.where(early)), ("2", b.where(~early)), ("1", b.where(early))):
+        W.append_batch(rows, path, batch)
+    return plain(W.swept_features(W.read_roll_up(spark, path), T.COHORTS))
+
+
+@query("cohort_features_bucketed", O.sql(ALL_MEASURES_ORACLE, O.MEMBERS, O.FEATURES))
+def cohort_features_bucketed(spark, sf):
+    """The cohort frame from tables stored by account, so that nothing is shuffled."""
+    root = scratch(spark)
+    store_bucketed(T.tables(spark, sf), root, 8)
+    stored = read_bucketed(spark, root, 8)
+    frame = PF.cohort_frame(stored.accounts, stored.commitments, T.COHORTS)
+    return plain(frame.select("a3", "cohort", *MEASURES))
+
+
 @query(
     "asof_features",
     O.sql(
@@ -1089,35 +1164,53 @@ def assemble(spark, sf):
     )
 
 
+# Every distinct value is a cut, as in the SQL.
+EXACT = L.BoostParams(max_bins=2**16 - 1)
 FITTED: dict[tuple[str, str], tuple[DataFrame, PT.Trained, str]] = {}
 
 
 def fitted(spark, sf):
-    """The model with its default settings, fitted once in a session and stored."""
+    """The model of default size, fitted once in a session and stored."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in FITTED:
         frame, path = cut_lineage(model_frame(spark, sf)), scratch(spark)
-        FITTED[key] = frame, PT.train_pipeline(frame, path=path), path
+        FITTED[key] = frame, PT.train_pipeline(frame, EXACT, path), path
     return FITTED[key]
 
 
-HELD_OUT = O.sql(
-    "SELECT COUNT(*) AS rows, TRUE AS sound FROM frame"
-    f" WHERE {O.in_test(7, ROW_KEY.replace('a3', 'account_id'))}",
-    *O.TRAINING_CTES,
-    FRAME,
+BASE = (
+    "base AS MATERIALIZED (SELECT account_id || '-' || cohort AS rid, account_id, cohort,"
+    f" NOT ({O.in_test(7, ROW_KEY.replace('a3', 'account_id'))}) AS fit,"
+    f" LN(total_commitments + 1) AS y, {', '.join(MODEL_ORDER)}"
+    f" FROM (SELECT {FRAME_COLUMNS}, total_commitments FROM training WHERE {ELIGIBLE}))"
 )
+
+
+def refitted(body: str, *ctes: str) -> str:
+    """SQL over the trees and predictions of a fit in SQL on the rows of ``base``."""
+    ctes = (*(ctes or (*O.TRAINING_CTES, BASE)), *refit(MODEL_ORDER))
+    return O.sql(body, *ctes).replace("WITH", "WITH RECURSIVE", 1)
+
+
+def metrics_sql(columns: str = "") -> str:
+    """Metrics of predictions p, to 6 digits."""
+    unexplained = "SUM(POW(y - margin, 2)) / (VAR_POP(y) * COUNT(*))"
+    return (
+        f"SELECT {columns} COUNT(*) AS rows, ROUND(1 - {unexplained}, 6) AS r2,"
+        f" ROUND(1 - {unexplained} * (COUNT(*) - 1) / (COUNT(*) - {len(MODEL_ORDER)} - 1), 6)"
+        " AS adjusted_r2, ROUND(SQRT(AVG(POW(y - margin, 2))), 6) AS rmse"
+        " FROM base JOIN predicted USING (rid)"
+    )
+
+
 NAMES = ", ".join(f"({i}, '{name}')" for i, name in enumerate(MODEL_ORDER))
 FEATURE_LIST = f"SELECT position, feature FROM (VALUES {NAMES}) AS v(position, feature)"
 
 
-def held_out(metrics: DataFrame, fit: DataFrame) -> DataFrame:
-    """Rows held out; sound if their error is a number and the fit beats its own rows' mean."""
-    both = metrics.withColumn("part", F.lit(1)).union(fit.withColumn("part", F.lit(2)))  # two rows
-    finite, fits = F.abs("rmse") < F.lit(float("inf")), F.col("r2") > 0.5
-    return both.agg(
-        F.max(F.when(F.col("part") == 1, F.col("rows"))).alias("rows"),
-        F.min(F.when(F.col("part") == 1, finite).otherwise(fits)).alias("sound"),
+def digits(df: DataFrame) -> DataFrame:
+    """Doubles at 6 digits."""
+    return df.select(
+        *[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
     )
 
 
@@ -1125,22 +1218,28 @@ def evaluated(trained: PT.Trained, part: DataFrame) -> DataFrame:
     return L.evaluate(L.predict(part, trained.model), len(trained.features))
 
 
-@query("train_regressor", HELD_OUT)
+@query(
+    "train_regressor",
+    refitted(metrics_sql("CASE WHEN fit THEN 'fit' ELSE 'test' END AS part,") + " GROUP BY fit"),
+)
 def train_regressor(spark, sf):
-    """The regressor with its default settings, on the rows it did not see and those it did."""
+    """The regressor's error on the rows it did not see and on those it did."""
     frame, trained, _ = fitted(spark, sf)
-    fit, test = M.hash_split(frame, PT.KEYS, seed=7)
-    return held_out(evaluated(trained, test), evaluated(trained, fit))
+    parts = dict(zip(("fit", "test"), M.hash_split(frame, PT.KEYS, seed=7)))
+    rows = [evaluated(trained, df).withColumn("part", F.lit(part)) for part, df in parts.items()]
+    return digits(rows[0].unionByName(rows[1]))
 
 
 @query(
     "predict",
-    O.sql("SELECT account_id, cohort, TRUE AS finite FROM frame", *O.TRAINING_CTES, FRAME),
+    refitted(
+        "SELECT account_id, cohort, ROUND(margin, 6) AS prediction"
+        " FROM base JOIN predicted USING (rid)"
+    ),
 )
 def predict(spark, sf):
     frame, trained, _ = fitted(spark, sf)
-    finite = (F.abs(L.PREDICTION) < F.lit(float("inf"))).alias("finite")
-    return L.predict(frame, trained.model).select("account_id", "cohort", finite)
+    return digits(L.predict(frame, trained.model).select(*PT.KEYS, L.PREDICTION))
 
 
 @query(
@@ -1164,20 +1263,58 @@ def evaluate(spark, sf):
 
 @query(
     "feature_importance",
-    f"SELECT feature, 1.0::DOUBLE AS total FROM ({FEATURE_LIST})",
+    refitted(
+        "SELECT feature, ROUND(COALESCE(SUM(gain), 0) / (SELECT SUM(gain) FROM grown), 6)"
+        f" AS importance FROM ({FEATURE_LIST}) v LEFT JOIN (SELECT * FROM grown WHERE rid IS NULL) g"
+        " ON g.f = v.position + 1 GROUP BY feature"
+    ),
 )
 def feature_importance(spark, sf):
-    """Every feature has its share, and the shares' total is 1."""
-    _, trained, _ = fitted(spark, sf)
-    every = Window.partitionBy(F.lit(1))  # as many rows as the model has features
-    total = F.round(F.sum("importance").over(every), 9).alias("total")
-    return trained.importance.select("feature", total)
+    """Every feature's share of the total gain."""
+    return digits(fitted(spark, sf)[1].importance)
+
+
+@query(
+    "feature_contributions",
+    refitted(
+        "SELECT account_id, cohort, ROUND(margin, 6) AS total FROM base JOIN predicted USING (rid)"
+    ),
+)
+def feature_contributions(spark, sf):
+    """What the features add to a prediction, with what it is without any: the prediction."""
+    frame, trained, _ = fitted(spark, sf)
+    rows = X.contribution_rows(frame, trained.model)
+    added = F.aggregate("contributions", F.col("expected"), lambda a, b: a + b)
+    return digits(rows.select(*PT.KEYS, added.alias("total")))
+
+
+@query("mean_contributions")
+def mean_contributions(spark, sf):
+    """Features by their mean absolute contribution over the whole frame."""
+    frame, trained, _ = fitted(spark, sf)
+    return X.mean_contributions(frame, trained.model)
+
+
+@query(
+    "tree_nodes",
+    refitted(
+        f"SELECT ((step - 1) // 6)::INT AS tree, node, feature, ROUND(gain, 6) AS gain FROM grown"
+        f" JOIN ({FEATURE_LIST}) v ON f = position + 1 WHERE rid IS NULL"
+    ),
+)
+def tree_nodes(spark, sf):
+    """The stored splits of all trees."""
+    path = fitted(spark, sf)[2]
+    version = model_versions(spark, path).agg(F.max("version")).first()[0]
+    nodes = spark.read.parquet(f"{path}/versions/{version}").where("feature IS NOT NULL")
+    return digits(nodes.select("tree", "node", "feature", "gain"))
 
 
 @query("model_save", FEATURE_LIST)
 def model_save(spark, sf):
-    """The feature list as stored beside the model."""
-    return spark.read.parquet(f"{fitted(spark, sf)[2]}/features")
+    """The feature list as stored with the model."""
+    features = F.posexplode("features").alias("position", "feature")
+    return model_versions(spark, fitted(spark, sf)[2]).select(features)
 
 
 @query(
@@ -1195,26 +1332,28 @@ def model_load(spark, sf):
     return L.predict(aligned, loaded).select(*PT.KEYS, equal)
 
 
-@query("train_pipeline", HELD_OUT)
+@query("train_pipeline", refitted(metrics_sql() + " WHERE NOT fit"))
 def train_pipeline(spark, sf):
     """The metrics of the whole job, from source tables to the stored model."""
-    frame, trained, _ = fitted(spark, sf)
-    return held_out(trained.metrics, evaluated(trained, M.hash_split(frame, PT.KEYS, seed=7)[0]))
+    return digits(fitted(spark, sf)[1].metrics)
 
 
-def score_frame_sql(features: str) -> str:
-    return O.sql(
+def score_frame_body(features: str) -> str:
+    return (
         "SELECT a.a3 AS account_id, a1 AS levy_non_levy,"
         f" CAST(FLOOR({O.months(O.AS_OF)}) AS INT) AS as_months_since_sign_up,"
         f" {O.zeroed(MEASURES, 'f')}, {O.AS_OF.year} - scheme_start_year AS years_since_tpr_signup,"
         f" CASE WHEN FLOOR({O.months(O.AS_OF)}) <= 6 THEN 1 ELSE 0 END AS new_company,"
         " ROUND(LOG2(employees + 1), 9) AS log_employees"
         f" FROM pt_a a LEFT JOIN ({features}) f ON a.a3 = f.a3 LEFT JOIN tpr ON a.a3 = tpr.a3"
-        " WHERE a1 = 1",
-        *O.SCHEME_CTES,
+        " WHERE a1 = 1"
     )
 
 
+def score_frame_sql(features: str) -> str:
+    return O.sql(score_frame_body(features), *O.SCHEME_CTES)
+
+
 def scored_features(spark, sf, compat: bool) -> DataFrame:
     frame = PS.score_frame(T.tables(spark, sf), T.AS_OF, settings=settings(spark), compat=compat)
     return plain(
@@ -1243,25 +1382,44 @@ def score_frame_compat(spark, sf):
 
 
 def scored(spark, sf, ids: DataFrame | None = None) -> DataFrame:
-    """Predictions as written, each with whether it is a number."""
+    """Predictions as written."""
     path, out = fitted(spark, sf)[2], scratch(spark)
     PS.score_pipeline(
         T.tables(spark, sf), T.AS_OF, path, out, settings=settings(spark), fmt="parquet", ids=ids
     )
-    finite = (F.abs(PS.PREDICTED) < F.lit(float("inf"))).alias("finite")
-    return spark.read.parquet(out).select("account_id", finite)
+    return digits(spark.read.parquet(out))
 
 
-@query("score_pipeline", O.sql("SELECT a3 AS account_id, TRUE AS finite FROM pt_a WHERE a1 = 1"))
+# The rows to score beside those to fit on. Without scheme data, three features have no value.
+SCORED = (
+    f"scored AS (SELECT s.*, {HOT_TYPES},"
+    f" CASE WHEN CAST(a2 AS DATE) < {O.day(O.EARLY_CUTOFF)} THEN 1 ELSE 0 END AS early_adopter, a7"
+    f" FROM ({score_frame_body(O.both_parts(O.AS_OF_START))}) s JOIN pt_a ON a3 = account_id"
+    " LEFT JOIN (SELECT a3 AS owner, company_type FROM tpr) ON owner = account_id)"
+)
+BOTH = BASE[:-1] + (
+    " UNION ALL BY NAME SELECT 's-' || account_id AS rid, account_id, FALSE AS fit, a7,"
+    f" {', '.join(MODEL_ORDER)} FROM scored)"
+)
+
+
+def predictions_sql(where: str = "TRUE") -> str:
+    return refitted(
+        "SELECT account_id, ROUND(EXP(margin) - 1, 6) AS levy_model_prediction"
+        f" FROM base JOIN predicted USING (rid) WHERE starts_with(rid, 's-') AND {where}",
+        *O.TRAINING_CTES,
+        SCORED,
+        BOTH,
+    )
+
+
+@query("score_pipeline", predictions_sql())
 def score_pipeline(spark, sf):
     """A model trained on the cohorts and saved scores every levy account as of a day."""
     return scored(spark, sf)
 
 
-@query(
-    "score_pipeline_listed",
-    O.sql("SELECT a3 AS account_id, TRUE AS finite FROM pt_a WHERE a1 = 1 AND a7 = 1"),
-)
+@query("score_pipeline_listed", predictions_sql("a7 = 1"))
 def score_pipeline_listed(spark, sf):
     """The same for a list of accounts: here those that send."""
     return scored(spark, sf, T.accounts(spark, sf).where("a7 = 1").select("a3"))
@@ -1281,3 +1439,19 @@ def sink_predictions(spark, sf):
     write_predictions(target_counts(spark, sf).selectExpr("b10 AS account_id", value), out)
     schema = f"account_id bigint, {PS.PREDICTED} double"
     return spark.read.option("header", True).schema(schema).csv(out)
+
+
+@query(
+    "sink_predictions_by_day",
+    O.sql(
+        "SELECT b10 AS account_id, ROUND(LN(total_commitments + 1), 9) AS levy_model_prediction,"
+        f" as_of FROM ({TARGETS}), (VALUES (DATE '2001-07-01'), (DATE '2001-07-02')) v(as_of)"
+    ),
+)
+def sink_predictions_by_day(spark, sf):
+    """Two scoring days, the first written twice."""
+    value = f"round({S.log_target('total_commitments')}, 9) AS {PS.PREDICTED}"
+    rows, out = target_counts(spark, sf).selectExpr("b10 AS account_id", value), scratch(spark)
+    for day in (date(2001, 7, 1), date(2001, 7, 2), date(2001, 7, 1)):
+        write_day(rows, out, day)
+    return spark.read.parquet(out)

@@ -50,7 +50,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--as-of", required=True, type=datetime.fromisoformat)
             job.add_argument("--out", required=True)
             job.add_argument("--format", choices=("csv", "parquet"), default="csv")
-            job.add_argument("--mode", choices=("error", "overwrite", "append"), default="error")
+            job.add_argument("--mode", choices=("error", "overwrite", "append", "day"), default="error")
             job.add_argument("--compat", action="store_true", help="as-run scoring, base 2")
     return top
 

@@ -3,43 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.session import use_checkpoints
+from cohortloom.operators import boosting as B
+from cohortloom.operators.boosting import BoostedModel, BoostParams
 
 TARGET = "log_adjusted_commitments"
 PREDICTION = "prediction"
 
-
-@dataclass(frozen=True)
-class BoostParams:
-    """Settings of the regressor (squared error)."""
-
-    max_iter: int = 100
-    max_depth: int = 6
-    step_size: float = 0.3
-    max_bins: int = 256
-    feature_subset: str = "all"
-    seed: int = 7
-
-
-# Slower, smaller steps on a third of the features per split.
-CAREFUL_PARAMS = BoostParams(max_iter=700, max_depth=5, step_size=0.05, feature_subset="0.3")
-
-
-def assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
+# Slower, smaller steps, an L1 penalty, and a third of the features for each tree.
+CAREFUL_PARAMS = BoostParams(
+    max_iter=700, max_depth=5, step_size=0.05, l1=10.0, column_sample=0.3
+)
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """``features`` vector in the given order; a NULL in any of them is an error."""
-    return assembler(features).transform(df)
+    return VectorAssembler(
+        inputCols=list(features), outputCol="features", handleInvalid="error"
+    ).transform(df)
 
 
 def train(
@@ -48,40 +33,18 @@ def train(
     params: BoostParams = BoostParams(),
     target: str = TARGET,
     categorical: Sequence[str] = (),
-) -> PipelineModel:
-    """Fit on numeric features and, each as one nominal feature, on categorical columns.
+) -> BoostedModel:
+    """Fit on numeric features and on categorical columns, a 0/1 column for each of their labels.
 
-    The trees' bins must hold every category, so their number follows a column with more. An
-    unseen or missing category is one more category.
+    Missing numbers take the side that fits them better; an unseen or missing label is none of
+    those the trees name.
     """
-    use_checkpoints(df.sparkSession)  # boosting cuts its own lineage every few trees
-    indexed = [f"{c}_index" for c in categorical]
-    stages, bins = [], params.max_bins
-    if categorical:
-        indexer = StringIndexer(
-            inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ).fit(df)
-        stages = [indexer]
-        bins = max(bins, *[len(labels) + 1 for labels in indexer.labelsArray])
-    regressor = GBTRegressor(
-        featuresCol="features",
-        labelCol=target,
-        predictionCol=PREDICTION,
-        lossType="squared",
-        maxIter=params.max_iter,
-        maxDepth=params.max_depth,
-        stepSize=params.step_size,
-        maxBins=bins,
-        featureSubsetStrategy=params.feature_subset,
-        seed=params.seed,
-    )
-    return Pipeline(stages=[*stages, assembler([*features, *indexed]), regressor]).fit(df)
+    return B.fit(df, features, params, target, categorical)
 
 
-def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Input columns with ``prediction``; the model's own vectors are left out."""
-    return model.transform(df).select(*df.columns, PREDICTION)
+def predict(df: DataFrame, model: BoostedModel) -> DataFrame:
+    """Input columns with ``prediction``."""
+    return B.predict(df, model, PREDICTION)
 
 
 def evaluate(
@@ -104,18 +67,15 @@ def evaluate(
     )
 
 
-def importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """Share of the total gain per feature, largest first.
-
-    Categorical columns follow the numeric features, each under its own name.
-    """
-    names = list(features)
-    for stage in model.stages:
-        if hasattr(stage, "labelsArray"):
-            names += stage.getInputCols()
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(weight)) for name, weight in zip(names, weights, strict=True)]
+def importance(model: BoostedModel) -> DataFrame:
+    """Share of the total gain per feature, largest first; a categorical column is one feature."""
+    gains = dict.fromkeys([c.name for c in model.columns], 0.0)
+    for tree in model.trees:
+        for column, gain in zip(tree.column, tree.gain):
+            if column >= 0:
+                gains[model.columns[column].name] += float(gain)
+    total = sum(gains.values()) or 1.0
+    rows = [(name, gain / total) for name, gain in gains.items()]
     return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
-

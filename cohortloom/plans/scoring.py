@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +24,7 @@ from cohortloom.plans.training import (
     TYPE_PREFIX,
 )
 from cohortloom.session import cut_lineage
-from cohortloom.sources.sinks import check_free, load_model, write_predictions
+from cohortloom.sources.sinks import check_free, load_model, write_day, write_predictions
 from cohortloom.sources.tables import SourceTables
 
 # Features that the as-run scoring never had under the model's names, so took as 0.
@@ -73,9 +72,10 @@ def _values(features: Sequence[str], prefix: str) -> list[str]:
 def align_to_model(
     frame: DataFrame, features: Sequence[str], with_code: bool = False, compat: bool = False
 ) -> E.Aligned:
-    """Account id and the model's features; what is missing, in rows or columns, becomes 0.
+    """Account id and the model's features; columns the frame does not have become 0.
 
-    ``compat`` leaves out the features the as-run scoring did not have.
+    A value missing in a row stays so, and the trees send it the way they learned. ``compat``
+    leaves out the features the as-run scoring did not have.
     """
     for col, prefix in (
         ("company_type", TYPE_PREFIX),
@@ -91,8 +91,7 @@ def align_to_model(
         if CODE_COLUMN not in frame.columns:
             frame = frame.withColumn(CODE_COLUMN, F.lit(None).cast("string"))
         keep.append(CODE_COLUMN)
-    aligned = E.align(frame, features, keep)
-    return E.Aligned(A.fill_zero(aligned.frame, features), aligned.filled)
+    return E.align(frame, features, keep)
 
 
 @dataclass(frozen=True)
@@ -102,10 +101,10 @@ class Scored:
 
 
 def score(
-    frame: DataFrame, model: PipelineModel, features: Sequence[str], compat: bool = False
+    frame: DataFrame, model: L.BoostedModel, features: Sequence[str], compat: bool = False
 ) -> Scored:
     """``account_id`` and predicted commitments; ``compat`` inverts with base 2."""
-    with_code = any(hasattr(stage, "labelsArray") for stage in model.stages)
+    with_code = bool(model.nominal)
     aligned = align_to_model(frame, features, with_code, compat)
     value = S.inverse_target(L.PREDICTION, 2 if compat else "e")
     predicted = L.predict(aligned.frame, model).selectExpr("account_id", f"{value} AS {PREDICTED}")
@@ -128,13 +127,17 @@ def score_pipeline(
     """Score current accounts with a saved model and write the predictions to ``out``.
 
     ``ids`` (one column) restricts the accounts. ``mode`` is the writer's: with "error" a folder
-    that exists is an error before any work.
+    that exists is an error before any work; "day" writes the scoring day's partition and leaves
+    those of other days.
     """
     if out is not None and mode == "error":
         check_free(tables.accounts.sparkSession, out)
     model, features = load_model(model_path)
     frame = score_frame(tables, as_of, n, seed, settings, compat, ids)
     scored = score(frame, model, features, compat)
-    if out is not None:
+    if out is not None and mode == "day":
+        day = as_of.date() if isinstance(as_of, datetime) else as_of
+        write_day(scored.predictions, out, day, fmt)
+    elif out is not None:
         write_predictions(scored.predictions, out, fmt, mode)
     return scored

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from cohortloom.cohorts import TRAINING_COHORTS, Cohort
@@ -138,7 +137,7 @@ def training_frame(
 
 @dataclass(frozen=True)
 class Trained:
-    model: PipelineModel
+    model: L.BoostedModel
     features: list[str]
     metrics: DataFrame
     importance: DataFrame
@@ -163,7 +162,7 @@ def train_pipeline(
     keys = KEYS[:1] if split_key == "account" else KEYS
     fit_part, test_part = hash_split(frame, keys, test, seed)
     model = L.train(fit_part, features, params, categorical=categorical)
-    metrics = L.evaluate(L.predict(test_part, model), model.stages[-1].numFeatures)
+    metrics = L.evaluate(L.predict(test_part, model), model.width)
     if path is not None:
         save_model(model, features, path)
-    return Trained(model, features, metrics, L.importance(model, features))
+    return Trained(model, features, metrics, L.importance(model))

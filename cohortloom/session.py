@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +55,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         return df.persist()
+    return _written(df, shared_dir(spark) or spark.sparkContext.getCheckpointDir(), "frame")
+
+
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder; a temporary one only on a local master."""
+    spark = df.sparkSession
     folder = shared_dir(spark) or spark.sparkContext.getCheckpointDir()
-    path = f"{folder.rstrip('/')}/frame-{uuid.uuid4().hex}"
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.gettempdir()
+    return _written(df, folder, name)
+
+
+def _written(df: DataFrame, folder: str, name: str) -> DataFrame:
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

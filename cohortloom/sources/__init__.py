@@ -1,5 +1,6 @@
+from cohortloom.sources.buckets import read_bucketed, store_bucketed
 from cohortloom.sources.database import key_bounds_sql, query_options, read_query
-from cohortloom.sources.sinks import load_model, save_model, write_predictions
+from cohortloom.sources.sinks import load_model, model_versions, save_model, write_day, write_predictions
 from cohortloom.sources.tables import (
     DatabaseSource,
     ParquetSource,
@@ -25,13 +26,17 @@ __all__ = [
     "as_schemes",
     "key_bounds_sql",
     "load_model",
+    "model_versions",
     "query_options",
     "read_accounts",
+    "read_bucketed",
     "read_commitments",
     "read_query",
     "read_register",
     "read_schemes",
     "read_tables",
     "save_model",
+    "store_bucketed",
+    "write_day",
     "write_predictions",
 ]

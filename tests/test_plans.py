@@ -6,12 +6,14 @@ import pytest
 
 from checks import catalog
 from checks import tables as T
+from checks.catalog import MONTHS
 from cohortloom.operators import commitments as C
 from cohortloom.operators import sampling as M
+from cohortloom.operators import sweep as W
 from cohortloom.plans import features as PF
 from cohortloom.plans import scoring as PS
 from cohortloom.plans import training as PT
-from cohortloom.sources import ParquetSource, read_tables
+from cohortloom.sources import ParquetSource, read_bucketed, read_tables, store_bucketed
 
 
 @pytest.fixture(scope="module")
@@ -106,11 +108,44 @@ def test_scoring_frame_plan(spark, static_plans, tables):
     assert "BroadcastExchange" not in text
 
 
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas")
+CROSS = ("CartesianProduct", "BroadcastNestedLoopJoin")
+PYTHON = ("PythonUDF", "EvalPython", "InPandas", "InArrow")
 LAZY = sorted(set(catalog.ORACLES) - {"sink_predictions", "drop_constant_columns"})
+# Trees are walked in Arrow batches.
+MODEL = {"train_regressor", "predict", "train_pipeline", "feature_contributions", "model_load"}
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_joins_or_python(spark, static_plans, sf_dir, name):
     text = plan(catalog.QUERIES[name](spark, sf_dir))
-    assert not [word for word in FORBIDDEN if word in text]
+    forbidden = CROSS if name in MODEL else CROSS + PYTHON
+    assert not [word for word in forbidden if word in text]
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, static_plans, sf_dir, tmp_path):
+    store_bucketed(T.tables(spark, sf_dir), str(tmp_path), 8)
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    try:
+        stored = read_bucketed(spark, str(tmp_path), 8)
+        frame = PF.cohort_frame(stored.accounts, stored.commitments, T.COHORTS)
+        both = PF.account_features(
+            stored, stored.accounts, T.COHORTS, settings=catalog.settings(spark)
+        )
+        for df in (frame, both):
+            text = plan(df)
+            assert "Exchange" not in text and "SortMergeJoin" in text and "Batched: true" in text
+        plain = PF.account_features(
+            T.tables(spark, sf_dir), T.accounts(spark, sf_dir), T.COHORTS,
+            settings=catalog.settings(spark),
+        )
+        assert both.exceptAll(plain).isEmpty() and plain.exceptAll(both).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", before)
+
+
+def test_sweep_shuffles_events_whatever_the_cohorts(spark, static_plans, tables):
+    for cohorts in (T.COHORTS, MONTHS):
+        text = plan(W.swept_features(W.day_rows(tables.commitments), cohorts))
+        assert scans(text, "pt_b") == 1 and "partial_sum" in text
+        assert text.count("Exchange hashpartitioning") == 2  # by account and cohort, by account
+        assert text.count("BroadcastExchange") == 2  # the calendar, by days of the span
