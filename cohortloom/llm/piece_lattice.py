@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding: the N best segmentations of a text over its piece lattice.
 
 A text gets a leading space, spaces become the model's space sign, and every piece of the model
-that occurs is an edge of the lattice, weighted by the piece's score. A character without a piece
-of its own is an edge too, below every piece's score, and comes out as the model's byte pieces. A
-forward Viterbi pass gives the best score from the start to every position. That is the exact
+that occurs is an edge of the lattice, weighted by the piece's log probability. A model of merges
+has ranks instead, whose sums mean nothing: they become log probabilities that fall with the
+logarithm of the rank, as frequencies of words do. A character without a piece of its own is an
+edge too, below every piece, and comes out as the model's byte pieces. A forward Viterbi pass gives the best score from the start to every position. That is the exact
 remaining cost of an A-star search that goes backwards from the end: it takes up only hypotheses
 that lie on one of the N best paths, and finds those in order.
 
@@ -22,6 +23,7 @@ results; columns beyond doc_id and text are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections.abc import Iterator
@@ -37,6 +39,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 CACHE_ENTRIES, CACHE_CHARS = 400_000, 40
 GROUP = 500
+#: The rank from which frequencies fall in proportion to the rank (of Zipf and Mandelbrot).
+FLAT_RANKS = 1000
 SPACE = "▁"
 #: Stands for a space sign of the text itself; no valid text holds it.
 OWN_SPACE = "\ud800"
@@ -58,6 +62,11 @@ class Pieces:
     unknown: float
 
 
+def log_probability(score: float, ranks: bool) -> float:
+    """Of a piece: its score, or of a merge's rank, which the model has as 0, -1, -2 and so on."""
+    return -math.log(FLAT_RANKS - score) if ranks else score
+
+
 def load_pieces(path: str = MODEL) -> Pieces:
     """Read once on the driver; what is sent to the tasks is bounded by the model file."""
     import sentencepiece
@@ -66,6 +75,8 @@ def load_pieces(path: str = MODEL) -> Pieces:
     n = model.GetPieceSize()
     surfaces, prefixes, least = [""] * n, {}, 0.0
     byte_ids = [0] * 256
+    scores = [model.GetScore(i) for i in range(n)]
+    ranks = all(s == int(s) for s in scores) and min(scores) < -n / 2
     for i in range(n):
         piece = model.IdToPiece(i)
         if model.IsByte(i):
@@ -74,10 +85,11 @@ def load_pieces(path: str = MODEL) -> Pieces:
             if SPACE in piece.lstrip(SPACE):
                 raise ValueError(f"a space sign inside a piece: {piece}")
             surfaces[i] = piece
-            least = min(least, model.GetScore(i))
+            score = log_probability(scores[i], ranks)
+            least = min(least, score)
             for stop in range(1, len(piece)):
                 prefixes.setdefault(piece[:stop], (-1, 0.0))
-            prefixes[piece] = (i, model.GetScore(i))
+            prefixes[piece] = (i, score)
     if not all(byte_ids):
         raise ValueError("the model has no byte pieces")
     return Pieces(prefixes, surfaces, byte_ids, least - 10.0)
@@ -190,7 +202,9 @@ def best_paths(chunks: list[str], lattice: Lattice, pieces: Pieces):
     # a chunk of n signs has n + 1 places, numbered after those of the chunks before it
     chunk = of[start]
     depth = stop - (ends - sizes)[chunk]
-    order = np.lexsort((start, chunk, depth))
+    # by place, then chunk, then start: the longest edge into a place begins first
+    longest = int((stop - start).max()) + 1
+    order = np.argsort((depth * len(chunks) + chunk) * longest - (stop - start), kind="stable")
     start, stop, piece, score, chunk, depth = (
         v[order] for v in (start, stop, piece, score, chunk, depth)
     )
@@ -233,17 +247,66 @@ def best_paths(chunks: list[str], lattice: Lattice, pieces: Pieces):
     return zip(scores.tolist(), out, loss.tolist())
 
 
+class Paths:
+    """Best paths of chunks: a number for each chunk, and by number score, loss, pieces, and
+    whether the pieces decode to the chunk."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+        self.number: dict[str, int] = {}
+        self.chunks: list[str] = []
+        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.good = np.zeros(0, bool)
+
+    def add(self, chunks: list[str], found: list[tuple[float, bytes, float]]) -> None:
+        if not chunks:
+            return
+        self.number.update(zip(chunks, range(len(self.chunks), len(self.chunks) + len(chunks))))
+        self.chunks += chunks
+        score, ids, loss = zip(*found)
+        self.score, self.loss = np.r_[self.score, score], np.r_[self.loss, loss]
+        ends = np.cumsum([len(part) // 4 for part in ids]) + self.first[-1]
+        self.first = np.r_[self.first, ends]
+        new = np.frombuffer(b"".join(ids), np.int32)
+        self.ids = np.r_[self.ids, new]
+        self.good = np.r_[self.good, self._decode(chunks, new, ends - (ends[0] - len(ids[0]) // 4))]
+
+    def _decode(self, chunks: list[str], ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether the pieces up to each end, from the end before, are the chunk's text."""
+        made = b"".join(map(self.encoder.surfaces.__getitem__, ids.tolist()))
+        stops = np.cumsum(self.encoder.sizes[ids])[ends - 1]
+        whole = f" {' '.join(chunks)}"
+        if whole.isascii() and made == whole.encode():
+            sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
+            return np.cumsum(sizes) == stops
+        starts = np.r_[0, stops[:-1]].tolist()
+        text = [f" {c.replace(OWN_SPACE, SPACE)}".encode() for c in chunks]
+        return np.array([made[a:b] == t for a, b, t in zip(starts, stops.tolist(), text)], bool)
+
+    def of(self, number: int) -> tuple[float, bytes, float]:
+        low, high = self.first[number : number + 2]
+        return float(self.score[number]), self.ids[low:high].tobytes(), float(self.loss[number])
+
+    def pieces(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of chunks one after another, and where each chunk's begin, with the end."""
+        sizes = self.first[numbers + 1] - self.first[numbers]
+        begin = np.r_[0, np.cumsum(sizes)]
+        at = np.arange(begin[-1]) + np.repeat(self.first[numbers] - begin[:-1], sizes)
+        return self.ids[at], begin
+
+
 class Encoder:
     """Encodes texts, remembering the short chunks it has met in two bounded generations."""
 
     def __init__(self, pieces: Pieces, n: int = BEST):
         self.pieces, self.n, self.lattice = pieces, n, Lattice(pieces)
-        self.known: dict[str, tuple[float, bytes, float]] = {}
-        self.older: dict[str, tuple[float, bytes, float]] = {}
-        self.ways: dict[str, list[tuple[float, list[int]]]] = {}
         self.surfaces = [s.replace(SPACE, " ").encode() for s in pieces.surfaces]
         for byte, i in enumerate(pieces.byte_ids):
             self.surfaces[i] = bytes([byte])
+        self.sizes = np.array(list(map(len, self.surfaces)))
+        self.known, self.older = Paths(self), Paths(self)
+        self.ways: dict[str, list[tuple[float, list[int]]]] = {}
 
     def chunks(self, text: str) -> list[str]:
         """The text's chunks, each without the space sign it begins with."""
@@ -254,43 +317,42 @@ class Encoder:
 
     def learn(self, lists: list[list[str]]) -> None:
         """Have the best path of every chunk at hand."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.older = {c: p for c, p in self.known.items() if len(c) <= CACHE_CHARS}
-            self.known = {}
-        new = []
-        for chunk in set().union(*lists).difference(self.known):
-            if (found := self.older.get(chunk)) is not None:
-                self.known[chunk] = found
-            else:
-                new.append(chunk)
-        if new:
-            self.known.update(zip(new, best_paths(new, self.lattice, self.pieces)))
+        if len(self.known.number) > CACHE_ENTRIES:
+            short = {c: i for c, i in self.known.number.items() if len(c) <= CACHE_CHARS}
+            self.older, self.known = self.known, Paths(self)
+            self.older.number = short
+        new, again = [], []
+        for chunk in set().union(*lists).difference(self.known.number):
+            (again if chunk in self.older.number else new).append(chunk)
+        found = list(best_paths(new, self.lattice, self.pieces)) if new else []
+        old = [self.older.of(self.older.number[chunk]) for chunk in again]
+        self.known.add(new + again, found + old)
 
     def encode_all(self, texts: list[str]):
+        """Of each text the pieces, the n best scores, the others' changes, and if it decodes."""
         lists = list(map(self.chunks, texts))
         self.learn(lists)
-        return [self._encode(chunks) for chunks in lists]
+        number = self.known.number.__getitem__
+        return [
+            self._encode(chunks, np.fromiter(map(number, chunks), np.int64, len(chunks)))
+            for chunks in lists
+        ]
 
     def encode(self, text: str):
-        return self.encode_all([text])[0]
+        return self.encode_all([text])[0][:3]
 
-    def _encode(self, chunks: list[str]):
-        """Pieces of the best segmentation, the scores of the n best, and the others' changes."""
+    def _encode(self, chunks: list[str], numbers: np.ndarray):
         if not chunks:
-            return np.zeros(0, np.int32), [0.0], []
-        found = list(map(self.known.__getitem__, chunks))
-        best = sum(map(itemgetter(0), found))
-        parts = list(map(itemgetter(1), found))
-        ids = np.frombuffer(b"".join(parts), np.int32)
-        costs = np.fromiter(map(itemgetter(2), found), float, len(found))
+            return np.zeros(0, np.int32), [0.0], [], True
+        known = self.known
+        best = float(known.score[numbers].sum())
+        ids, begin = known.pieces(numbers)
         # the n cheapest sets of changes, chunk by chunk: cost, then chunk and alternative
         sets: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
-        others, place, before, size = {}, {}, 0, 0
-        for c in sorted(_cheapest(costs, self.n - 1)):
+        others = {}
+        for c in sorted(_cheapest(known.loss[numbers], self.n - 1)):
             ways = self._ways(chunks[c])
             others[c] = [alternative for _, alternative in ways[1:]]
-            size += sum(map(len, parts[before:c]))
-            place[c], before = size // 4, c
             more = [
                 (cost + ways[0][0] - way[0], (*changes, (c, k)))
                 for cost, changes in sets
@@ -301,10 +363,12 @@ class Encoder:
         for _, chosen in sets[1:]:
             edits = []
             for c, k in chosen:
-                drop = len(parts[c]) // 4
-                edits.append({"at": place[c], "drop": drop, "ids": others[c][k]})
+                at, drop = int(begin[c]), int(begin[c + 1] - begin[c])
+                edits.append({"at": at, "drop": drop, "ids": others[c][k]})
             changes.append(edits)
-        return ids, [best - cost for cost, _ in sets], changes
+        # pieces of chunks decode one after another, so a text does if all of its chunks do
+        good = bool(known.good[numbers].all())
+        return ids, [best - cost for cost, _ in sets], changes, good
 
     def _ways(self, chunk: str) -> list[tuple[float, list[int]]]:
         if (found := self.ways.get(chunk)) is None:
@@ -346,8 +410,7 @@ def encode(documents: DataFrame, pieces: Pieces, n: int = BEST) -> DataFrame:
                 part = batch[start : start + GROUP]
                 texts = [text or "" for text in part["text"]]
                 rows = []
-                for text, (ids, scores, changes) in zip(texts, encoder.encode_all(texts)):
-                    same = encoder.decode(ids.tolist()) == text
+                for ids, scores, changes, same in encoder.encode_all(texts):
                     rows.append((ids, scores[0], scores, changes, same))
                 names = ["ids", "score", "scores", "alternatives", "decodes"]
                 out = pd.DataFrame(rows, columns=names)
