@@ -265,7 +265,7 @@ def find_columns(
         if many:
             ranks = [i / max_bins for i in range(max_bins)]
             values = [F.nanvl(x, F.lit(None)) for x in _inputs(many)]
-            quantiles = [F.percentile_approx(x, ranks, 20 * max_bins) for x in values]
+            quantiles = [F.percentile_approx(x, ranks, max(10_000, 20 * max_bins)) for x in values]
             cuts |= dict(zip([c.name for c in many], df.agg(*quantiles).first()))
         found = {c: Column(c, tuple(sorted({v + 0.0 for v in cuts[c] or ()}))) for c in features}
     for c in nominal:

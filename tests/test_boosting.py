@@ -139,7 +139,7 @@ def test_equal_to_the_plain_version(spark, name):
 
 def test_careful_settings_run_whole(spark):
     """700 trees of depth 5, a third of the columns each, and an L1 penalty of 10."""
-    params, rows = L.CAREFUL_PARAMS, table(40, spread=12.0)
+    params, rows = L.CAREFUL_PARAMS, table(40, spread=3.0)
     assert (params.max_iter, params.max_depth, params.l1, params.column_sample) == (700, 5, 10, 0.3)
     model = B.fit(frame(spark, rows), NUMBERS, params, nominal=["code"])
     layout = B.Layout(B.find_columns(frame(spark, rows), NUMBERS, ["code"], params.max_bins))
@@ -206,8 +206,8 @@ def test_cuts_at_quantiles(spark):
     assert np.allclose(np.diff(many.cuts), 1250, atol=60)
     rows = df.selectExpr("*", "CAST(x >= 5000 AS DOUBLE) * 8 AS target")
     model = B.fit(rows, ["x", "few"], B.BoostParams(max_iter=12, max_depth=2, max_bins=64))
-    error = B.predict(rows, model).selectExpr("max(abs(prediction - target))").first()[0]
-    assert error < 0.2 or error == pytest.approx(8, abs=8)
+    off = B.predict(rows, model).selectExpr("avg(double(abs(prediction - target) > 0.3))").first()[0]
+    assert off < 0.02  # a bin is 1/64 of the rows
 
 
 def test_ordered_categories_cut_many_codes_at_once(spark):
