@@ -896,16 +896,30 @@ def column_profile(spark, sf):
     return E.column_profile(T.schemes(spark, sf))
 
 
+LETTERS = [chr(code) for code in range(ord("A"), ord("Z") + 1)]
+
+
 @query(
     "drop_constant_columns",
-    O.sql("SELECT a3, a2, early_adopter FROM (SELECT *, CASE WHEN CAST(a2 AS DATE) <"
-          f" {O.day(O.EARLY_CUTOFF)} THEN 1 ELSE 0 END AS early_adopter FROM pt_a WHERE a1 = 1"
-          " AND a7 = 1)"),
+    O.sql(
+        "SELECT a3, feature, value FROM long WHERE feature IN"
+        " (SELECT feature FROM long GROUP BY feature HAVING COUNT(DISTINCT value) > 1)",
+        *O.SCHEME_CTES,
+        "wide AS (SELECT a3, "
+        + ", ".join(f"CASE WHEN company_type = '{v}' THEN 1 ELSE 0 END AS t_{v}" for v in LETTERS)
+        + ", 1 AS one, tpr_match, tpr_match * 0 AS none FROM tpr)",
+        "long AS (FROM (UNPIVOT wide ON COLUMNS(* EXCLUDE (a3)) INTO NAME feature VALUE value))",
+    ),
 )
 def drop_constant_columns(spark, sf):
-    """Levy flag and sending flag are constant after the filter, so both go."""
-    accounts = A.levy_only(T.accounts(spark, sf)).where(F.col("a7") == 1)
-    return E.drop_constant(A.early_adopter(accounts, T.EARLY_CUTOFF), protect=["a3"])
+    """Of 29 columns of every account those that vary, a row for each value."""
+    hot = E.one_hot(scheme_features_of(spark, sf), "company_type", "t", LETTERS)
+    names = [*[f"t_{v}" for v in LETTERS], "one", "tpr_match", "none"]
+    wide = hot.selectExpr("*", "1 AS one", "tpr_match * 0 AS none").select("a3", *names)
+    left = E.drop_constant(cut_lineage(wide), protect=["a3"])
+    kept = [c for c in left.columns if c != "a3"]
+    pairs = ", ".join(f"'{c}', CAST({c} AS INT)" for c in kept)
+    return left.selectExpr("a3", f"stack({len(kept)}, {pairs}) AS (feature, value)")
 
 
 # --- samples, splits, set operations ---------------------------------------------------------

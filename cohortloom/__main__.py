@@ -17,7 +17,15 @@ from cohortloom.plans.scoring import score_pipeline
 from cohortloom.plans.training import train_pipeline, training_frame
 from cohortloom.rules import read_code_map
 from cohortloom.session import build_session
-from cohortloom.sources import DatabaseSource, ParquetSource, key_bounds_sql, read_query, read_tables
+from cohortloom.sources import (
+    DatabaseSource,
+    ParquetSource,
+    key_bounds_sql,
+    key_cuts,
+    key_quantiles_sql,
+    read_query,
+    read_tables,
+)
 from cohortloom.sources.database import key_range, parse_split
 
 
@@ -34,6 +42,10 @@ def parser() -> argparse.ArgumentParser:
             "--split", action="append", default=[], metavar="TABLE=COLUMN:PARTS",
             help="read a database table by ranges of a column; bounds are asked for",
         )
+        job.add_argument(
+            "--even", action="store_true",
+            help="cut ranges at quantiles of the rows, which the database sorts for it",
+        )
         job.add_argument("--accounts", help="Parquet with a column a3: the accounts to take")
         job.add_argument("--scheme-cutoff", type=date.fromisoformat, default=SCHEME_CUTOFF)
         job.add_argument("--null-share", choices=("is_null", "equals_null"), default="is_null")
@@ -63,6 +75,11 @@ def source_of(spark: SparkSession, args: argparse.Namespace) -> ParquetSource |
     splits = {}
     for text in args.split:
         table, column, parts = parse_split(text)
+        if args.even:
+            sql = key_quantiles_sql(table, column, parts)
+            rows = read_query(spark, args.url, sql, properties=properties).collect()
+            splits[table] = key_cuts(column, [row[0] for row in rows])
+            continue
         bounds = read_query(
             spark, args.url, key_bounds_sql(table, column), properties=properties
         ).first()

@@ -1,5 +1,12 @@
 from cohortloom.sources.buckets import read_bucketed, store_bucketed
-from cohortloom.sources.database import key_bounds_sql, query_options, read_query
+from cohortloom.sources.database import (
+    KeyCuts,
+    key_bounds_sql,
+    key_cuts,
+    key_quantiles_sql,
+    query_options,
+    read_query,
+)
 from cohortloom.sources.sinks import load_model, model_versions, save_model, write_day, write_predictions
 from cohortloom.sources.tables import (
     DatabaseSource,
@@ -24,7 +31,10 @@ __all__ = [
     "as_commitments",
     "as_register",
     "as_schemes",
+    "KeyCuts",
     "key_bounds_sql",
+    "key_cuts",
+    "key_quantiles_sql",
     "load_model",
     "model_versions",
     "query_options",

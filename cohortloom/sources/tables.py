@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cohortloom.sources import schemas
-from cohortloom.sources.database import QUERY_TIMEOUT, KeyRange, read_query
+from cohortloom.sources.database import QUERY_TIMEOUT, KeyCuts, KeyRange, read_query
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class DatabaseSource:
 
     url: str
     names: Mapping[str, str]
-    splits: Mapping[str, KeyRange]
+    splits: Mapping[str, KeyRange | KeyCuts]
     timeout: int = QUERY_TIMEOUT
     properties: Mapping[str, str] | None = None
 

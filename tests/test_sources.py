@@ -6,7 +6,16 @@ from checks import tables as T
 from cohortloom.cohorts import TRAINING_COHORTS, rolling_cohort
 from cohortloom.rules import read_code_map
 from cohortloom.session import ENGINE_CONF, cut_lineage
-from cohortloom.sources import ParquetSource, key_bounds_sql, query_options, read_tables, schemas
+from cohortloom.sources import (
+    KeyCuts,
+    ParquetSource,
+    key_bounds_sql,
+    key_cuts,
+    key_quantiles_sql,
+    query_options,
+    read_tables,
+    schemas,
+)
 from cohortloom.sources.database import KeyRange, key_range, parse_split
 
 
@@ -47,6 +56,37 @@ def test_database_in_the_jobs():
         parser().parse_args([*base, "--tables", "t"])
 
 
+def test_parts_of_a_skewed_read(spark, duck, sf_dir):
+    """Conditions at quantiles: every row in one part, none much larger than its hottest key."""
+    keys = "SELECT CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE l_orderkey END AS k FROM lineitem"
+    duck.execute(f"CREATE OR REPLACE TEMP TABLE keyed AS {keys} UNION ALL SELECT NULL")
+    total = duck.execute("SELECT COUNT(*) FROM keyed").fetchone()[0]
+    least = [r[0] for r in duck.execute(key_quantiles_sql("keyed", "k", 16)).fetchall()]
+    cuts = key_cuts("k", least)
+    assert len(least) == 16 and len(cuts.predicates()) < 16  # the hot key fills several parts
+    counts = [
+        duck.execute(f"SELECT COUNT(*) FROM keyed WHERE {p}").fetchone()[0]
+        for p in cuts.predicates()
+    ]
+    assert sum(counts) == total and min(counts) > 0
+    hot = duck.execute("SELECT COUNT(*) FROM keyed WHERE k = 7").fetchone()[0]
+    assert sorted(counts)[-2] <= total / 16 + 8 and max(counts) <= hot + total / 16 + 8
+    # the same conditions in Spark
+    df = spark.createDataFrame([(r[0],) for r in duck.execute("FROM keyed").fetchall()], "k long")
+    assert [df.where(p).count() for p in cuts.predicates()] == counts
+
+
+def test_cut_points():
+    assert key_cuts("k", []) is None
+    assert key_cuts("k", [5]).predicates() == ["1 = 1"]
+    assert key_cuts("d", ["2001-01-01", "o'clock"]).predicates() == [
+        "(d < 'o''clock' OR d IS NULL)",
+        "d >= 'o''clock'",
+    ]
+    with pytest.raises(TypeError):
+        KeyCuts("k", (True,)).predicates()
+
+
 def test_parquet_round_trip_is_typed(spark, sf_dir, tmp_path):
     accounts = T.accounts(spark, sf_dir)
     renamed = {"pt_a": "accounts"}
