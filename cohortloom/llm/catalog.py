@@ -134,7 +134,11 @@ SECRETS_SQL = r"""
 WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 rule(kind, rank, pattern, least) AS (VALUES
   ('assign', 0, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
-  ('access', 1, '()(AKIA[A-Z0-9]+)', 20), ('hex', 2, '()([0-9a-f]+)', 24)
+  ('access', 1, '()(AKIA[A-Z0-9]+)', 20), ('hex', 2, '()([0-9a-f]+)', 24),
+  ('private_key', 3, '()(-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=:,\x20\x09\x0A\x0D]+-----END [A-Z ]*PRIVATE KEY-----)', 60),
+  ('provider', 4, '()((?:gh[pousr]_|github_pat_|glpat-|xox[abeprs]-|[sr]k_live_|npm_|AIza)[A-Za-z0-9_-]+)', 20),
+  ('web_token', 5, '()(eyJ[A-Za-z0-9_-]{5,500}\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)', 30),
+  ('login_url', 6, '()([A-Za-z][A-Za-z0-9+.-]{0,30}://[^\x00-\x20:@/]+:[^\x00-\x20:@/]+@[A-Za-z0-9.-]+)', 12)
 ), gap AS (
   SELECT doc_id, kind, rank, least, regexp_split_to_array(text, pattern) AS gaps,
     regexp_extract_all(text, pattern) AS matches, regexp_extract_all(text, pattern, 2) AS checked
@@ -150,11 +154,13 @@ rule(kind, rank, pattern, least) AS (VALUES
   SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
     count(*) FILTER (WHERE kind = 'access') AS n_access,
     count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)
+      FILTER (WHERE rank < 3) AS base,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
   FROM kept GROUP BY doc_id
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
-  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans
 FROM doc LEFT JOIN listed USING (doc_id)"""
 
