@@ -4,7 +4,8 @@ A window is ``WINDOW`` consecutive words of an item, or the whole of a shorter i
 of w words holds a whole block of ceil(w / 2) words that starts, in the document, at a multiple of
 that size. So documents are scanned block by block, not window by window: blocks that are also
 somewhere in an item are found by a join, and the words around such a pair are compared to see
-how far document and item agree. Where they agree for w words or more, all of them are hit.
+how far document and item agree. Where they agree for w words or more, all of them are hit. A long
+text is cut into pieces first, which overlap by the words around a block.
 
 The n-grams of the items are broadcast when they are counted to be at most ``BROADCAST_GRAMS``;
 a larger benchmark is joined by shuffling the blocks, with the same result.
@@ -16,6 +17,8 @@ not counted among items; columns beyond doc_id and text (item_id and text) are i
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ from cohortloom.llm.common import ascii_lower, sha256_hex, unused
 
 WINDOW = 10
 BROADCAST_GRAMS = 200_000
+#: About how many words of a document are scanned as one row.
+PIECE = 3840
 #: Words consist of digits, letters and everything that is not ASCII.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CELL = "struct<size: int, at: int, gram: string, near: array<string>>"
@@ -57,6 +62,24 @@ def _cells(starts: Column, size: int, step: int, reach: int) -> Column:
     )
 
 
+def _pieces(docs: DataFrame, blocks: list[int], reach: int) -> DataFrame:
+    """Pieces of the padded words, each with the word it begins at: a multiple of every block."""
+    size = math.lcm(*blocks)
+    size *= max(1, PIECE // size)
+    last = F.floor((F.greatest(F.col("n"), F.lit(1)) - 1) / size).cast("int")
+    pieces = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda p: F.struct(
+            (p * size).alias("base"),
+            F.least(F.col("n") - p * size, F.lit(size)).alias("own"),
+            F.slice("padded", p * size + 1, size + 2 * reach).alias("padded"),
+        ),
+    )
+    return docs.select("doc_id", "text_key", "n", F.explode(pieces).alias("p")).select(
+        "doc_id", "text_key", "n", "p.*"
+    )
+
+
 def _starts(last: Column, some: Column) -> Column:
     none = F.array().cast("array<int>")
     return F.when(some, F.sequence(F.lit(0), last)).otherwise(none)
@@ -91,14 +114,18 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     cells = []
     for size in sorted(counts or {window: 0}):
         block = (size + 1) // 2
-        last = F.floor(F.col("n") / block).cast("int") - 1
-        cells.append(_cells(_starts(last, F.col("n") >= size), size, block, reach))
-    row = F.array(F.lit(None).cast(CELL))
+        last = F.floor(F.col("own") / block).cast("int") - 1
+        some = (F.col("n") >= size) & (F.col("own") >= block)
+        cells.append(_cells(_starts(last, some), size, block, reach))
+    row = F.when(F.col("base") == 0, F.array(F.lit(None).cast(CELL)))
+    row = row.otherwise(F.array().cast(f"array<{CELL}>"))
+    blocks = [(size + 1) // 2 for size in counts or {window: 0}]
     docs = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = (
-        _tokenised(docs, reach, "doc_id", "text_key")
-        .select("doc_id", "text_key", "n", F.explode(F.concat(row, *cells)).alias("b"))
-        .select("doc_id", "text_key", "n", "b.*")
+        _pieces(_tokenised(docs, reach, "doc_id", "text_key"), blocks, reach)
+        .select("doc_id", "text_key", "n", "base", F.explode(F.concat(row, *cells)).alias("b"))
+        .select("doc_id", "text_key", "n", "base", "b.*")
+        .withColumn("at", F.col("base") + F.col("at"))
         .join(grams, ["size", "gram"], "left")
         .where(F.col("theirs").isNotNull() | F.col("at").isNull())
         .withColumn("same", F.zip_with("near", "theirs", lambda a, b: (a == b) & (a != "")))

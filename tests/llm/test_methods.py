@@ -14,6 +14,7 @@ from checks.run import difference
 from cohortloom.llm import (
     catalog,
     components,
+    decontaminate,
     e8_lattice,
     license_rules,
     odd_sketch,
@@ -270,6 +271,58 @@ def test_removed_words(spark, monkeypatch, chunk):
         assert got[i] == " ".join(w for k, w in enumerate(words) if k not in gone)
 
 
+# --- decontamination ----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("grams", [200_000, 0])
+def test_windows_across_pieces(spark, monkeypatch, grams):
+    """Items of every length 1 to 20 in texts of many pieces, joined by broadcast and by shuffle."""
+    monkeypatch.setattr(decontaminate, "PIECE", 60)
+    monkeypatch.setattr(decontaminate, "BROADCAST_GRAMS", grams)
+    rng = random.Random(4)
+    items = [[f"i{k}x{j}" for j in range(k)] for k in range(1, 21)]
+    docs = []
+    for d in range(60):
+        words = [f"w{rng.randrange(50)}" for _ in range(rng.choice([0, 3, 59, 60, 61, 119, 400]))]
+        for _ in range(rng.randrange(6)):
+            at, item = rng.randrange(len(words) + 1), rng.choice(items)
+            low = rng.randrange(len(item))
+            words[at:at] = item[low : low + rng.randrange(1, 21)]
+        docs.append(words)
+    # what windows of which item are where, word by word
+    expected = {}
+    for i, words in enumerate(docs):
+        hit, found = set(), set()
+        for k, item in enumerate(items):
+            size = min(10, len(item))
+            windows = {tuple(item[a : a + size]) for a in range(len(item) - size + 1)}
+            for at in range(len(words) - size + 1):
+                if tuple(words[at : at + size]) in windows:
+                    hit |= set(range(at, at + size))
+                    found.add(k)
+        expected[i] = (len(words), len(hit), len(found), bool(hit))
+    frame = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string"
+    )
+    bench = spark.createDataFrame(
+        [(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string"
+    )
+    got = decontaminate.contamination(frame, bench).collect()
+    assert {
+        r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in got
+    } == expected
+
+
+def test_a_long_text_with_items_of_every_length(spark):
+    """1,600,000 words in one text of 11 MB."""
+    text = " ".join(f"w{i % 9973}" for i in range(1_600_000)) + " i9x0 i9x1"
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(k))) for k in range(1, 21)]
+    frame = spark.createDataFrame([(1, text + " i2x0 i2x1")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(frame, bench).first()
+    assert (got["n_words"], got["n_hit"], got["n_items"]) == (1_600_004, 2, 1)
+
+
 # --- secrets, personal data, licences -----------------------------------------------------------
 
 
