@@ -25,10 +25,9 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -164,18 +163,28 @@ class Lattice:
         self.piece = np.array([i for i, _ in found], np.int64)
         self.score = np.array([score for _, score in found])
         self.unknown = pieces.unknown
+        # the prefix of a single sign, or -1
+        self.first = np.full(sys.maxunicode + 1, -1)
+        single = self.keys < 1 << 21
+        self.first[self.keys[single]] = self.next[single]
 
     def edges(self, signs: np.ndarray, ends: np.ndarray):
         """Start, end, piece and score of every edge of texts laid end to end."""
-        at, state, out = np.arange(len(signs)), np.zeros(len(signs), np.int64), []
-        single, size = np.zeros(len(signs), bool), 0
+        out, size = [], 0
+        single = np.zeros(len(signs), bool)
+        at, state = np.arange(len(signs)), None
         while len(at):
-            inside = at + size < ends[at]
-            at, state = at[inside], state[inside]
-            key = state << 21 | signs[at + size]
-            i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[i] == key
-            at, state = at[hit], self.next[i[hit]]
+            if state is None:
+                state = self.first[signs]
+                hit = state >= 0
+                at, state = at[hit], state[hit]
+            else:
+                inside = at + size < ends[at]
+                at, state = at[inside], state[inside]
+                key = state << 21 | signs[at + size]
+                i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit = self.keys[i] == key
+                at, state = at[hit], self.next[i[hit]]
             size += 1
             whole = self.piece[state] >= 0
             if size == 1:
@@ -188,7 +197,8 @@ class Lattice:
 
 
 def best_paths(chunks: list[str], lattice: Lattice, pieces: Pieces):
-    """The forward pass over many chunks: best score, pieces as bytes, what the next best loses.
+    """The forward pass over many chunks: by chunk the best score and what the next best loses,
+    all pieces, and how many are each chunk's.
 
     All chunks go forward together, one place at a time. A next best path leaves the best one at
     one place, by that place's next edge. Of equal scores the later start counts, as in ``n_best``.
@@ -204,7 +214,7 @@ def best_paths(chunks: list[str], lattice: Lattice, pieces: Pieces):
     depth = stop - (ends - sizes)[chunk]
     # by place, then chunk, then start: the longest edge into a place begins first
     longest = int((stop - start).max()) + 1
-    order = np.argsort((depth * len(chunks) + chunk) * longest - (stop - start), kind="stable")
+    order = np.argsort((depth * len(chunks) + chunk) * longest - (stop - start))
     start, stop, piece, score, chunk, depth = (
         v[order] for v in (start, stop, piece, score, chunk, depth)
     )
@@ -234,17 +244,20 @@ def best_paths(chunks: list[str], lattice: Lattice, pieces: Pieces):
         going = at > (last - sizes)[walk]
         walk, at = walk[going], at[going]
     owner, edge = (np.concatenate(v)[::-1] for v in zip(*steps))
-    order = np.argsort(owner, kind="stable")
+    order = np.argsort(owner * len(owner) + np.arange(len(owner)))
     owner, edge = owner[order], edge[order]
     ids = piece[edge].astype(np.int32)
-    bounds = 4 * np.searchsorted(owner, np.arange(len(chunks) + 1))
-    flat, bounds = ids.tobytes(), bounds.tolist()
-    out = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-    for c in set(owner[ids < 0].tolist()):
-        own = range(bounds[c] // 4, bounds[c + 1] // 4)
-        lists = [[ids[k]] if ids[k] >= 0 else _bytes(text[start[edge[k]]], pieces) for k in own]
-        out[c] = array("i", [i for part in lists for i in part]).tobytes()
-    return zip(scores.tolist(), out, loss.tolist())
+    sizes = np.ones(len(ids), np.int64)
+    unknown = np.flatnonzero(ids < 0)
+    spelt = [_bytes(text[start[e]], pieces) for e in edge[unknown]]
+    sizes[unknown] = list(map(len, spelt))
+    if len(unknown):
+        begin = np.cumsum(sizes) - sizes
+        ids = np.repeat(ids, sizes)
+        for at, part in zip(begin[unknown].tolist(), spelt):
+            ids[at : at + len(part)] = part
+    counts = np.bincount(owner, sizes, len(chunks)).astype(np.int64)
+    return scores, loss, ids, counts
 
 
 class Paths:
@@ -254,23 +267,17 @@ class Paths:
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
         self.number: dict[str, int] = {}
-        self.chunks: list[str] = []
         self.score, self.loss = np.zeros(0), np.zeros(0)
         self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
         self.good = np.zeros(0, bool)
 
-    def add(self, chunks: list[str], found: list[tuple[float, bytes, float]]) -> None:
-        if not chunks:
-            return
-        self.number.update(zip(chunks, range(len(self.chunks), len(self.chunks) + len(chunks))))
-        self.chunks += chunks
-        score, ids, loss = zip(*found)
+    def add(self, chunks: list[str], score, loss, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.number.update(zip(chunks, range(len(self.score), len(self.score) + len(chunks))))
         self.score, self.loss = np.r_[self.score, score], np.r_[self.loss, loss]
-        ends = np.cumsum([len(part) // 4 for part in ids]) + self.first[-1]
-        self.first = np.r_[self.first, ends]
-        new = np.frombuffer(b"".join(ids), np.int32)
-        self.ids = np.r_[self.ids, new]
-        self.good = np.r_[self.good, self._decode(chunks, new, ends - (ends[0] - len(ids[0]) // 4))]
+        ends = np.cumsum(counts)
+        self.first = np.r_[self.first, self.first[-1] + ends]
+        self.ids = np.r_[self.ids, ids]
+        self.good = np.r_[self.good, self._decode(chunks, ids, ends)]
 
     def _decode(self, chunks: list[str], ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Whether the pieces up to each end, from the end before, are the chunk's text."""
@@ -284,10 +291,6 @@ class Paths:
         text = [f" {c.replace(OWN_SPACE, SPACE)}".encode() for c in chunks]
         return np.array([made[a:b] == t for a, b, t in zip(starts, stops.tolist(), text)], bool)
 
-    def of(self, number: int) -> tuple[float, bytes, float]:
-        low, high = self.first[number : number + 2]
-        return float(self.score[number]), self.ids[low:high].tobytes(), float(self.loss[number])
-
     def pieces(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pieces of chunks one after another, and where each chunk's begin, with the end."""
         sizes = self.first[numbers + 1] - self.first[numbers]
@@ -324,9 +327,13 @@ class Encoder:
         new, again = [], []
         for chunk in set().union(*lists).difference(self.known.number):
             (again if chunk in self.older.number else new).append(chunk)
-        found = list(best_paths(new, self.lattice, self.pieces)) if new else []
-        old = [self.older.of(self.older.number[chunk]) for chunk in again]
-        self.known.add(new + again, found + old)
+        if new:
+            self.known.add(new, *best_paths(new, self.lattice, self.pieces))
+        if again:
+            old = np.fromiter(map(self.older.number.__getitem__, again), np.int64, len(again))
+            ids, begin = self.older.pieces(old)
+            scores, loss = self.older.score[old], self.older.loss[old]
+            self.known.add(again, scores, loss, ids, np.diff(begin))
 
     def encode_all(self, texts: list[str]):
         """Of each text the pieces, the n best scores, the others' changes, and if it decodes."""
