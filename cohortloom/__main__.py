@@ -50,7 +50,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--scheme-cutoff", type=date.fromisoformat, default=SCHEME_CUTOFF)
         job.add_argument("--null-share", choices=("is_null", "equals_null"), default="is_null")
         job.add_argument("--model", required=True, help="folder of the saved model")
-        job.add_argument("--code-map", help="CSV old_code,new_code: turns industry features on")
+        job.add_argument("--code-map", help="CSV old_code,new_code, or a text with the recode as SQL: turns industry features on")
         job.add_argument("--sample", type=int, help="accounts (per stratum when training)")
         job.add_argument("--seed", type=int, default=42)
         if name == "train":

@@ -64,9 +64,15 @@ def append_batch(b: DataFrame, path: str, batch: str, sign: int = 1) -> None:
     """Add a batch of commitments to the roll-up at ``path``; a batch written again replaces itself.
 
     A commitment that has changed is taken out as it was, with ``sign=-1`` and a batch name of its
-    own, and added as it is.
+    own, and added as it is. One row that counts nothing stands for the batch itself, so that one
+    written again without commitments takes the place of what it held.
     """
-    rows = roll_up(b).withColumn("n", F.col("n") * sign).withColumn("batch", F.lit(batch))
+    rows = roll_up(b).withColumn("n", F.col("n") * sign)
+    nothing = {"kind": F.lit("none"), "n": F.lit(0).cast("long")}
+    mark = b.sparkSession.range(1).select(
+        *[nothing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema]
+    )
+    rows = rows.union(mark).withColumn("batch", F.lit(batch))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "batch"
     ).parquet(path)

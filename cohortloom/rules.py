@@ -134,12 +134,20 @@ CODE_MAP_DIGEST = "528b8fd7fd2d6d844cea47d8bd8c37617417962c224b94f977d124fa1ffb2
 def read_code_map(spark: SparkSession, path: str) -> DataFrame:
     """Old (4-digit) to new (5-digit) industry codes from a CSV with a header.
 
-    The table is a parameter: at 514 pairs it is too long to keep in code. Compare what you pass
-    with ``CODE_MAP_DIGEST``.
+    The table is a parameter: at 514 pairs it is too long to keep in code. A file that does not end
+    in ``.csv`` is taken for a text that holds the recode as SQL, wherever its arms stand in it:
+    ``WHEN column='0111' THEN '01110'``. Compare what you pass with ``CODE_MAP_DIGEST``.
     """
-    return code_map(
-        spark.read.option("header", True).schema("old_code string, new_code string").csv(path)
+    if path.lower().endswith(".csv"):
+        rows = spark.read.option("header", True).schema("old_code string, new_code string")
+        return code_map(rows.csv(path))
+    arms = F.regexp_extract_all(
+        "value", F.lit(r"(?i)WHEN\s+\w+\s*=\s*'[0-9]{4}'\s+THEN\s+'[0-9]{5}'"), F.lit(0)
     )
+    codes = spark.read.text(path).select(F.explode(arms).alias("arm")).select(
+        F.regexp_extract_all("arm", F.lit("'([0-9]+)'")).alias("codes")
+    )
+    return code_map(codes.selectExpr("codes[0] AS old_code", "codes[1] AS new_code"))
 
 
 def code_map(pairs: DataFrame) -> DataFrame:

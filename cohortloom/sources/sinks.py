@@ -34,7 +34,8 @@ def write_day(df: DataFrame, path: str, day: date, fmt: str = "parquet") -> None
     """Predictions of a scoring day, in a partition ``as_of`` of their own.
 
     Written again, a day replaces itself and leaves the others; the new files take the place of
-    the old when all are written, so a run that fails leaves what there was.
+    the old when all are written, so a run that fails leaves what there was. No rows at all replace
+    nothing.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format {fmt!r}: use 'csv' or 'parquet'")

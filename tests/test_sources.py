@@ -4,7 +4,7 @@ import pytest
 
 from checks import tables as T
 from cohortloom.cohorts import TRAINING_COHORTS, rolling_cohort
-from cohortloom.rules import read_code_map
+from cohortloom.rules import code_map_digest, read_code_map
 from cohortloom.session import ENGINE_CONF, cut_lineage
 from cohortloom.sources import (
     KeyCuts,
@@ -114,6 +114,20 @@ def test_code_map_file(spark, tmp_path):
     assert rows == {("0111", "01110"), ("0112", "01110")}
 
 
+def test_code_map_from_a_recode_statement(spark, tmp_path):
+    """The arms of a CASE, wherever they stand, give the table and the digest of a CSV."""
+    pairs = [(f"{n:04d}", f"{10 * n:05d}") for n in range(1, 500, 3)]
+    arms = [f"WHEN code='{old}' THEN '{new}' \\" for old, new in pairs]
+    text = ["select a, CASE " + arms[0], *arms[1:-1], f"  when code = '{pairs[-1][0]}'  then"]
+    text[-1] += f" '{pairs[-1][1]}' ELSE code END, CASE WHEN x='12' THEN 'A' END \\"
+    statement, csv = tmp_path / "recode.txt", tmp_path / "codes.csv"
+    statement.write_text("\n".join(text))
+    csv.write_text("\n".join(["old_code,new_code", *map(",".join, pairs)]))
+    read = [read_code_map(spark, str(p)) for p in (statement, csv)]
+    assert sorted(map(tuple, read[0].collect())) == pairs
+    assert code_map_digest(read[0]).first() == code_map_digest(read[1]).first()
+
+
 def test_cut_lineage_reads_back(spark):
     df = cut_lineage(spark.range(10).selectExpr("id * 2 AS x"))
     assert df.count() == 10

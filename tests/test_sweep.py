@@ -91,6 +91,12 @@ def test_batches(spark, sf_dir, tmp_path):
         W.append_batch(b.where(part != 1), path, "monday")  # again, with rows that came late
     assert rows_of(W.swept_features(W.read_roll_up(spark, path), T.COHORTS)) == scanned(b, T.COHORTS)
 
+    W.append_batch(b.limit(0), path, "tuesday")  # again, and empty
+    assert rows_of(W.swept_features(W.read_roll_up(spark, path), T.COHORTS)) == scanned(
+        b.where(part != 1), T.COHORTS
+    )
+    W.append_batch(b.where(part == 1), path, "tuesday")
+
     closing = F.lit(datetime(1997, 1, 1)).cast("timestamp_ntz")
     open_ = F.coalesce((part == 0) & F.col("b16").isNull(), F.lit(False))
     changed = b.withColumn("b16", F.when(open_, closing).otherwise(F.col("b16")))
