@@ -288,7 +288,8 @@ class Paths:
             sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
             return np.cumsum(sizes) == stops
         starts = np.r_[0, stops[:-1]].tolist()
-        text = [f" {c.replace(OWN_SPACE, SPACE)}".encode() for c in chunks]
+        # a chunk of a run of spaces has the model's sign for them, and another for the sign itself
+        text = [f" {c.replace(SPACE, ' ').replace(OWN_SPACE, SPACE)}".encode() for c in chunks]
         return np.array([made[a:b] == t for a, b, t in zip(starts, stops.tolist(), text)], bool)
 
     def pieces(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -147,7 +147,25 @@ def test_ranks_become_falling_log_probabilities():
 @given(st.text(max_size=60))
 def test_pieces_decode_to_the_text(pieces, text):
     encoder = piece_lattice.Encoder(pieces)
-    assert encoder.decode(encoder.encode(text)[0].tolist()) == text
+    ids, *_, decodes = encoder.encode_all([text])[0]
+    assert decodes and encoder.decode(ids.tolist()) == text
+
+
+@pytest.mark.parametrize("text", ["a  b", "   ", " a ▁ ▁▁b  ", "▁", "ü  漢 \n \t ", "x\n  y"])
+def test_runs_of_spaces_and_the_sign_itself(pieces, text):
+    encoder = piece_lattice.Encoder(pieces)
+    ids, *_, decodes = encoder.encode_all([text])[0]
+    assert decodes and encoder.decode(ids.tolist()) == text
+
+
+def test_pieces_that_are_not_the_text_are_told(pieces):
+    paths = piece_lattice.Encoder(pieces).known
+    for chunks in (["ab", "c"], ["äb", "c"]):
+        _, _, ids, counts = piece_lattice.best_paths(chunks, paths.encoder.lattice, pieces)
+        ends = np.cumsum(counts)
+        assert paths._decode(chunks, ids, ends).tolist() == [True, True]
+        assert paths._decode([chunks[0], "d"], ids, ends).tolist() == [True, False]
+        assert paths._decode([chunks[0] + " c"[:1], "c"], ids, ends).tolist()[0] is False
 
 
 def test_decode_as_a_table(spark, pieces):
