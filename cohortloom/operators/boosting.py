@@ -2,10 +2,11 @@
 
 Values are binned once and the rows stored as packed bins with their target and margin. A level of
 a tree is one pass: every task adds up first and second derivatives of its rows by node, column and
-bin, the sums are added across tasks in a tree, and the driver, which holds a histogram but no row,
-picks the best split of each node. Of two children only the smaller is counted; the other is its
-parent less that. Trees grown since the margins were stored travel with the pass; every few trees
-the margins are stored anew, so a lost executor costs one pass and the lineage never grows.
+bin, the sums are shuffled by node and column, and the tasks that add them up pick the best split of
+each. Only these splits go to the driver, which takes the best for each node: what it gets grows
+neither with the bins nor, but for a square root, with the tasks. Trees grown since the margins were
+stored travel with the pass; every few trees the margins are stored anew, so a lost executor costs
+one pass and the lineage never grows.
 
 Derivatives are rounded to whole multiples of 2**-resolution and added as whole numbers. A sum is
 then the same however rows are dealt to tasks, and a fit repeated on any cluster gives the same
@@ -20,6 +21,7 @@ bins never change those of other columns.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
@@ -183,20 +185,25 @@ class Layout:
 
 @dataclass(frozen=True)
 class Split:
+    """A node's cut, and the sums of derivatives, as whole numbers, of the rows that go left."""
+
     column: int
     bin: int
     missing_left: bool
     gain: float
     right: np.ndarray | None
-    left_weight: float
+    left: tuple[int, int]
 
 
 def best_split(
-    g: np.ndarray, h: np.ndarray, layout: Layout, allowed: np.ndarray, p: BoostParams
-) -> Split | None:
-    """The best split of a node with histograms g and h of whole numbers, or None."""
+    g: np.ndarray, h: np.ndarray, nominal: bool, allowed: np.ndarray, p: BoostParams
+) -> tuple | None:
+    """The best cut by one column, of whose bins g and h are sums of whole numbers, or None.
+
+    What Split holds, but for the column.
+    """
     scale = 2.0**p.resolution
-    all_g, all_h = (x[: layout.columns[0].size].sum() for x in (g, h))
+    all_g, all_h = g.sum(), h.sum()
 
     def sides(left, total):
         return left / scale, (total - left) / scale
@@ -209,41 +216,36 @@ def best_split(
         return np.where(ok, parts - parent, -np.inf)
 
     parent = shrunk(all_g / scale, p.l1) ** 2 / (all_h / scale + p.l2)
-    up_g, up_h = np.cumsum(g), np.cumsum(h)
-    # missing values right, then left; a label alone goes right
-    one = layout.nominal
-    low_g = np.where(one, all_g - g, up_g - up_g[layout.first])
-    low_h = np.where(one, all_h - h, up_h - up_h[layout.first])
-    found = np.stack(
-        [gains(low_g, low_h), gains(low_g + g[layout.first], low_h + h[layout.first])], axis=1
-    )
-    found[~allowed] = -np.inf
-    found[one, 1] = -np.inf
-    orders = {}
-    if p.categories == "ordered":
-        found[one] = -np.inf
-        for i, c in enumerate(layout.columns):
-            s = slice(layout.start[i], layout.start[i] + c.size)
-            if c.nominal and allowed[s].any():
-                seen = np.flatnonzero(h[s] > 0)
-                order = seen[np.argsort(g[s][seen] / (h[s][seen] + p.l2 * scale), kind="stable")]
-                cut = gains(np.cumsum(g[s][order]), np.cumsum(h[s][order]))
-                at = int(cut.argmax())
-                found[s.start + 1, 0], orders[i] = cut[at], order[at + 1 :]
+    order = None
+    found = np.full((len(g), 2), -np.inf)
+    if nominal and p.categories == "ordered":
+        if allowed.any():
+            seen = np.flatnonzero(h > 0)
+            order = seen[np.argsort(g[seen] / (h[seen] + p.l2 * scale), kind="stable")]
+            cut = gains(np.cumsum(g[order]), np.cumsum(h[order]))
+            at = int(cut.argmax())
+            found[1, 0], order = cut[at], order[at + 1 :]
+    elif nominal:
+        # a label alone goes right
+        found[:, 0] = gains(all_g - g, all_h - h)
+        found[~allowed] = -np.inf
+    else:
+        # missing values right, then left
+        low_g, low_h = np.cumsum(g) - g[0], np.cumsum(h) - h[0]
+        found = np.stack([gains(low_g, low_h), gains(low_g + g[0], low_h + h[0])], axis=1)
+        found[~allowed] = -np.inf
     slot, left = divmod(int(found.argmax()), 2)
     gain = float(found[slot, left])
     if not gain > max(p.min_gain, NO_GAIN):
         return None
-    i = int(layout.of[slot])
-    k = slot - int(layout.start[i])
     right = None
-    if layout.columns[i].nominal:
-        right = np.zeros(layout.columns[i].size, bool)
-        right[orders.get(i, [k])] = True
-        weight = (all_h - h[layout.start[i] :][: len(right)][right].sum()) / scale
+    if nominal:
+        right = np.zeros(len(g), bool)
+        right[[slot] if order is None else order] = True
+        stay = ~right
     else:
-        weight = (low_h[slot] + left * h[layout.first[slot]]) / scale
-    return Split(i, k, bool(left), gain, right, weight)
+        stay = np.r_[bool(left), np.arange(1, len(g)) <= slot]
+    return slot, bool(left), gain, right, (int(g[stay].sum()), int(h[stay].sum()))
 
 
 def find_columns(
@@ -363,9 +365,15 @@ def advance(data: DataFrame, width: int, trees: Sequence[Tree]) -> DataFrame:
 
 
 def _added(keys: np.ndarray, whole: np.ndarray, size: int) -> np.ndarray:
-    """Sums of whole numbers by key, in two halves that doubles add exactly."""
+    """Sums of whole numbers by key, a row of keys for each; in two halves that doubles add exactly."""
+    width = keys.shape[1]
+    if (whole == whole[0]).all():
+        return np.bincount(keys.ravel(), minlength=size) * whole[0]
     high, low = whole >> 24, whole & (2**24 - 1)
-    parts = [np.bincount(keys, part.astype(np.float64), size) for part in (high, low)]
+    parts = [
+        np.bincount(keys.ravel(), np.repeat(part.astype(np.float64), width), size)
+        for part in (high, low)
+    ]
     return (parts[0].astype(np.int64) << 24) + parts[1].astype(np.int64)
 
 
@@ -398,15 +406,15 @@ def histograms(
     build: Sequence[int],
     used: np.ndarray,
     p: BoostParams,
-) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Sums of first and second derivatives by bin, for each node to build: one pass."""
-    size = layout.total
+) -> RDD:
+    """Sums of first and second derivatives by bin, for each (node, column): one pass."""
     place = np.full(len(tree.column), -1)
     place[list(build)] = np.arange(len(build))
-    columns = np.unique(np.r_[0, layout.of[used]])
-    start = layout.start[columns]
+    columns = np.unique(layout.of[used]) if used.any() else np.zeros(1, np.int64)
+    sizes = np.array([layout.columns[c].size for c in columns])
+    start, size = np.cumsum([0, *sizes[:-1]]), int(sizes.sum())
 
-    def run(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
+    def run(blocks: Iterator[tuple]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
         sums = np.zeros((2, len(build) * size), np.int64)
         for bins, y, margin in blocks:
             node = place[tree.walk(bins, True)]
@@ -415,15 +423,52 @@ def histograms(
                 continue
             bins = bins[inside]
             margin = _margins(bins, margin[inside], recent)
-            keys = ((node[inside] * size)[:, None] + start + bins[:, columns]).ravel()
+            keys = (node[inside] * size)[:, None] + start + bins[:, columns]
             for i, d in enumerate(OBJECTIVES[p.objective](margin, y[inside])):
                 whole = np.floor(d * 2.0**p.resolution + 0.5).astype(np.int64)
-                sums[i] += _added(keys, np.repeat(whole, len(columns)), sums.shape[1])
-        yield sums
-
-    total = blocks.mapPartitions(run).treeReduce(np.add)
-    total = total.reshape(2, len(build), size)
-    return {node: (total[0, i], total[1, i]) for i, node in enumerate(build)}
+                sums[i] += _added(keys, whole, sums.shape[1])
+        sums = sums.reshape(2, len(build), size)
+        for i, node in enumerate(build):
+            for column, first, n in zip(columns, start, sizes):
+                yield (int(node), int(column)), sums[:, i, first : first + n]
+
+    found, parts = blocks.mapPartitions(run), blocks.getNumPartitions()
+    if parts == 1:
+        return found
+    width, adding = len(layout.columns), min(len(build) * len(columns), math.ceil(parts**0.5))
+    return found.reduceByKey(np.add, adding, lambda key: key[0] * width + key[1])
+
+
+def splits(
+    sums: RDD, layout: Layout, allowed: np.ndarray, p: BoostParams
+) -> dict[int, tuple[int, int, Split | None]]:
+    """Of every node its sums of derivatives and its best split, if any.
+
+    The tasks that hold the sums choose among their columns, the driver among the tasks. Of equal
+    gains the first column wins.
+    """
+    usable = [allowed[s : s + c.size] for s, c in zip(layout.start, layout.columns)]
+    nominal = [c.nominal for c in layout.columns]
+
+    def better(a: tuple, b: tuple) -> tuple:
+        if a[2] is None or b[2] is None:
+            return b if a[2] is None else a
+        return max(a, b, key=lambda x: (x[2][3], -x[2][0]))
+
+    def run(sums: Iterator[tuple[tuple[int, int], np.ndarray]]) -> Iterator[dict[int, tuple]]:
+        best: dict[int, tuple] = {}
+        for (node, column), (g, h) in sums:
+            found = best_split(g, h, nominal[column], usable[column], p)
+            split = None if found is None else (column, *found)
+            whole = (int(g.sum()), int(h.sum()), split)
+            best[node] = better(best[node], whole) if node in best else whole
+        yield best
+
+    chosen: dict[int, tuple] = {}
+    for part in sums.mapPartitions(run).collect():
+        for node, found in part.items():
+            chosen[node] = better(chosen[node], found) if node in chosen else found
+    return {n: (g, h, None if s is None else Split(*s)) for n, (g, h, s) in chosen.items()}
 
 
 def grow(
@@ -432,29 +477,20 @@ def grow(
     """One more tree: one pass over the rows for each of its levels."""
     tree, allowed = Tree(p.max_depth), layout.sampled(p, number)
     scale = 2.0**p.resolution
-    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    build, level = [0], [0]
-    for depth in range(p.max_depth):
-        found = histograms(blocks, layout, recent, tree, build, allowed, p)
-        for node in level:
-            if node not in found:  # less its sibling, which was counted
-                sibling = node + 1 if node % 2 else node - 1
-                parent = known[(node - 1) // 2]
-                found[node] = tuple(a - b for a, b in zip(parent, found[sibling]))
-        known, build, below = found, [], []
+    level = [0]
+    for _ in range(p.max_depth):
+        found = splits(histograms(blocks, layout, recent, tree, level, allowed, p), layout, allowed, p)
+        below = []
         for node in level:
-            g, h = known[node]
-            _leaf(tree, node, *(x[: layout.columns[0].size].sum() / scale for x in (g, h)), p)
-            split = best_split(g, h, layout, allowed, p)
+            g, h, split = found[node]
+            _leaf(tree, node, g / scale, h / scale, p)
             if split is None:
                 continue
             _branch(tree, node, split, layout)
             left, right = 2 * node + 1, 2 * node + 2
-            lg, lh = _left_sums(g, h, split, layout)
-            whole_g, whole_h = (x[: layout.columns[0].size].sum() for x in (g, h))
+            lg, lh = split.left
             _leaf(tree, left, lg / scale, lh / scale, p)
-            _leaf(tree, right, (whole_g - lg) / scale, (whole_h - lh) / scale, p)
-            build.append(left if 2 * lh <= whole_h else right)
+            _leaf(tree, right, (g - lg) / scale, (h - lh) / scale, p)
             below += [left, right]
         level = below
         if not level:
@@ -478,16 +514,6 @@ def _branch(tree: Tree, node: int, split: Split, layout: Layout) -> None:
         tree.missing_left[node] = split.missing_left
 
 
-def _left_sums(g, h, split: Split, layout: Layout) -> tuple[int, int]:
-    s = layout.start[split.column]
-    size = layout.columns[split.column].size
-    if split.right is not None:
-        left = ~split.right
-    else:
-        left = np.r_[split.missing_left, np.arange(1, size) <= split.bin]
-    return g[s : s + size][left].sum(), h[s : s + size][left].sum()
-
-
 @dataclass(frozen=True)
 class BoostedModel:
     """Trees over columns; ``base`` is the margin before the first."""

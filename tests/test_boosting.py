@@ -2,9 +2,11 @@
 
 import itertools
 import math
+import pickle
 
 import numpy as np
 import pytest
+from pyspark import RDD
 
 from cohortloom.operators import boosting as B
 from cohortloom.operators import contributions as X
@@ -309,3 +311,24 @@ def test_versions_are_kept(spark, tmp_path):
     assert str(load_model(path)[0].nodes()) == str(models[1].nodes())
     with pytest.raises(LookupError):
         load_model(path, "none")
+
+
+def test_the_driver_gets_no_histogram(spark, monkeypatch):
+    """Rows in three tasks give the trees of one, and only splits reach the driver."""
+    rng = np.random.default_rng(2)
+    rows = [(float(p), float(p % 7), NAN, NAN, "abc"[p % 3], float(y)) for p, y in
+            enumerate(rng.standard_normal(3000))]
+    params = B.BoostParams(max_iter=2, max_depth=3, max_bins=4096)
+    whole = B.fit(frame(spark, rows), NUMBERS, params, nominal=["code"]).nodes()
+    sizes, collect, counts = [], RDD.collect, RDD.getNumPartitions
+
+    def measured(rdd):
+        found = collect(rdd)
+        sizes.append((len(pickle.dumps(found)), counts(rdd)))
+        return found
+
+    monkeypatch.setattr(B, "PART", 1000)
+    monkeypatch.setattr(RDD, "collect", measured)
+    assert B.fit(frame(spark, rows), NUMBERS, params, nominal=["code"]).nodes() == whole
+    assert len(sizes) == 6 and max(n for _, n in sizes) > 1
+    assert max(size for size, _ in sizes) < 5000  # a histogram has over 3000 bins of 16 bytes
