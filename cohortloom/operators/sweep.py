@@ -4,8 +4,12 @@ A commitment counts for a run of consecutive cohorts: their days move on togethe
 condition holds from some cohort to some other. A row therefore becomes an event where it starts to
 count and one where it stops, however many cohorts there are between, and a running sum by account
 over the cohorts gives every count. Where a row's run begins and ends is looked up by its days in a
-calendar of the cohorts' span, as many rows as days. Events are added up by account and cohort
-before the shuffle, so an account with a large part of all rows costs no more than any other.
+calendar of the cohorts' span, as many rows as days.
+
+Equal rows are counted in tasks dealt by all their columns, and what is left, of an account no more
+than its days and codes allow, goes to the account's task: one with a large part of all rows is
+added up by many tasks. A row becomes up to eight wide cells, so tasks are as many as rows need,
+``TASK_ROWS`` in each, and the memory of one does not grow with the input.
 
 What the sweep reads of a commitment is a few days: created, closed, planned end. Rows equal in
 these, counted by account, are a roll-up that adds: batches are appended, late rows with the batch
@@ -15,6 +19,7 @@ from the roll-up alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -28,6 +33,8 @@ from cohortloom.operators.accounts import restrict
 
 BOUNDS = ("prev_start", "start", "end", "target_end", "open_date")
 KEYS = (C.OWNER, "kind", "day", "closed", C.CODE, C.TRANSFER)
+#: Rows of ``day_rows`` that a task adds up.
+TASK_ROWS = 500_000
 
 
 def day_rows(b: DataFrame) -> DataFrame:
@@ -60,6 +67,14 @@ def roll_up(b: DataFrame) -> DataFrame:
     return day_rows(b).groupBy(*KEYS).agg(F.sum("n").alias("n"))
 
 
+def _tasks(rows: DataFrame) -> int:
+    return max(1, math.ceil(rows.count() / TASK_ROWS))
+
+
+def _counted(rows: DataFrame, tasks: int) -> DataFrame:
+    return rows.repartition(tasks, *KEYS).groupBy(*KEYS).agg(F.sum("n").alias("n"))
+
+
 def append_batch(b: DataFrame, path: str, batch: str, sign: int = 1) -> None:
     """Add a batch of commitments to the roll-up at ``path``; a batch written again replaces itself.
 
@@ -158,11 +173,13 @@ def swept_features(
 ) -> DataFrame:
     """The rows of ``commitment_features`` from ``day_rows`` or a roll-up.
 
-    Shuffled are at most eight events for a row, whatever the number of cohorts, and of an account
-    no more rows than there are cohorts.
+    Shuffled are the narrow rows alone, whatever the number of cohorts: events, of which a row has
+    at most eight, and their running sums stay in the account's task.
     """
     if ids is not None:
         rows = restrict(rows, ids, C.OWNER)
+    tasks = _tasks(rows)
+    rows = _counted(rows, tasks).repartition(tasks, C.OWNER)
     conditions = {
         "total_commitments": "flag = 'in_target'",
         C.LOOKBACK: "flag = 'in_lookback'",
