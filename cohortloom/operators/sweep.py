@@ -64,7 +64,8 @@ def day_rows(b: DataFrame) -> DataFrame:
 
 def roll_up(b: DataFrame) -> DataFrame:
     """The rows of ``day_rows`` counted: additive, so that batches can be appended."""
-    return day_rows(b).groupBy(*KEYS).agg(F.sum("n").alias("n"))
+    rows = day_rows(b)
+    return _counted(rows, _tasks(rows))
 
 
 def _tasks(rows: DataFrame) -> int:

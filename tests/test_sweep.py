@@ -151,3 +151,19 @@ def test_scoring_days(spark, tmp_path, fmt):
     assert stored() == [(1, 0, 4.0), (2, 0, 5.0)]
     with pytest.raises(ValueError, match="unknown format"):
         write_day(predictions(1.0), path, date(2001, 7, 1), "xml")
+
+
+def test_tasks_grow_with_the_rows(spark, sf_dir, monkeypatch):
+    b = T.commitments(spark, sf_dir).where("b10 < 40")
+    expected = scanned(b, T.COHORTS)
+    rows = W.day_rows(b)
+    n = rows.count()
+    monkeypatch.setattr(W, "TASK_ROWS", n // 9, raising=False)
+    rolled = W.roll_up(b)
+    assert rolled.rdd.getNumPartitions() >= 9
+    # an account's rows are counted by many tasks
+    owners = rolled.withColumn("task", F.spark_partition_id()).groupBy("b10")
+    assert all(r[1] > 1 for r in owners.agg(F.count_distinct("task")).collect())
+    swept = W.swept_features(rows, T.COHORTS)
+    assert swept.rdd.getNumPartitions() >= 9
+    assert rows_of(swept) == expected != []
