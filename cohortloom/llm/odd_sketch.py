@@ -28,12 +28,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import stored, unused
+from cohortloom.llm.common import stored, text_batches, unused
 from cohortloom.llm.components import components
 from cohortloom.llm.words import WordIds, chained, mix
 
@@ -46,6 +47,15 @@ SKETCHED = (
     "doc_id string, n_shingles long, set_key binary, bands array<long>, sketch binary, body binary"
 )
 
+ARROW = [
+    ("doc_id", pa.string()),
+    ("n_shingles", pa.int64()),
+    ("set_key", pa.binary()),
+    ("bands", pa.list_(pa.int64())),
+    ("sketch", pa.binary()),
+    ("body", pa.binary()),
+]
+
 
 @dataclass(frozen=True)
 class Plan:
@@ -126,14 +136,18 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 def sketch(documents: DataFrame, plan: Plan) -> DataFrame:
     """A row of SKETCHED for every document row; nulls where there is no shingle."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema(ARROW)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, pack = WordIds(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for start in range(0, len(batch), 500):
-                yield _sketch_rows(batch[start : start + 500], plan, ids, pack)
+                # of a batch only these texts become objects
+                part = _sketch_rows(batch.slice(start, 500).to_pandas(), plan, ids, pack)
+                yield pa.RecordBatch.from_pandas(part, schema, preserve_index=False)
 
     rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return rows.mapInPandas(run, SKETCHED).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return rows.mapInArrow(run, SKETCHED).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _sketch_rows(batch: pd.DataFrame, plan: Plan, ids: WordIds, pack) -> pd.DataFrame:
@@ -243,7 +257,8 @@ def _family_links(family: pd.DataFrame, plan: Plan, ids: WordIds, unpack) -> lis
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id, and whether it is kept."""
     plan = Plan(width, percent)
-    docs = stored(sketch(documents, plan), "sketches")
+    with text_batches(documents.sparkSession):
+        docs = stored(sketch(documents, plan), "sketches")
     linked = docs.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     classes = linked.groupBy("set_key").agg(
         F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")

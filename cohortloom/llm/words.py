@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 
 class WordIds(dict):

@@ -3,7 +3,7 @@
 import re
 
 import corpus_pipeline
-from cohortloom.llm import piece_lattice, quality_trees
+from cohortloom.llm import odd_sketch, piece_lattice, quality_trees
 from cohortloom.llm.common import table
 from tests.llm.test_methods import closed, secrets_of
 
@@ -81,3 +81,21 @@ def test_every_stage(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     back = {r["doc_id"]: r["text"] for r in piece_lattice.decode(rows, pieces).collect()}
     assert back == texts
+
+
+def test_near_duplicates_take_small_batches(spark, sf_dir, monkeypatch):
+    """Whole texts go to Python a few at a time, and the session's setting stays as it was."""
+    name, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, odd_sketch.stored
+
+    def recorded(df, what):
+        seen[what] = int(spark.conf.get(name))
+        return write(df, what)
+
+    monkeypatch.setattr(odd_sketch, "stored", recorded)
+    before = spark.conf.get(name)
+    docs = table(spark, sf_dir, "documents")
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == one_of_each_group(texts)
+    assert 0 < seen["sketches"] <= 1000
+    assert spark.conf.get(name) == before
