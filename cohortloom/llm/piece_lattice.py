@@ -28,6 +28,7 @@ import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -283,19 +284,27 @@ class Paths:
         """Whether the pieces up to each end, from the end before, are the chunk's text."""
         made = b"".join(map(self.encoder.surfaces.__getitem__, ids.tolist()))
         stops = np.cumsum(self.encoder.sizes[ids])[ends - 1]
-        whole = f" {' '.join(chunks)}"
-        if whole.isascii() and made == whole.encode():
-            sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
-            return np.cumsum(sizes) == stops
-        starts = np.r_[0, stops[:-1]].tolist()
         # a chunk of a run of spaces has the model's sign for them, and another for the sign itself
-        text = [f" {c.replace(SPACE, ' ').replace(OWN_SPACE, SPACE)}".encode() for c in chunks]
-        return np.array([made[a:b] == t for a, b, t in zip(starts, stops.tolist(), text)], bool)
+        signs = f" {' '.join(chunks)}".replace(SPACE, " ")
+        text = signs.replace(OWN_SPACE, SPACE).encode()
+        points = np.frombuffer(signs.encode("utf-32-le", "surrogatepass"), np.uint32)
+        widths = np.ones(len(points), np.int64)
+        for more in (0x80, 0x800, 0x10000):
+            widths += points >= more
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
+        wanted = np.cumsum(widths)[np.cumsum(sizes) - 1]
+        if made == text:
+            same = wanted == stops
+            return same & np.r_[True, same[:-1]]
+        places = [np.r_[0, v].tolist() for v in (stops, wanted)]
+        spans = zip(*(v[k:] for v in places for k in (0, 1)))
+        return np.array([made[a:b] == text[c:d] for a, b, c, d in spans], bool)
 
     def pieces(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pieces of chunks one after another, and where each chunk's begin, with the end."""
         sizes = self.first[numbers + 1] - self.first[numbers]
-        begin = np.r_[0, np.cumsum(sizes)]
+        begin = np.zeros(len(sizes) + 1, np.int64)
+        np.cumsum(sizes, out=begin[1:])
         at = np.arange(begin[-1]) + np.repeat(self.first[numbers] - begin[:-1], sizes)
         return self.ids[at], begin
 
@@ -319,14 +328,18 @@ class Encoder:
             return [c[1:] for c in CHUNK.findall(SPACE + signs.replace(" ", SPACE))]
         return signs.split(" ") if signs else []
 
-    def learn(self, lists: list[list[str]]) -> None:
-        """Have the best path of every chunk at hand."""
+    def learn(self, lists: list[list[str]]) -> np.ndarray:
+        """The numbers of all chunks, list after list, whose best paths are then at hand."""
         if len(self.known.number) > CACHE_ENTRIES:
             short = {c: i for c, i in self.known.number.items() if len(c) <= CACHE_CHARS}
             self.older, self.known = self.known, Paths(self)
             self.older.number = short
+        flat = list(chain.from_iterable(lists))
+        numbers = np.fromiter(map(self.known.number.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(numbers < 0)
+        wanted = list(map(flat.__getitem__, missing.tolist()))
         new, again = [], []
-        for chunk in set().union(*lists).difference(self.known.number):
+        for chunk in dict.fromkeys(wanted):
             (again if chunk in self.older.number else new).append(chunk)
         if new:
             self.known.add(new, *best_paths(new, self.lattice, self.pieces))
@@ -335,16 +348,17 @@ class Encoder:
             ids, begin = self.older.pieces(old)
             scores, loss = self.older.score[old], self.older.loss[old]
             self.known.add(again, scores, loss, ids, np.diff(begin))
+        numbers[missing] = np.fromiter(
+            map(self.known.number.__getitem__, wanted), np.int64, len(wanted)
+        )
+        return numbers
 
     def encode_all(self, texts: list[str]):
         """Of each text the pieces, the n best scores, the others' changes, and if it decodes."""
         lists = list(map(self.chunks, texts))
-        self.learn(lists)
-        number = self.known.number.__getitem__
-        return [
-            self._encode(chunks, np.fromiter(map(number, chunks), np.int64, len(chunks)))
-            for chunks in lists
-        ]
+        numbers = self.learn(lists)
+        ends = np.cumsum(list(map(len, lists)))
+        return list(map(self._encode, lists, np.split(numbers, ends[:-1])))
 
     def encode(self, text: str):
         return self.encode_all([text])[0][:3]

@@ -168,6 +168,32 @@ def test_pieces_that_are_not_the_text_are_told(pieces):
         assert paths._decode([chunks[0] + " c"[:1], "c"], ids, ends).tolist()[0] is False
 
 
+def test_pieces_over_a_border_of_chunks_are_told(pieces):
+    """All pieces are the whole text, but one chunk's are cut elsewhere."""
+    paths = piece_lattice.Encoder(pieces).known
+    for chunks in (["ab", "c", "d"], ["äb", "c", "d"], ["ab", "漢", "d"]):
+        ids = [paths.encoder.pieces.byte_ids[b] for b in f" {' '.join(chunks)}".encode()]
+        ends = np.cumsum([len(f" {c}".encode()) for c in chunks])
+        assert paths._decode(chunks, np.array(ids), ends).tolist() == [True, True, True]
+        ends[0] -= 1
+        assert paths._decode(chunks, np.array(ids), ends).tolist() == [False, False, True]
+
+
+def test_one_lookup_numbers_the_chunks(pieces, monkeypatch):
+    """Numbers of known, new and remembered chunks, before and after the cache turns over."""
+    monkeypatch.setattr(piece_lattice, "CACHE_ENTRIES", 3)
+    encoder, long = piece_lattice.Encoder(pieces), "ä" * (piece_lattice.CACHE_CHARS + 1)
+    for text in ("the house the ", "", f"  of {long} ▁ the", f"a house {long} of of", "b", "the a"):
+        lists = [encoder.chunks(text), [], encoder.chunks("the")]
+        numbers = encoder.learn(lists)
+        assert numbers.tolist() == [encoder.known.number[c] for chunks in lists for c in chunks]
+        fresh = piece_lattice.Encoder(pieces)
+        found, alone = (e.encode_all([text, "", "the"]) for e in (encoder, fresh))
+        assert [(i.tolist(), *rest) for i, *rest in found] == [
+            (i.tolist(), *rest) for i, *rest in alone
+        ]
+
+
 def test_decode_as_a_table(spark, pieces):
     docs = spark.createDataFrame([(1, "a  b\nc"), (2, ""), (3, None)], "doc_id long, text string")
     back = piece_lattice.decode(piece_lattice.encode(docs, pieces), pieces)
