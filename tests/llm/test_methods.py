@@ -1,9 +1,13 @@
 """Each operator against a brute-force version, an exact round trip or held-out labels."""
 
 import hashlib
+import os
 import random
 import re
+import threading
 import time
+from contextlib import contextmanager, suppress
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -24,7 +28,7 @@ from cohortloom.llm import (
     relative_lz,
     secret_ledger,
 )
-from cohortloom.llm.common import table
+from cohortloom.llm.common import shared_path, table
 
 QUIET = settings(max_examples=60, deadline=None)
 
@@ -283,6 +287,70 @@ def test_vectors(spark, monkeypatch, block):
     assert np.mean([got[i][1] == expected[i] for i in got]) > 0.98
 
 
+@contextmanager
+def disk_of(spark):
+    """Most bytes that shuffles and stored tables have had beyond those at first."""
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    dirs = [str(d) for d in env.blockManager().diskBlockManager().localDirs()]
+    dirs.append(re.sub("^file:/*", "/", str(Path(shared_path(spark, "x")).parent)))
+
+    def used():
+        found = 0
+        for d in dirs:
+            for folder, _, names in os.walk(d):
+                for name in names:
+                    with suppress(FileNotFoundError):
+                        found += os.path.getsize(f"{folder}/{name}")
+        return found
+
+    first, most, over = used(), [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.05):
+            most[0] = max(most[0], used() - first)
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        yield most
+    finally:
+        over.set()
+        thread.join()
+
+
+def test_vectors_take_little_disk(spark, monkeypatch):
+    monkeypatch.setattr(e8_lattice, "ROUND", 1)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(20_000, 64)).astype(np.float32)
+    x[10_000:10_400] = x[:400] + 0.2 * rng.normal(size=(400, 64))
+    schema = "vec_id long, embedding array<float>"
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), schema).persist()
+    frame.count()
+    with disk_of(spark) as most:
+        got = {r["vec_id"]: r["n_links"] for r in e8_lattice.near_duplicates(frame).collect()}
+    frame.unpersist()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = np.array([(u[i] @ u.T >= 0.9).sum() - 1 for i in range(len(u))])
+    assert sum(got.values()) >= 0.99 * links.sum() > 700
+    assert all(got[i] <= links[i] for i in got)
+    assert most[0] < 4 * x.nbytes
+
+
+@pytest.mark.parametrize("n", [1000, 10**6, 10**8])
+def test_cells_at_the_threshold(n):
+    plan = e8_lattice.make_plan(n)
+    rng = np.random.default_rng(12)
+    x, z = rng.normal(size=(2, 2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    planes = plan.planes(64)
+    a, b = (plan.cells(v, planes) for v in (x, 0.9 * x + (1 - 0.81) ** 0.5 * z))
+    a, b = (c.reshape(2000, plan.tables, plan.points) for c in (a, b))
+    met = (a[:, :, :, None] == b[:, :, None, :]).any(axis=(1, 2, 3))
+    assert met.mean() > 0.995 and plan.tables * plan.points <= 64
+
+
 # --- substrings ---------------------------------------------------------------------------------
 
 
