@@ -7,15 +7,16 @@ to it together. Two vectors that share a cell meet there, and their cosine is co
 precision. A pair that shares several cells counts in the first.
 
 How many tables and cells are needed follows from pairs simulated at the threshold: a pair there is
-missed with a probability of ``MISS`` at most. The number of blocks grows with the square root of
-the number of vectors, so that a vector meets ``MEETS`` others by chance at most, however many there
-are; the cells of a vector stay about as many.
+missed with a probability of ``MISS`` at most. Of plans that do, the one taken needs least work: more
+blocks make smaller cells, where a vector meets fewer others by chance, but take it to more places.
 
-Equal vectors are one class, counted with its size. Classes are kept as records, many to a row, and
-go to their cells in rounds: some cells of a table at a time, whose shuffle files are deleted before
-the next. A cell of more than ``BLOCK`` classes is cut into blocks, and every pair of blocks is a
-group of its own; small cells share a group. From a group come sums of links by class and links that
-connect what is linked, never all pairs.
+Equal vectors are one class, counted with its size. Classes are kept as records, many to a row.
+Cells with the same point in their first block are a bucket, to which a record goes once. Records
+go to their buckets in rounds: some buckets of a table at a time, whose shuffle files are deleted
+before the next. Of a bucket of more than ``BLOCK`` classes every cell is a bucket of its own, and if
+that holds more, it is cut into blocks, and every pair of blocks is a group of its own; small
+buckets share a group. From a group come sums of links by class and links that connect what is
+linked, never all pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing, nor do vectors of different lengths; each repeated row is another vector; a row without a
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations, product
 
 import numpy as np
@@ -41,12 +42,14 @@ from cohortloom.llm.common import deleted, freed_shuffles, shared_path, small_ba
 from cohortloom.llm.components import components
 
 MISS, SEED = 0.002, 8
-#: Vectors that a vector meets by chance, at most.
-MEETS = 8000
+#: Work of a table, and of a vector met by chance, where that of a record sent is 1.
+TABLE, MEET = 1.0, 1e-4
 #: Most cells of a vector in a table; blocks, and points in each, from which they are taken.
 POINTS, NEAREST = 16, 4
-#: Classes of a group of small cells, and of a block of a large one.
-BLOCK = 8000
+#: Classes of a bucket, and of a block of a large cell; bytes of one, if their records are large.
+BLOCK, BLOCK_BYTES = 60_000, 26 << 20
+#: Marks a bucket that is a cell.
+FINE = 1 << 62
 #: Bytes of a round, unless one record of every class takes more.
 ROUND = 128 << 20
 #: Classes of a row of records, rows that Python gets at once, and bytes that it sends at once.
@@ -109,6 +112,33 @@ class Plan:
     blocks: int
     tables: int
     points: int
+    #: Buckets that share a first point, and the mean number of a vector's buckets in a table.
+    split: int = 1
+    spread: float = 1.0
+
+    def buckets(self, cells: np.ndarray) -> np.ndarray:
+        """Buckets of cells of a table: by the point in the first block, and if that is split, by
+        the other."""
+        place, points = np.divmod(cells.astype(np.int64), 240 * 240)
+        first = place // self.blocks * 240 + points // 240
+        other = place % self.blocks * 240 + points % 240
+        return first * self.split + other % self.split
+
+    def with_spread(self, cells: np.ndarray, split: int) -> Plan:
+        """Cells are those of sample vectors in one table."""
+        plan = replace(self, split=split)
+        buckets = np.sort(plan.buckets(cells[:, : self.points]), axis=1)
+        return replace(plan, spread=float(_once(buckets).sum(axis=1).mean()))
+
+    def fullest(self, cells: np.ndarray) -> float:
+        """The part of vectors in a bucket of the block whose points have most, without a split."""
+        buckets = np.sort(self.buckets(cells[:, : self.points]), axis=1)
+        return np.bincount(buckets[_once(buckets)] // 240).max() / len(cells) / 240
+
+    def work(self, n: int) -> float:
+        places = math.comb(self.blocks, 2) * len(SHORTEST) ** 2
+        met = n * self.points**2 / places
+        return self.tables * (self.spread + TABLE + MEET * met)
 
     def planes(self, dim: int) -> list[np.ndarray]:
         """For every table orthogonal directions of vectors of a length, or if these are fewer than
@@ -133,7 +163,7 @@ class Plan:
         return out
 
 
-def _planned(least: float, blocks: int, trials: int) -> Plan:
+def _planned(n: int, least: float, blocks: int, trials: int) -> Plan:
     """Tables and cells that miss a pair at the threshold with ``MISS`` at most, for least work."""
     rng = np.random.default_rng([SEED, blocks])
     x, z = rng.standard_normal((2, trials, blocks, 8), np.float32)
@@ -145,20 +175,21 @@ def _planned(least: float, blocks: int, trials: int) -> Plan:
         met = min(float(same[:, :points, :points].any(axis=(1, 2)).mean()), 1 - MISS)
         if met > 0:
             tables = math.ceil(math.log(MISS) / math.log(1 - met) - 1e-9)
-            plans.append((tables * (points + 1), points, tables))
-    _, points, tables = min(plans)
-    return Plan(least, blocks, tables, points)
+            plan = Plan(least, blocks, tables, points).with_spread(x, 1)
+            split = math.ceil(1.1 * n * plan.fullest(x) / BLOCK)
+            plans.append(plan.with_spread(x, split) if split > 1 else plan)
+    return min(plans, key=lambda plan: plan.work(n))
 
 
 def make_plan(n: int, least: float = 0.9, trials: int = 20_000) -> Plan:
     """A plan with as many blocks as the number of vectors asks for."""
-    blocks = 2
-    while True:
-        plan = _planned(least, blocks, trials)
-        places = math.comb(blocks, 2) * len(SHORTEST) ** 2
-        if n * plan.tables * plan.points**2 <= MEETS * places or blocks >= 128:
-            return plan
-        blocks += max(1, blocks // 2)
+    plan = _planned(n, least, 2, trials)
+    while plan.blocks < 128:
+        more = _planned(n, least, plan.blocks + max(1, plan.blocks // 2), trials)
+        if more.work(n) >= plan.work(n):
+            break
+        plan = more
+    return plan
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -219,12 +250,21 @@ class Layout:
         part = np.ascontiguousarray(records[:, ends[k] : ends[k + 1]])
         return part.view([self.kind, "V16", "<i8", "<i8", "<i4", "<i8", "<i4"][k])
 
-    def sent_cells(self, records: np.ndarray, dim: int, low: int, high: int) -> np.ndarray:
-        """Cells of some tables, with their table's number."""
+    def buckets(self, records: np.ndarray, dim: int, low: int, high: int, fine) -> np.ndarray:
+        """Buckets of some tables, with their table's number; cells for those in ``fine``."""
         points = self.plan.points
         cells = self.field(records, dim, self.plan.tables * points, 4)
-        table = np.repeat(np.arange(low, high, dtype=np.int64), points)
-        return cells[:, low * points : high * points] + (table << 32)
+        cells = cells[:, low * points : high * points]
+        table = np.repeat(np.arange(low, high, dtype=np.int64), points) << 32
+        buckets = self.plan.buckets(cells) + table
+        if len(fine):
+            buckets = np.where(np.isin(buckets, fine), cells + table + FINE, buckets)
+        return np.sort(buckets, axis=1)
+
+
+def _once(buckets: np.ndarray) -> np.ndarray:
+    """Whether a bucket is the first of its kind in its row; rows are sorted."""
+    return np.diff(buckets, axis=1, prepend=-1) != 0
 
 
 def _mixed(x: np.ndarray, dim: int) -> np.ndarray:
@@ -295,38 +335,40 @@ def classes_of(records: DataFrame, layout: Layout) -> DataFrame:
     return records.mapInArrow(run, CLASSES)
 
 
-def _large(records: DataFrame, layout: Layout) -> DataFrame:
-    """Every cell of more than ``BLOCK`` classes, perhaps some of more than half as many, and their
-    sizes at most. A task names the cells of which it holds some: what tasks do not name of a cell
-    is half a block in all at most."""
-    some = BLOCK // (2 * max(1, records.rdd.getNumPartitions())) + 1
-    whole = layout.plan.tables * layout.plan.points
+def _large(records: DataFrame, layout: Layout, block: int) -> DataFrame:
+    """Every bucket and cell of more classes than a block, perhaps some of a little fewer, and their
+    sizes at most. A task names those of which it holds some: what tasks do not name of one is a
+    sixteenth of a block in all at most."""
+    some = block // (16 * max(1, records.rdd.getNumPartitions())) + 1
+    plan = layout.plan
+    whole = plan.tables * plan.points
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells: dict[int, list[np.ndarray]] = {}
         for dim, found in _unpacked(batches, layout):
             cells.setdefault(dim, []).append(layout.field(found, dim, whole, 4))
         for dim, parts in cells.items():
-            for table in range(layout.plan.tables):
-                own = slice(table * layout.plan.points, (table + 1) * layout.plan.points)
-                cell, size = np.unique(
-                    np.concatenate([part[:, own].ravel() for part in parts]), return_counts=True
-                )
-                cell, size = cell[size >= some], size[size >= some]
-                dims = np.full(len(cell), dim, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(dims), pa.array(cell.astype(np.int64) + (table << 32)), pa.array(size)],
-                    names=["dim", "cell", "size"],
-                )
+            for table in range(plan.tables):
+                own = slice(table * plan.points, (table + 1) * plan.points)
+                fine = np.concatenate([part[:, own] for part in parts]).astype(np.int64)
+                buckets = np.sort(plan.buckets(fine), axis=1)
+                for ids in (buckets[_once(buckets)], fine.ravel() + FINE):
+                    cell, size = np.unique(ids + (table << 32), return_counts=True)
+                    cell, size = cell[size >= some], size[size >= some]
+                    dims = np.full(len(cell), dim, np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(dims), pa.array(cell), pa.array(size)],
+                        names=["dim", "cell", "size"],
+                    )
 
     counts = records.mapInArrow(run, COUNTS).groupBy("dim", "cell")
-    counts = counts.agg((F.sum("size") + BLOCK // 2).alias("size"))
-    return counts.where(F.col("size") > BLOCK)
+    counts = counts.agg((F.sum("size") + block // 16).alias("size"))
+    return counts.where(F.col("size") > block)
 
 
 @dataclass(frozen=True)
 class Round:
-    """Some tables; or of one table, cells of one part in so many."""
+    """Some tables; or of one table, buckets of one part in so many."""
 
     low: int
     high: int
@@ -337,7 +379,7 @@ class Round:
 def _rounds(plan: Plan, size: int) -> list[Round]:
     """Rounds of ``ROUND`` bytes, or of a record of every class, where all of these have a size."""
     most = max(ROUND, size)
-    table = max(1, plan.points * size)
+    table = max(1, int(plan.spread * size))
     if table > most:
         parts = -(-table // most)
         return [Round(t, t + 1, p, parts) for t in range(plan.tables) for p in range(parts)]
@@ -346,29 +388,33 @@ def _rounds(plan: Plan, size: int) -> list[Round]:
 
 
 def _sent(
-    records: DataFrame, layout: Layout, now: Round, large: dict[tuple[int, int], int], bundles: int
+    records: DataFrame,
+    layout: Layout,
+    now: Round,
+    large: dict[tuple[int, int], int],
+    bundles: int,
+    block: int,
 ) -> DataFrame:
-    """Records by the groups of a round's cells: large cells by pairs of their blocks, small ones
+    """Records by the groups of a round's buckets: large cells by pairs of their blocks, small ones
     bundled. Cells of later tables are not sent: a pair counts in the first."""
     points = layout.plan.points
     seen = now.high * points
     whole = layout.plan.tables * points
-    block = BLOCK
-
     def groups(dim: int, found: np.ndarray) -> Iterator[tuple[tuple, np.ndarray]]:
-        cells = layout.sent_cells(found, dim, now.low, now.high)
+        over = [c for size, c in large if size == dim]
+        buckets = layout.buckets(found, dim, now.low, now.high, [c for c in over if c < FINE])
+        here = _once(buckets)
         if now.parts > 1:
-            row, place = np.nonzero(_mixed(cells, dim) // bundles % now.parts == now.part)
-        else:
-            row, place = (x.ravel() for x in np.indices(cells.shape))
-        cell = cells[row, place]
+            here &= _mixed(buckets, dim) // bundles % now.parts == now.part
+        row, place = np.nonzero(here)
+        cell = buckets[row, place]
         kept = found[:, : layout.ends(dim, seen)[4]]
 
         def out(at: np.ndarray, side: np.ndarray) -> np.ndarray:
             parts = [kept[row[at]], cell[at, None].astype("<i8").view(np.uint8)]
             return np.concatenate([*parts, side[:, None].astype("<i4").view(np.uint8)], axis=1)
 
-        small = ~np.isin(cell, [c for size, c in large if size == dim])
+        small = ~np.isin(cell, [c for c in over if c >= FINE])
         at = np.flatnonzero(small)
         bundle = _mixed(cell[at], dim) % bundles
         order = np.argsort(bundle, kind="stable")
@@ -414,42 +460,51 @@ def _packed(packed: dict[tuple, list[bytes]]) -> pa.RecordBatch:
 
 @dataclass
 class Rows:
-    """Rows of a group as arrays, ordered by cell."""
+    """Records of a group as arrays, and ordered by cell, their rows in the cells met here."""
 
     key: np.ndarray
     id: np.ndarray
     copies: np.ndarray
     unit: np.ndarray
     cells: np.ndarray
-    cell: np.ndarray
     side: np.ndarray
+    row: np.ndarray
+    cell: np.ndarray
     starts: np.ndarray
 
 
 def _rows(raw: bytes, dim: int, layout: Layout, seen: int) -> Rows:
     records = layout.matrix(raw, layout.ends(dim, seen)[-1])
-    order = np.argsort(layout.field(records, dim, seen, 5).ravel(), kind="stable")
-    records = records[order]
-    vec, key, vec_id, copies, cells, cell, side = (
+    vec, key, vec_id, copies, cells, bucket, side = (
         layout.field(records, dim, seen, k) for k in range(7)
     )
-    cell = cell.ravel()
+    points = layout.plan.points
+    table = (bucket & (FINE - 1)) >> 32
+    own = np.take_along_axis(cells, table * points + np.arange(points), axis=1)
+    fine = own + (table << 32)
+    row, place = np.nonzero(
+        (layout.plan.buckets(own) + (table << 32) == bucket) | (fine + FINE == bucket)
+    )
+    cell = fine[row, place]
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
     return Rows(
         key=key.ravel(),
         id=vec_id.ravel(),
         copies=copies.ravel(),
         unit=unit(vec.astype(np.float64)),
         cells=cells,
-        cell=cell,
         side=side.ravel(),
+        row=row[order],
+        cell=cell,
         starts=np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True]),
     )
 
 
 def _candidates(r: Rows, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of a cell, without those whose cosine is less beyond the rounding of floats."""
+    """Places of pairs in a cell, without those whose cosine is less beyond the rounding of floats."""
     sizes = np.diff(r.starts)
-    left = np.repeat(r.starts[1:], sizes) - np.arange(len(r.unit)) - 1
+    left = np.repeat(r.starts[1:], sizes) - np.arange(len(r.row)) - 1
     left[np.repeat(sizes > SMALL, sizes)] = 0
     for step in range(1, SMALL):
         i = np.flatnonzero(left >= step)
@@ -463,7 +518,8 @@ def _candidates(r: Rows, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]
     for k in np.flatnonzero(sizes > SMALL):
         end = r.starts[k + 1]
         for low in range(r.starts[k], end, STRIP):
-            near = short[low : min(end, low + STRIP)] @ short[low:end].T >= about
+            near = short[r.row[low:end]]
+            near = near[:STRIP] @ near.T >= about
             i, j = np.divmod(np.flatnonzero(near), near.shape[1])
             later = j > i
             yield i[later] + low, j[later] + low
@@ -475,24 +531,25 @@ def _close(r: Rows, plan: Plan, across: bool) -> Iterator[tuple[np.ndarray, np.n
     for all_i, all_j in _candidates(r, plan.least):
         for low in range(0, len(all_i), step):
             i, j = all_i[low : low + step], all_j[low : low + step]
+            cell, i, j = r.cell[i], r.row[i], r.row[j]
             if across:
                 apart = r.side[i] != r.side[j]
-                i, j = i[apart], j[apart]
+                cell, i, j = cell[apart], i[apart], j[apart]
             good = np.einsum("ij,ij->i", r.unit[i], r.unit[j]) >= plan.least
-            i, j = i[good], j[good]
+            cell, i, j = cell[good], i[good], j[good]
             if len(i):
-                first = _first(r, plan.points, i, j)
+                first = _first(r.cells, plan.points, cell, i, j)
                 yield i[first], j[first]
 
 
-def _first(r: Rows, points: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+def _first(cells, points: int, cell: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether pairs share none of the earlier tables' cells, nor a smaller one of their table."""
-    table, cell = r.cell[i] >> 32, (r.cell[i] & 0xFFFFFFFF).astype(np.int32)
+    table, cell = cell >> 32, (cell & 0xFFFFFFFF).astype(np.int32)
     first = np.ones(len(i), bool)
     for before in range(table.max() + 1):
         rows = np.flatnonzero(first & (table >= before))
         own = slice(before * points, (before + 1) * points)
-        a, b = r.cells[i[rows], own], r.cells[j[rows], own]
+        a, b = cells[i[rows], own], cells[j[rows], own]
         earlier = (table[rows] > before)[:, None] | (a < cell[rows, None])
         same = (a[:, :, None] == b[:, None, :]).any(axis=2) & earlier
         first[rows[same.any(axis=1)]] = False
@@ -601,13 +658,16 @@ def _found(records: DataFrame, layout: Layout, place: str) -> DataFrame:
     n = sum(r["size"] // layout.width(r["dim"]) for r in sizes)
     if n < 2:
         return spark.createDataFrame([], FOUND)
-    large = written(_large(records, layout), f"{place}/found/large")
+    widest = layout.width(max(r["dim"] for r in sizes))
+    block = min(BLOCK, max(500, BLOCK_BYTES // widest))
+    large = written(_large(records, layout, block), f"{place}/found/large")
+    table = F.shiftright(F.col("cell").bitwiseAND(FINE - 1), 32)
     paths = []
     for now in _rounds(plan, size):
-        own = large.where((F.col("cell") >= now.low << 32) & (F.col("cell") < now.high << 32))
+        own = large.where((table >= now.low) & (table < now.high))
         own = {(r["dim"], r["cell"]): r["size"] for r in own.collect()}
-        rows = n * plan.points * (now.high - now.low) // now.parts
-        sent = _sent(records, layout, now, own, -(-rows // BLOCK))
+        rows = math.ceil(n * plan.spread * (now.high - now.low) / now.parts)
+        sent = _sent(records, layout, now, own, -(-16 * rows // block), block)
         groups = sent.groupBy("dim", "bundle", "i", "j")
         paths.append(f"{place}/found/{now.low}-{now.part}")
         written(groups.applyInArrow(_compare(layout, now.high * plan.points), FOUND), paths[-1])
